@@ -13,7 +13,9 @@ the whole table in one task.  The scalable plan numbers rows in two passes:
    the partition count, never by the data), turn the counts into running
    offsets and broadcast them; ``rn = offset[partition] + position + 1``.
 
-Nothing but the per-partition counts reaches a single task.
+Nothing but the per-partition counts reaches a single task.  Ties on the key
+are broken by input position, so even a key held by a third of the rows is
+spread over many ranges instead of landing in one task.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from snapvault.functions.fixed import ROW_NUMBER_COLUMN
 from snapvault.session import shared_root
 
 _ID = "__sv_mid"
+_TIE = "__sv_tie"
 _PART = "__sv_part"
 _OFF = "__sv_offset"
 _CHUNK = "chunk_index"
@@ -40,8 +43,7 @@ def row_number_pk(df: DataFrame, pk: list[str], column: str = ROW_NUMBER_COLUMN,
 
     ``method="range"`` is the distributed two-pass plan described above;
     ``method="window"`` is the single-task window (small tables, tests).
-    Keys should be unique; duplicate keys are numbered in an arbitrary but
-    fixed order.
+    Keys should be unique; rows with equal keys are numbered in input order.
     """
     if not pk:
         raise ValueError("row_number_pk needs at least one key column")
@@ -52,10 +54,15 @@ def row_number_pk(df: DataFrame, pk: list[str], column: str = ROW_NUMBER_COLUMN,
     spark = df.sparkSession
     shared_root(spark)  # make sure a reliable checkpoint folder is set
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the input position breaks ties, so a key (or a group of identical rows)
+    # holding a large share of the table is still spread over many ranges
+    keyed = df.withColumn(_TIE, F.monotonically_increasing_id())
+    order = _order(pk) + [F.col(_TIE).asc()]
     tagged = (
-        df.repartitionByRange(n, *_order(pk))
-        .sortWithinPartitions(*_order(pk))
+        keyed.repartitionByRange(n, *order)
+        .sortWithinPartitions(*order)
         .withColumn(_ID, F.monotonically_increasing_id())
+        .drop(_TIE)
         .checkpoint(eager=True)
     )
     part = F.shiftright(F.col(_ID), 33)
@@ -94,4 +101,6 @@ def key_ordered(df: DataFrame, pk: list[str], num_chunks: int) -> DataFrame:
     contiguous key range in key order.  This is what an export needs when
     it wants key-ordered files but not the ``rn`` column.
     """
-    return df.repartitionByRange(max(1, int(num_chunks)), *_order(pk)).sortWithinPartitions(*_order(pk))
+    order = _order(pk) + [F.col(_TIE).asc()]  # ties split by input position (hot keys)
+    keyed = df.withColumn(_TIE, F.monotonically_increasing_id())
+    return keyed.repartitionByRange(max(1, int(num_chunks)), *order).sortWithinPartitions(*order).drop(_TIE)

@@ -126,7 +126,7 @@ def plan_export(source, cfg: ExportConfig) -> ExportPlan:
 
 def _prepare_table(source, plan: ExportPlan, cfg: ExportConfig, meta: dict) -> DataFrame:
     schema, table, pk = meta["table_schema"], meta["table_name"], list(meta["primary_key"] or [])
-    df = source.table(schema, table)
+    df = source.table_for_export(schema, table, pk, int(meta["n_chunks"] or 1))
     rv = [r["column_name"] for r in
           rowversion_columns(plan.catalog.info_columns, schema, table).collect()]
     if cfg.keep_row_number and pk:
@@ -138,7 +138,8 @@ def _prepare_table(source, plan: ExportPlan, cfg: ExportConfig, meta: dict) -> D
             (F.col("table_schema") == schema) & (F.col("table_name") == table)
         ).select("column_name", map_type("data_type").alias("t")).collect()
         targets = {r["column_name"]: r["t"] for r in cols if r["column_name"] not in rv}
-        df = project_strings(df, cfg.null_policy, rv, exclude=[c for c in df.columns if c in targets])
+        keep = [c for c in df.columns if c in targets or c == ROW_NUMBER_COLUMN]
+        df = project_strings(df, cfg.null_policy, rv, exclude=keep)
         df = project_typed(df, targets)
     else:
         df = project_strings(df, cfg.null_policy, rv, exclude=[ROW_NUMBER_COLUMN])
