@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -89,19 +90,25 @@ def _export_two_snapshots(spark, sf_dir, name, label) -> str:
 
 
 def _export_all(spark, sf_dir, label, snapshots=(SNAP_1, SNAP_2), tables=None) -> dict[str, str]:
+    """Export tables as snapshots: one write job per table, tables concurrently."""
     root = scratch_path(spark, label)
     src = _src(spark, sf_dir)
-    paths = {}
-    for name in tables or TABLES:
+    names = list(tables or TABLES)
+
+    def one(name):
         path = os.path.join(root, name)
-        for snap in snapshots:
-            write_incremental(_strings_with_snapshot(src.table("dbo", name), snap), path)
-        paths[name] = path
-    return paths
+        table = project_strings(src.table("dbo", name))
+        both = reduce(DataFrame.unionByName, [add_snapshot(table, s) for s in snapshots])
+        write_incremental(both, path)
+        return name, path
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return dict(pool.map(one, names))
 
 
 def _stats(spark, sf_dir) -> DataFrame:
-    return table_stats(_src(spark, sf_dir).catalog()).select("table_name", "original_row_count")
+    """Row counts per table; footers answer them, no data is read."""
+    return table_stats(_src(spark, sf_dir).catalog(profile="files")).select("table_name", "original_row_count")
 
 
 def _sizes(spark, sf_dir) -> DataFrame:
@@ -187,7 +194,7 @@ def q_filter_pattern(spark, sf_dir):
 
 
 def q_filter_allowlist(spark, sf_dir):
-    cat = _src(spark, sf_dir).catalog()
+    cat = _src(spark, sf_dir).catalog(profile="files")
     stats = table_stats(cat)
     return filter_allowlist(stats, ALLOWLIST).select("table_name", "original_row_count")
 
@@ -319,7 +326,8 @@ def q_write_incremental(spark, sf_dir):
 
 def q_target_file_size(spark, sf_dir):
     """Export lineitem with the planned per-file row limit; check every file keeps it."""
-    plan = _plan(spark, sf_dir).where(F.col("table_name") == "lineitem")
+    cat = _src(spark, sf_dir).catalog(["lineitem"])
+    plan = plan_chunks(table_sizes(cat.space_used), primary_keys(cat), DATABASE, TARGET_MB)
     limit = plan.agg(F.max("rows_per_chunk")).first()[0]  # one number
     path = scratch_path(spark, "target-file-size")
     write_full(_strings_with_snapshot(_t(spark, sf_dir, "lineitem"), SNAP_1), path, limit)

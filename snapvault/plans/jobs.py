@@ -23,11 +23,12 @@ from snapvault.functions.fixed import (
     DEFAULT_TARGET_FILE_MB,
     FAILURE_MESSAGE_FORMAT,
     ROW_NUMBER_COLUMN,
+    ROWVERSION_TYPES,
     SNAPSHOT_COLUMN,
     SNAPSHOT_FORMAT_PY,
 )
 from snapvault.functions.values import map_type
-from snapvault.operators.metadata import primary_keys, rowversion_columns, table_stats, view_definitions
+from snapvault.operators.metadata import primary_keys, table_stats, view_definitions
 from snapvault.operators.numbering import key_ordered, row_number_pk
 from snapvault.operators.projections import add_snapshot, filter_allowlist, project_strings, project_typed
 from snapvault.operators.validation import (
@@ -76,6 +77,9 @@ class ExportConfig:
     order_by_key: bool = False
     size_column: str = "reserved"
     validation_path: str | None = None
+    # how a file-backed source measures table sizes for chunk planning:
+    # "files" (footers + storage sizes, no data read) or "exact" (one scan)
+    size_estimate: str = "files"
 
     def __post_init__(self):
         check_mode(self.mode)
@@ -98,12 +102,13 @@ class ExportPlan:
     validation: DataFrame   # initial validation rows
     tables: list[dict]      # per-table metadata on the driver (names, keys, sizes)
     catalog: object
+    columns: dict = field(default_factory=dict)  # (schema, table) -> [(column, source type, target type)]
 
 
 def plan_export(source, cfg: ExportConfig) -> ExportPlan:
     """Scan the catalog and plan chunks for every table to export."""
     spark = source.spark
-    cat = source.catalog()
+    cat = source.catalog(profile=cfg.size_estimate)
     stats = table_stats(cat).cache()
     keys = filter_allowlist(primary_keys(cat), cfg.tables_to_export)
     sizes = table_sizes(cat.space_used, cfg.size_column)
@@ -119,25 +124,28 @@ def plan_export(source, cfg: ExportConfig) -> ExportPlan:
                       F.count(F.lit(1)).alias("n_chunks"))
                  .join(keys, ["table_schema", "table_name"]))
     tables = [r.asDict() for r in per_table.orderBy("table_schema", "table_name").collect()]
+    # column names and types of every table in one small job (metadata only)
+    columns: dict = {}
+    for r in cat.info_columns.select("table_schema", "table_name", "column_name", "data_type",
+                                     map_type("data_type").alias("target")).collect():
+        columns.setdefault((r["table_schema"], r["table_name"]), []).append(
+            (r["column_name"], r["data_type"], r["target"]))
     if cfg.register:
         ensure_database(spark, cfg.database, comment=f"Catalog for {cfg.database}")
-    return ExportPlan(stats, keys, chunks, validation, tables, cat)
+    return ExportPlan(stats, keys, chunks, validation, tables, cat, columns)
 
 
 def _prepare_table(source, plan: ExportPlan, cfg: ExportConfig, meta: dict) -> DataFrame:
     schema, table, pk = meta["table_schema"], meta["table_name"], list(meta["primary_key"] or [])
     df = source.table_for_export(schema, table, pk, int(meta["n_chunks"] or 1))
-    rv = [r["column_name"] for r in
-          rowversion_columns(plan.catalog.info_columns, schema, table).collect()]
+    cols = plan.columns.get((schema, table), [])
+    rv = [name for name, source_type, _ in cols if source_type.lower() in ROWVERSION_TYPES]
     if cfg.keep_row_number and pk:
         df = row_number_pk(df, pk)
     elif cfg.order_by_key and pk and meta["n_chunks"] > 1:
         df = key_ordered(df, pk, meta["n_chunks"])
     if cfg.typed:
-        cols = plan.catalog.info_columns.where(
-            (F.col("table_schema") == schema) & (F.col("table_name") == table)
-        ).select("column_name", map_type("data_type").alias("t")).collect()
-        targets = {r["column_name"]: r["t"] for r in cols if r["column_name"] not in rv}
+        targets = {name: target for name, _, target in cols if name not in rv}
         keep = [c for c in df.columns if c in targets or c == ROW_NUMBER_COLUMN]
         df = project_strings(df, cfg.null_policy, rv, exclude=keep)
         df = project_typed(df, targets)
@@ -188,7 +196,8 @@ def validate_export(spark: SparkSession, plan: ExportPlan, status: DataFrame, cf
     exported = {r["table_name"]: r["output_path"]
                 for r in status.where(F.col("status") == "OK").select("table_name", "output_path").collect()}
     counts = count_exported(spark, exported, cfg.mode, cfg.snapshot)
-    reconciled = reconcile_counts(plan.validation, counts)
+    # one row per table: pin it once so the write and the caller share it
+    reconciled = reconcile_counts(plan.validation, counts).checkpoint(eager=True)
     if not write:
         return reconciled
     updates = reconciled.select(*[c.split()[0] for c in VALIDATION_SCHEMA.split(", ")])

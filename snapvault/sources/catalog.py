@@ -12,6 +12,7 @@ really there.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapvault.functions.values import format_size_kb
 
 
 @dataclass
@@ -127,20 +127,53 @@ def table_profile(df: DataFrame, table_schema: str, table_name: str) -> DataFram
     )
 
 
+def table_count(df: DataFrame, table_schema: str, table_name: str, stored_bytes: int) -> DataFrame:
+    """One row: row count (Parquet answers it from footers) and known stored bytes."""
+    return df.agg(F.count(F.lit(1)).cast("long").alias("rows")).select(
+        F.lit(table_schema).alias("table_schema"),
+        F.lit(table_name).alias("table_name"),
+        "rows",
+        F.lit(int(stored_bytes)).cast("long").alias("bytes"),
+    )
+
+
+PROFILES = ("exact", "files", "none")
+
+
+def _profile_mode(profile) -> str:
+    if profile is True:
+        return "exact"
+    if profile in (False, None):
+        return "none"
+    if profile not in PROFILES:
+        raise ValueError(f"profile must be one of {PROFILES}")
+    return profile
+
+
 def catalog_from_tables(
     spark: SparkSession,
     tables: dict[str, DataFrame],
     keys: dict[str, list[str]] | None = None,
     schema: str = "dbo",
     views: dict[str, str] | None = None,
-    profile: bool = True,
+    profile="exact",
+    stored_bytes: dict[str, int] | None = None,
 ) -> Catalog:
     """Derive a catalog for DataFrames (usually Parquet tables) in one schema.
 
-    ``keys`` declares primary keys (table -> ordered key columns).  With
-    ``profile`` the row counts and space figures come from one aggregation
-    per table (union-ed into a single job); otherwise they are left empty.
+    ``keys`` declares primary keys (table -> ordered key columns).  Row counts
+    and space figures depend on ``profile``:
+
+    * ``exact``: one aggregation per table (all union-ed into a single job)
+      adds up the stored bytes of every value: exact, but reads all data;
+    * ``files``: row counts from Parquet footers and sizes from the bytes the
+      files take on storage (``stored_bytes``): no column data is read, so
+      planning stays cheap at any scale;
+    * ``none``: left empty (listings only).
     """
+    mode = _profile_mode(profile)
+    if mode == "files" and stored_bytes is None:
+        mode = "exact"  # no file sizes known (e.g. a JDBC source): measure instead
     keys = keys or {}
     views = views or {}
     schema_rows = [(1, schema), (3, "INFORMATION_SCHEMA"), (4, "sys")]
@@ -167,39 +200,31 @@ def catalog_from_tables(
     def frame(name, rows):
         return spark.createDataFrame(rows, CATALOG_SCHEMAS[name])
 
+    part_rows, space_rows = [], []
+    if mode != "none" and tables:
+        per = [table_profile(df, schema, name) if mode == "exact"
+               else table_count(df, schema, name, stored_bytes.get(name, 0))
+               for name, df in sorted(tables.items())]
+        # one job scans all tables in parallel; the result is one row per
+        # table (catalog metadata, bounded by the table count), so it is
+        # materialised once and every catalog view below reuses it
+        measured = {r["table_name"]: (r["rows"], r["bytes"])
+                    for r in reduce(DataFrame.unionByName, per).collect()}
+        for i, name in enumerate(sorted(tables)):
+            object_id = 1000 + i
+            rows, nbytes = measured[name]
+            has_key = bool(keys.get(name))
+            partition_id = object_id * 100 + 1  # one storage partition per table
+            part_rows.append((partition_id, object_id, 1 if has_key else 0, rows))
+            unit_rows.append((partition_id, "IN_ROW_DATA"))
+            if any(isinstance(f.dataType, T.StringType) for f in tables[name].schema.fields):
+                unit_rows.append((partition_id, "LOB_DATA"))  # text lives in large-object pages
+            kb = f"{math.ceil(nbytes / 1024.0):,} KB"
+            space_rows.append((schema, name, str(rows), kb, kb))
     sys_tables = frame("sys_tables", sys_table_rows)
     sys_indexes = frame("sys_indexes", index_rows)
-    if profile and tables:
-        profiles = reduce(
-            DataFrame.unionByName,
-            [table_profile(df, schema, name) for name, df in sorted(tables.items())],
-        )
-        ids = sys_tables.select("object_id", F.col("name").alias("table_name"))
-        per_table = profiles.join(F.broadcast(ids), "table_name")  # one row per table: bounded
-        per_table = per_table.join(F.broadcast(sys_indexes.select("object_id", "index_id")), "object_id")
-        # one storage partition per table; partition id derived from the object id
-        partitions = per_table.select(
-            (F.col("object_id").cast("long") * 100 + 1).alias("partition_id"),
-            "object_id", "index_id", F.col("rows"),
-        )
-        # in-row data plus a large-object unit where a table has text columns
-        text_tables = [n for n, df in tables.items()
-                       if any(isinstance(f.dataType, T.StringType) for f in df.schema.fields)]
-        for name in sorted(tables):
-            oid = 1000 + sorted(tables).index(name)
-            unit_rows.append((oid * 100 + 1, "IN_ROW_DATA"))
-            if name in text_tables:
-                unit_rows.append((oid * 100 + 1, "LOB_DATA"))
-        kb = F.ceil(F.col("bytes") / 1024.0)
-        space = profiles.select(
-            "table_schema", "table_name",
-            F.col("rows").cast("string").alias("rows"),
-            format_size_kb(kb).alias("reserved"),
-            format_size_kb(kb).alias("data"),
-        )
-    else:
-        partitions = frame("sys_partitions", [])
-        space = frame("space_used", [])
+    partitions = frame("sys_partitions", part_rows)
+    space = frame("space_used", space_rows)
     return Catalog(
         sys_schemas=frame("sys_schemas", schema_rows),
         info_tables=frame("info_tables", table_rows),

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,7 +52,21 @@ class ParquetSource:
         return self.table(schema, name)
 
     def tables(self, names: list[str] | None = None) -> dict[str, DataFrame]:
-        return {n: self.table(self.schema, n) for n in (names or self.table_names())}
+        """Open several tables at once (schema discovery reads footers: I/O bound)."""
+        names = list(names or self.table_names())
+        with ThreadPoolExecutor(max_workers=min(8, max(1, len(names)))) as pool:
+            frames = list(pool.map(lambda n: self.table(self.schema, n), names))
+        return dict(zip(names, frames))
+
+    def stored_bytes(self, names: list[str]) -> dict[str, int]:
+        """Bytes each table takes on storage, from the file system (no data read)."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        sizes = {}
+        for n in names:
+            path = jvm.org.apache.hadoop.fs.Path(self.path(n))
+            sizes[n] = int(path.getFileSystem(conf).getContentSummary(path).getLength())
+        return sizes
 
     def query(self, sql: str) -> DataFrame:
         """Run SQL over the source tables (each visible under its own name)."""
@@ -59,8 +74,10 @@ class ParquetSource:
             self.table(self.schema, name).createOrReplaceTempView(name)
         return self.spark.sql(sql)
 
-    def catalog(self, names: list[str] | None = None, profile: bool = True) -> Catalog:
-        return catalog_from_tables(self.spark, self.tables(names), self.keys, self.schema, self.views, profile)
+    def catalog(self, names: list[str] | None = None, profile="exact") -> Catalog:
+        tables = self.tables(names)
+        stored = self.stored_bytes(list(tables)) if profile == "files" else None
+        return catalog_from_tables(self.spark, tables, self.keys, self.schema, self.views, profile, stored)
 
 
 @dataclass
@@ -133,7 +150,7 @@ class JdbcSource:
             return self.table(schema, name, predicates=preds)
         return self.table(schema, name)
 
-    def catalog(self, names: list[str] | None = None, profile: bool = True) -> Catalog:
+    def catalog(self, names: list[str] | None = None, profile="exact") -> Catalog:
         """Catalog of the source.
 
         ``sqlserver``: read from the server's catalog views (needs that
