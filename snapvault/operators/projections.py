@@ -106,8 +106,9 @@ def project_typed(df: DataFrame, columns: dict[str, str], decimals: dict[str, tu
     """Cast text (or raw) columns to typed ones; ``columns`` maps column -> target type.
 
     Target types are the names ``map_type`` yields (boolean, int, bigint,
-    double, decimal, string, timestamp).  ``decimals`` gives precision and
-    scale per decimal column (default 38,18).
+    double, decimal, string, timestamp).  A column that already is a decimal
+    keeps its own precision and scale; text columns become ``decimals[col]``
+    (default 38,18).
     """
     decimals = decimals or {}
     out = []
@@ -116,6 +117,8 @@ def project_typed(df: DataFrame, columns: dict[str, str], decimals: dict[str, tu
         col = F.col(f"`{f.name}`")
         if target is None:
             out.append(col)
+        elif target == "decimal" and isinstance(f.dataType, T.DecimalType) and f.name not in decimals:
+            out.append(col)  # already decimal: keep the source's precision and scale
         elif target == "decimal":
             p, s = decimals.get(f.name, (38, 18))
             out.append(col.cast(T.DecimalType(p, s)).alias(f.name))

@@ -30,37 +30,49 @@ def table_sizes(space_used: DataFrame, size_column: str = "reserved") -> DataFra
     )
 
 
-def plan_chunks(sizes: DataFrame, keys: DataFrame, database: str,
-                target_mb: float = DEFAULT_TARGET_FILE_MB, at_least_one: bool = True) -> DataFrame:
-    """One row per chunk to export.
-
-    * keyed table: ``ceil(rows / rows_per_chunk)`` chunks of consecutive
-      key-ordered row numbers, ``[i*n + 1, min((i+1)*n, rows)]``;
-    * keyless table with rows: one chunk with all rows;
-    * empty table: one chunk with the empty range ``[1, 0]``, so an empty
-      table (with its schema) is still written and counted as 0.
+def plan_tables(sizes: DataFrame, keys: DataFrame, target_mb: float = DEFAULT_TARGET_FILE_MB,
+                at_least_one: bool = True) -> DataFrame:
+    """One row per table to export: rows, rows per chunk and chunk count.
 
     ``sizes``: table_schema, table_name, rows, size_kb (``table_sizes``).
     ``keys``: table_schema, table_name, primary_key array (``primary_keys``).
-    Only tables present in ``keys`` (the export list) are planned.
+    Keyless and empty tables get one chunk.
     """
     joined = keys.join(sizes, ["table_schema", "table_name"], "left").select(
         "table_schema", "table_name", "primary_key",
         F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
         F.coalesce("size_kb", F.lit(0.0)).alias("size_kb"),
     )
-    per_chunk = rows_per_chunk("rows", "size_kb", target_mb, at_least_one)
     keyed = F.size("primary_key") > 0
     with_n = joined.select(
         "*",
         row_size_kb("rows", "size_kb").alias("row_kb"),
-        per_chunk.alias("rows_per_chunk"),
-    ).withColumn(
+        rows_per_chunk("rows", "size_kb", target_mb, at_least_one).alias("rows_per_chunk"),
+    )
+    return with_n.withColumn(
         "n_chunks",
         F.when(F.col("rows") == 0, F.lit(1))
         .when(~keyed | (F.col("rows_per_chunk") == 0), F.lit(1))
         .otherwise(num_chunks("rows", "rows_per_chunk")),
     )
+
+
+def plan_chunks(sizes: DataFrame, keys: DataFrame, database: str,
+                target_mb: float = DEFAULT_TARGET_FILE_MB, at_least_one: bool = True) -> DataFrame:
+    """One row per chunk to export.
+
+    * keyed table: ``ceil(rows / rows_per_chunk)`` chunks of consecutive
+      key-ordered row numbers, ``[i*n + 1, min((i+1)*n, rows)]``;
+    * keyless table with rows: one chunk with all rows;
+    * empty table: one chunk with the empty range ``[1, 0]``, so an empty
+      table (with its schema) is still written and counted as 0.
+
+    ``sizes``: table_schema, table_name, rows, size_kb (``table_sizes``).
+    ``keys``: table_schema, table_name, primary_key array (``primary_keys``).
+    Only tables present in ``keys`` (the export list) are planned.
+    """
+    keyed = F.size("primary_key") > 0
+    with_n = plan_tables(sizes, keys, target_mb, at_least_one)
     chunks = with_n.withColumn("chunk_index", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)))
     start = F.when(keyed & (F.col("rows_per_chunk") > 0),
                    F.col("chunk_index").cast("long") * F.col("rows_per_chunk") + 1).otherwise(F.lit(1).cast("long"))

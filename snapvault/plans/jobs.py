@@ -39,7 +39,7 @@ from snapvault.operators.validation import (
     reconcile_counts,
     upsert_validation,
 )
-from snapvault.plans.chunks import plan_chunks, table_sizes
+from snapvault.plans.chunks import plan_chunks, plan_tables, table_sizes
 from snapvault.sinks.writers import (
     ensure_database,
     register_table,
@@ -112,18 +112,21 @@ def plan_export(source, cfg: ExportConfig) -> ExportPlan:
     stats = table_stats(cat).cache()
     keys = filter_allowlist(primary_keys(cat), cfg.tables_to_export)
     sizes = table_sizes(cat.space_used, cfg.size_column)
-    chunks = plan_chunks(sizes, keys, cfg.database, cfg.target_mb).cache()
+    chunks = plan_chunks(sizes, keys, cfg.database, cfg.target_mb)  # lazy: for inspection
     validation = init_validation(stats, cfg.snapshot)
+    # one row per table (names, keys, sizes): the only thing the driver holds
+    per_table = plan_tables(sizes, keys, cfg.target_mb).select(
+        "table_schema", "table_name", "primary_key", "rows", "rows_per_chunk", "n_chunks")
+    tables = sorted((r.asDict() for r in per_table.collect()),
+                    key=lambda m: (m["table_schema"], m["table_name"]))
     # exported tables are named without their schema: two schemas with one
     # table name would share a path, so refuse that up front
-    clashes = keys.groupBy("table_name").count().where(F.col("count") > 1).collect()
+    seen: dict[str, int] = {}
+    for m in tables:
+        seen[m["table_name"]] = seen.get(m["table_name"], 0) + 1
+    clashes = sorted(n for n, c in seen.items() if c > 1)
     if clashes:
-        raise ValueError(f"table names exported from several schemas: {[r['table_name'] for r in clashes]}")
-    per_table = (chunks.groupBy("table_schema", "table_name")
-                 .agg(F.max("rows").alias("rows"), F.max("rows_per_chunk").alias("rows_per_chunk"),
-                      F.count(F.lit(1)).alias("n_chunks"))
-                 .join(keys, ["table_schema", "table_name"]))
-    tables = [r.asDict() for r in per_table.orderBy("table_schema", "table_name").collect()]
+        raise ValueError(f"table names exported from several schemas: {clashes}")
     # column names and types of every table in one small job (metadata only)
     columns: dict = {}
     for r in cat.info_columns.select("table_schema", "table_name", "column_name", "data_type",
@@ -154,9 +157,18 @@ def _prepare_table(source, plan: ExportPlan, cfg: ExportConfig, meta: dict) -> D
     return add_snapshot(df, cfg.snapshot)
 
 
+def _describe(spark: SparkSession, text: str) -> None:
+    """Label this thread's Spark jobs (per-thread local property)."""
+    try:
+        spark.sparkContext.setLocalProperty("spark.job.description", text)
+    except Exception:  # remote sessions have no local properties
+        pass
+
+
 def export_table(source, plan: ExportPlan, cfg: ExportConfig, meta: dict) -> tuple:
     table = meta["table_name"]
     path = cfg.table_path(table)
+    _describe(source.spark, f"export {cfg.database}.{table} snapshot {cfg.snapshot}")
     try:
         df = _prepare_table(source, plan, cfg, meta)
         limit = target_records_per_file(meta["rows_per_chunk"])

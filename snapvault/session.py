@@ -48,12 +48,19 @@ def shared_root(spark: SparkSession) -> str:
 
     Read from the session; set our own only where the cluster named none.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server owns the setting
+        configured = spark.conf.get(_CHECKPOINT_KEY, None)
+        if not configured:
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a shared folder for this session")
+        return configured.removeprefix("file:")
     current = sc.getCheckpointDir()
     if current:
         return current.removeprefix("file:")
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
+        # only reached where the cluster named no folder (local runs, tests)
         configured = tempfile.mkdtemp(prefix="snapvault-ckpt-")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).removeprefix("file:")

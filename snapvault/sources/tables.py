@@ -58,10 +58,13 @@ class ParquetSource:
             frames = list(pool.map(lambda n: self.table(self.schema, n), names))
         return dict(zip(names, frames))
 
-    def stored_bytes(self, names: list[str]) -> dict[str, int]:
+    def stored_bytes(self, names: list[str]) -> dict[str, int] | None:
         """Bytes each table takes on storage, from the file system (no data read)."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        try:
+            jvm = self.spark.sparkContext._jvm
+            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        except Exception:  # no JVM handle (remote session): measure the data instead
+            return None
         sizes = {}
         for n in names:
             path = jvm.org.apache.hadoop.fs.Path(self.path(n))

@@ -147,3 +147,28 @@ def test_row_size_kb(spark):
     df = spark.createDataFrame([(0, 10.0), (4, 10.0), (4, 0.0)], "r long, k double")
     got = [r[0] for r in df.select(V.row_size_kb("r", "k")).collect()]
     assert got[0] == 0.0 and math.isclose(got[1], 2.5) and got[2] == 0.0
+
+
+def test_project_typed_keeps_source_decimals(spark):
+    from decimal import Decimal
+    from snapvault.operators.projections import project_typed
+    df = spark.createDataFrame([(Decimal("123456789012345678901234.56"), "12.5", "1")],
+                               "d decimal(30,2), t string, b string")
+    out = project_typed(df, {"d": "decimal", "t": "decimal", "b": "boolean"}, decimals={"t": (10, 3)})
+    assert dict(out.dtypes) == {"d": "decimal(30,2)", "t": "decimal(10,3)", "b": "boolean"}
+    row = out.first()
+    assert row["d"] == Decimal("123456789012345678901234.56") and row["t"] == Decimal("12.500") and row["b"] is True
+
+
+def test_project_strings_null_policies(spark):
+    import datetime as dt
+    from decimal import Decimal
+    from snapvault.operators.projections import project_strings
+    rows = [(1, 2.5, True, Decimal("3.10"), dt.datetime(2024, 1, 2, 3, 4, 5), "x", None),
+            (None, None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "i int, d double, b boolean, m decimal(10,2), ts timestamp_ntz, s string, n string")
+    keep = project_strings(df).collect()
+    assert tuple(keep[0]) == ("1", "2.5", "true", "3.10", "2024-01-02 03:04:05", "x", None)
+    assert all(v is None for v in keep[1])
+    lit = project_strings(df, null_policy="literal").collect()
+    assert all(v == "None" for v in lit[1]) and lit[0]["n"] == "None"
