@@ -635,6 +635,33 @@ def _export_counts_sql(snaps, tables=None) -> str:
         f"FROM {t}" for t in (tables or TABLES) for s in snaps)
 
 
+def _cp1252_decode_sql() -> str:
+    """cp1252-first decoding of each text's UTF-8 bytes, spelled out in SQL.
+
+    The UTF-8 bytes are rebuilt from code points; a text whose bytes include
+    a byte cp1252 leaves undefined falls back to UTF-8 (the text itself);
+    otherwise every byte maps through cp1252 (table from Python's codec).
+    """
+    from snapvault.functions.fixed import CP1252_HIGH_BYTES, CP1252_HIGH_CHARS, CP1252_UNDEFINED_BYTES
+    undefined = ", ".join(str(ord(c)) for c in CP1252_UNDEFINED_BYTES)
+    cases = " ".join(f"WHEN {ord(b)} THEN '{c}'" for b, c in zip(CP1252_HIGH_BYTES, CP1252_HIGH_CHARS))
+    u = "unicode(ch)"
+    utf8 = (f"CASE WHEN {u} < 128 THEN [{u}] "
+            f"WHEN {u} < 2048 THEN [192 | ({u} >> 6), 128 | ({u} & 63)] "
+            f"WHEN {u} < 65536 THEN [224 | ({u} >> 12), 128 | (({u} >> 6) & 63), 128 | ({u} & 63)] "
+            f"ELSE [240 | ({u} >> 18), 128 | (({u} >> 12) & 63), 128 | (({u} >> 6) & 63), 128 | ({u} & 63)] END")
+    return f"""
+WITH b AS (
+  SELECT doc_id, text,
+         flatten(list_transform(list_filter(string_split(text, ''), lambda ch: ch <> ''), lambda ch: {utf8})) AS bytes
+  FROM documents)
+SELECT doc_id,
+       CASE WHEN text IS NULL THEN NULL
+            WHEN list_has_any(bytes, [{undefined}]) THEN text
+            ELSE array_to_string(list_transform(bytes, lambda x: CASE x {cases} ELSE chr(x) END), '') END AS decoded
+FROM b"""
+
+
 def oracle_sql() -> dict[str, str]:
     orders_strings = _strings_sql("orders")
     orders_snap = lambda s: _strings_sql("orders", f", '{s}' AS extraction_timestamp")
@@ -695,6 +722,9 @@ SELECT name, type, 'removed' AS side FROM (SELECT * FROM d EXCEPT ALL SELECT * F
 UNION ALL
 SELECT name, type, 'added' AS side FROM (SELECT * FROM e EXCEPT ALL SELECT * FROM d)""",
         "decode_text": "SELECT doc_id, text AS decoded FROM documents",
+        "decode_text_cp1252": _cp1252_decode_sql(),
+        "stream_landing": " UNION ALL ".join(
+            f"SELECT '{t}.parquet' AS file_name, TRUE AS accepted, '{DATABASE}' AS database" for t in TABLES),
         "rowversion_hex": "SELECT o_orderkey, lower(printf('%016x', o_orderkey)) AS rowversion FROM orders",
         "parse_size_kb": f"SELECT table_name, rows, size_kb FROM ({_sizes_sql()})",
         "rows_per_chunk": f"""

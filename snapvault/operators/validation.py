@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,13 @@ def count_exported(spark: SparkSession, tables: dict[str, str], mode: str = "inc
     check_mode(mode)
     parts = []
     for name, path in sorted(tables.items()):
-        df = scan_exported(spark, path, snapshot if mode == "incremental" else None)
+        try:
+            df = scan_exported(spark, path, snapshot if mode == "incremental" else None)
+        except AnalysisException:
+            # nothing readable at the path: report 0 so the row shows MISMATCH
+            parts.append(spark.createDataFrame([(name, snapshot, 0)],
+                                               "table_name string, extraction_timestamp string, exported_row_count long"))
+            continue
         if mode == "incremental" and snapshot is None:
             agg = df.groupBy(SNAPSHOT_COLUMN).agg(F.count(F.lit(1)).alias("exported_row_count"))
         else:

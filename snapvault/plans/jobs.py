@@ -175,7 +175,7 @@ def export_table(source, plan: ExportPlan, cfg: ExportConfig, meta: dict) -> tup
         if cfg.mode == "full":
             write_full(df, path, limit)
         else:
-            write_incremental(df, path, None, limit)
+            write_incremental(df, path, cfg.snapshot, limit)
         if cfg.register:
             register_table(source.spark, cfg.database, table, table_columns(df, cfg.mode), path, cfg.mode,
                            ", ".join(meta["primary_key"] or []),

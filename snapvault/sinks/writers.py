@@ -42,9 +42,21 @@ def write_incremental(df: DataFrame, path: str, snapshot: str | None = None,
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(SNAPSHOT_COLUMN)
      .save(path))
+    if snapshot is not None:
+        part = f"{path.rstrip('/')}/{SNAPSHOT_COLUMN}={snapshot}"
+        if not path_exists(df.sparkSession, part):
+            # an empty table writes no partition; keep one empty file with the
+            # schema so the snapshot exists and counts as 0 rows
+            df.drop(SNAPSHOT_COLUMN).where(F.lit(False)).coalesce(1).write.mode("overwrite").parquet(part)
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
 def write_views(df: DataFrame, path: str) -> str:
     """Overwrite the view-definition table."""
     df.write.format("parquet").mode("overwrite").save(path)
@@ -82,10 +94,12 @@ def _column_ddl(columns: list[tuple[str, str]]) -> str:
 
 
 def table_columns(df: DataFrame, mode: str) -> list[tuple[str, str]]:
-    """(name, type) list a table entry declares for an export of ``df``."""
+    """(name, type) list a table entry declares for an export of ``df``.
+
+    The snapshot column comes last in both modes: an ordinary column in a
+    full export, the partition column in an incremental one.
+    """
     cols = [(f.name, f.dataType.simpleString()) for f in df.schema.fields if f.name != SNAPSHOT_COLUMN]
-    if mode == "incremental":
-        return cols + [(SNAPSHOT_COLUMN, "string")]
     return cols + [(SNAPSHOT_COLUMN, "string")]
 
 

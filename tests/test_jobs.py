@@ -113,3 +113,21 @@ def test_name_collision_is_refused(spark, catalog, tmp_dir):
 def test_bad_mode_is_refused(tmp_dir):
     with pytest.raises(ValueError):
         ExportConfig(database="db", output_root=tmp_dir, mode="delta")
+
+
+@pytest.mark.parametrize("mode", ["incremental", "full"])
+def test_empty_table_is_written_and_counted_zero(spark, tmp_dir, mode):
+    src_dir = os.path.join(tmp_dir, "src")
+    os.makedirs(src_dir)
+    spark.read.parquet(f"{SF}/region.parquet").where("r_regionkey < 0").coalesce(1) \
+        .write.parquet(os.path.join(src_dir, "empty_region"))
+    spark.read.parquet(f"{SF}/nation.parquet").write.parquet(os.path.join(src_dir, "nation"))
+    src = ParquetSource(spark, src_dir, keys={"nation": ["n_nationkey"]})
+    cfg = ExportConfig(database="shop", output_root=os.path.join(tmp_dir, "out"), mode=mode,
+                       snapshot="20240101000000Z")
+    res = run_export(src, cfg)
+    got = {r["table_name"]: (r["original_row_count"], r["exported_row_count"], r["status"])
+           for r in res.validation.collect()}
+    assert got == {"empty_region": (0, 0, "MATCH"), "nation": (25, 25, "MATCH")}
+    back = spark.read.parquet(cfg.table_path("empty_region"))
+    assert back.count() == 0 and "r_name" in back.columns

@@ -15,7 +15,7 @@ def _status_events(df):
         F.lit("Step Functions Execution Status Change").alias("detail_type"),
         F.struct(
             F.concat(F.lit("arn:x:"), F.col("event_id").cast("string")).alias("executionArn"),
-            F.when(F.col("user_id") % 2 == 0, "arn:m:export").otherwise("arn:m:other").alias("stateMachineArn"),
+            F.when(F.col("event_type") == "view", "arn:m:other").otherwise("arn:m:export").alias("stateMachineArn"),
             F.col("event_type").alias("name"),
             F.when(F.col("event_type") == "error", "FAILED")
              .when(F.col("event_type") == "click", "TIMED_OUT")

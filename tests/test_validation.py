@@ -12,12 +12,14 @@ def test_count_exported_modes(spark, tmp_dir):
     orders = project_strings(spark.read.parquet(f"{SF}/orders.parquet"))
     inc, full = os.path.join(tmp_dir, "inc"), os.path.join(tmp_dir, "full")
     write_incremental(orders, inc, "20240101000000Z")
-    write_incremental(orders.limit(10), inc, "20240201000000Z")
+    finished = orders.where("o_orderstatus = 'F'")
+    write_incremental(finished, inc, "20240201000000Z")
+    n_finished = finished.count()
     write_full(orders.withColumn("extraction_timestamp", orders.o_orderkey.cast("string")), full)
     per_snap = {(r[0], r[1]): r[2] for r in VA.count_exported(spark, {"orders": inc}).collect()}
-    assert per_snap == {("orders", "20240101000000Z"): 1500, ("orders", "20240201000000Z"): 10}
+    assert per_snap == {("orders", "20240101000000Z"): 1500, ("orders", "20240201000000Z"): n_finished}
     one = VA.count_exported(spark, {"orders": inc}, snapshot="20240201000000Z").first()
-    assert one["exported_row_count"] == 10
+    assert one["exported_row_count"] == n_finished
     assert VA.count_exported(spark, {"orders": full}, "full").first()["exported_row_count"] == 1500
 
 
