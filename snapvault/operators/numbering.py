@@ -97,9 +97,11 @@ def scan_chunked(df: DataFrame, pk: list[str], rows_per_chunk: int, keep_row_num
 def key_ordered(df: DataFrame, pk: list[str], num_chunks: int) -> DataFrame:
     """Key-ordered output partitions of about equal size, without numbering.
 
-    One range shuffle; each output partition (and so each file) holds a
-    contiguous key range in key order.  This is what an export needs when
-    it wants key-ordered files but not the ``rn`` column.
+    One range shuffle into ``num_chunks`` partitions, each sorted: every
+    partition holds a contiguous key range, and the files a task writes
+    (cut by ``maxRecordsPerFile``) hold contiguous sub-ranges in key order.
+    This is what an export needs when it wants key-ordered files but not the
+    ``rn`` column.
     """
     order = _order(pk) + [F.col(_TIE).asc()]  # ties split by input position (hot keys)
     keyed = df.withColumn(_TIE, F.monotonically_increasing_id())

@@ -10,6 +10,7 @@ run status instead of stopping the rest.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 import os
 import traceback
 from concurrent.futures import ThreadPoolExecutor
@@ -40,6 +41,7 @@ from snapvault.operators.validation import (
     upsert_validation,
 )
 from snapvault.plans.chunks import plan_chunks, plan_tables, table_sizes
+from snapvault.streaming.streams import status_events_from_runs
 from snapvault.sinks.writers import (
     ensure_database,
     register_table,
@@ -80,6 +82,12 @@ class ExportConfig:
     # how a file-backed source measures table sizes for chunk planning:
     # "files" (footers + storage sizes, no data read) or "exact" (one scan)
     size_estimate: str = "files"
+    # data per task when a table is re-partitioned (key order, numbering) or
+    # read over JDBC; files stay at target_mb through maxRecordsPerFile
+    partition_mb: float = 256.0
+    # where failed tables are reported as status events (read by stream_failures)
+    events_path: str | None = None
+    machine_arn: str = "snapvault:export"
 
     def __post_init__(self):
         check_mode(self.mode)
@@ -138,15 +146,27 @@ def plan_export(source, cfg: ExportConfig) -> ExportPlan:
     return ExportPlan(stats, keys, chunks, validation, tables, cat, columns)
 
 
+def task_partitions(meta: dict, cfg: ExportConfig) -> int:
+    """Tasks for one table: about ``partition_mb`` of data each.
+
+    A chunk holds about ``target_mb``, so a table of ``n_chunks`` chunks
+    holds about ``n_chunks * target_mb``; each task then writes several
+    chunk-sized files (``maxRecordsPerFile``) of contiguous keys.
+    """
+    n_chunks = int(meta.get("n_chunks") or 1)
+    return max(1, math.ceil(n_chunks * float(cfg.target_mb) / float(cfg.partition_mb)))
+
+
 def _prepare_table(source, plan: ExportPlan, cfg: ExportConfig, meta: dict) -> DataFrame:
     schema, table, pk = meta["table_schema"], meta["table_name"], list(meta["primary_key"] or [])
-    df = source.table_for_export(schema, table, pk, int(meta["n_chunks"] or 1))
+    tasks = task_partitions(meta, cfg)
+    df = source.table_for_export(schema, table, pk, tasks)
     cols = plan.columns.get((schema, table), [])
     rv = [name for name, source_type, _ in cols if source_type.lower() in ROWVERSION_TYPES]
     if cfg.keep_row_number and pk:
-        df = row_number_pk(df, pk)
+        df = row_number_pk(df, pk, num_partitions=tasks)
     elif cfg.order_by_key and pk and meta["n_chunks"] > 1:
-        df = key_ordered(df, pk, meta["n_chunks"])
+        df = key_ordered(df, pk, tasks)
     if cfg.typed:
         targets = {name: target for name, _, target in cols if name not in rv}
         keep = [c for c in df.columns if c in targets or c == ROW_NUMBER_COLUMN]
@@ -247,6 +267,10 @@ def run_export(source, cfg: ExportConfig) -> RunResult:
     """Plan, export, validate and (optionally) export views, in that order."""
     plan = plan_export(source, cfg)
     status = export_tables(source, plan, cfg).cache()
+    if cfg.events_path:
+        # one event per failed table, appended where the alert stream listens
+        events = status_events_from_runs(status, cfg.machine_arn)
+        events.write.mode("append").parquet(cfg.events_path)
     validation = validate_export(source.spark, plan, status, cfg)
     views = export_views(source, cfg) if cfg.get_views else None
     return RunResult(plan, status, validation, views)

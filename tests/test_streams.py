@@ -72,3 +72,30 @@ def test_status_events_from_runs(spark):
     alerts = S.failure_alerts(ev, machines=["arn:m:export"]).collect()
     assert sorted(r["ExecutionName"] for r in alerts) == [
         "Failed to extract data for b table.", "Failed to extract data for c table."]
+
+
+def test_failed_tables_reach_the_alert_stream(spark, tmp_dir):
+    from snapvault.plans.jobs import ExportConfig, run_export
+    from snapvault.sources.tables import ParquetSource
+
+    class Flaky(ParquetSource):
+        def table_names(self):
+            return ["region", "nation"]
+
+        def table_for_export(self, schema, name, pk, n_chunks):
+            if name == "nation":
+                raise OSError("connection reset while reading nation")
+            return super().table_for_export(schema, name, pk, n_chunks)
+
+    events_dir = os.path.join(tmp_dir, "events")
+    cfg = ExportConfig(database="shop", output_root=os.path.join(tmp_dir, "out"), snapshot="20240101000000Z",
+                       events_path=events_dir, machine_arn="arn:m:export")
+    res = run_export(Flaky(spark, SF, keys={"region": ["r_regionkey"]}), cfg)
+    assert {r["table_name"]: r["status"] for r in res.status.collect()} == {"region": "OK", "nation": "FAILED"}
+    assert {r["table_name"]: r["status"] for r in res.validation.collect()} == {
+        "region": "MATCH", "nation": "NOT_EXPORTED"}
+    stream = spark.readStream.schema(S.STATUS_EVENT_SCHEMA).parquet(events_dir)
+    S.stream_failures(stream, os.path.join(tmp_dir, "alerts"), machines=["arn:m:export"])
+    alerts = spark.read.parquet(os.path.join(tmp_dir, "alerts", "alerts")).collect()
+    assert [(a["ExecutionName"], a["Status"]) for a in alerts] == [
+        ("Failed to extract data for nation table.", "FAILED")]
