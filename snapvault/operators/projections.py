@@ -14,6 +14,11 @@ from snapvault.functions.values import decode_text, rowversion_hex
 NULL_POLICIES = ("preserve", "literal")
 
 
+def _quoted(name: str) -> Column:
+    """A column by its exact name (dots, spaces or backticks included)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 # ---------------------------------------------------------------- filters
 
 def filter_pattern(df: DataFrame, column: str, patterns) -> DataFrame:
@@ -91,7 +96,7 @@ def project_strings(df: DataFrame, null_policy: str = "preserve", rowversion_col
     rv = {c.lower() for c in rowversion_cols}
     out = []
     for f in df.schema.fields:
-        col = F.col(f"`{f.name}`")
+        col = _quoted(f.name)
         if f.name in exclude:
             out.append(col)
         elif f.name.lower() in rv:
@@ -114,7 +119,7 @@ def project_typed(df: DataFrame, columns: dict[str, str], decimals: dict[str, tu
     out = []
     for f in df.schema.fields:
         target = columns.get(f.name)
-        col = F.col(f"`{f.name}`")
+        col = _quoted(f.name)
         if target is None:
             out.append(col)
         elif target == "decimal" and isinstance(f.dataType, T.DecimalType) and f.name not in decimals:

@@ -12,7 +12,9 @@ from __future__ import annotations
 import datetime as _dt
 import math
 import os
+import threading
 import traceback
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -88,6 +90,9 @@ class ExportConfig:
     # where failed tables are reported as status events (read by stream_failures)
     events_path: str | None = None
     machine_arn: str = "snapvault:export"
+    # per-table time limit in seconds: the table's Spark jobs are cancelled and
+    # it is recorded as TIMED_OUT; the run goes on (None: no limit)
+    table_timeout_s: float | None = None
 
     def __post_init__(self):
         check_mode(self.mode)
@@ -177,35 +182,59 @@ def _prepare_table(source, plan: ExportPlan, cfg: ExportConfig, meta: dict) -> D
     return add_snapshot(df, cfg.snapshot)
 
 
-def _describe(spark: SparkSession, text: str) -> None:
-    """Label this thread's Spark jobs (per-thread local property)."""
+def _job_group(spark: SparkSession, group: str, text: str) -> bool:
+    """Put this thread's Spark jobs in a cancellable group; False if unsupported."""
     try:
-        spark.sparkContext.setLocalProperty("spark.job.description", text)
-    except Exception:  # remote sessions have no local properties
-        pass
+        spark.sparkContext.setJobGroup(group, text, interruptOnCancel=True)
+        return True
+    except Exception:  # remote sessions: no job groups
+        return False
 
 
 def export_table(source, plan: ExportPlan, cfg: ExportConfig, meta: dict) -> tuple:
     table = meta["table_name"]
     path = cfg.table_path(table)
-    _describe(source.spark, f"export {cfg.database}.{table} snapshot {cfg.snapshot}")
+    spark = source.spark
+    group = f"snapvault-{cfg.database}-{table}-{uuid.uuid4().hex[:8]}"
+    grouped = _job_group(spark, group, f"export {cfg.database}.{table} snapshot {cfg.snapshot}")
+    expired = threading.Event()
+    timer = None
+    if cfg.table_timeout_s and grouped:
+        def cancel():
+            expired.set()
+            spark.sparkContext.cancelJobGroup(group)
+        timer = threading.Timer(float(cfg.table_timeout_s), cancel)
+        timer.daemon = True
+        timer.start()
     try:
-        df = _prepare_table(source, plan, cfg, meta)
-        limit = target_records_per_file(meta["rows_per_chunk"])
-        if cfg.mode == "full":
-            write_full(df, path, limit)
-        else:
-            write_incremental(df, path, cfg.snapshot, limit)
-        if cfg.register:
-            register_table(source.spark, cfg.database, table, table_columns(df, cfg.mode), path, cfg.mode,
-                           ", ".join(meta["primary_key"] or []),
-                           f"Imported from {source.database}.{meta['table_schema']}.{table}")
-            if cfg.mode == "incremental":
-                refresh_partitions(source.spark, cfg.database, table)
-        return (cfg.database, table, "OK", None, path)
+        return _export_one(source, plan, cfg, meta, table, path)
     except Exception as exc:  # recorded per table; the run goes on
+        if expired.is_set():
+            return (cfg.database, table, "TIMED_OUT", FAILURE_MESSAGE_FORMAT % table, path)
         detail = "".join(traceback.format_exception_only(type(exc), exc)).strip()
         return (cfg.database, table, "FAILED", (FAILURE_MESSAGE_FORMAT % table) + " " + detail[:2000], path)
+    finally:
+        if timer is not None:
+            timer.cancel()
+        if grouped:
+            for key in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+                spark.sparkContext.setLocalProperty(key, None)
+
+
+def _export_one(source, plan: ExportPlan, cfg: ExportConfig, meta: dict, table: str, path: str) -> tuple:
+    df = _prepare_table(source, plan, cfg, meta)
+    limit = target_records_per_file(meta["rows_per_chunk"])
+    if cfg.mode == "full":
+        write_full(df, path, limit)
+    else:
+        write_incremental(df, path, cfg.snapshot, limit)
+    if cfg.register:
+        register_table(source.spark, cfg.database, table, table_columns(df, cfg.mode), path, cfg.mode,
+                       ", ".join(meta["primary_key"] or []),
+                       f"Imported from {source.database}.{meta['table_schema']}.{table}")
+        if cfg.mode == "incremental":
+            refresh_partitions(source.spark, cfg.database, table)
+    return (cfg.database, table, "OK", None, path)
 
 
 def export_tables(source, plan: ExportPlan, cfg: ExportConfig, extra_tables: list[dict] | None = None) -> DataFrame:
@@ -225,8 +254,11 @@ def validate_export(spark: SparkSession, plan: ExportPlan, status: DataFrame, cf
     partition is replaced as a whole (dynamic overwrite), so re-running the
     validation is idempotent.
     """
+    # every table that got to write is counted: a timed-out table shows what
+    # arrived (MISMATCH); a failed one counts as not exported
     exported = {r["table_name"]: r["output_path"]
-                for r in status.where(F.col("status") == "OK").select("table_name", "output_path").collect()}
+                for r in status.where(F.col("status").isin("OK", "TIMED_OUT"))
+                .select("table_name", "output_path").collect()}
     counts = count_exported(spark, exported, cfg.mode, cfg.snapshot)
     # one row per table: pin it once so the write and the caller share it
     reconciled = reconcile_counts(plan.validation, counts).checkpoint(eager=True)

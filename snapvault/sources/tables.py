@@ -102,7 +102,13 @@ class JdbcSource:
     schema: str = "dbo"
     table_list: list[str] = field(default_factory=list)   # generic dialect: tables to catalog
     keys: dict[str, list[str]] = field(default_factory=dict)
-    hash_predicate: str | None = None  # e.g. "ABS(CHECKSUM({cols})) % {n} = {i}" for non-numeric keys
+    # split predicate for keys that are not one numeric/date column; the
+    # sqlserver dialect gets a checksum split by default
+    hash_predicate: str | None = None
+
+    def __post_init__(self):
+        if self.hash_predicate is None and self.dialect == "sqlserver":
+            self.hash_predicate = "ABS(CAST(CHECKSUM({cols}) AS BIGINT)) % {n} = {i}"
 
     def _reader(self):
         reader = self.spark.read.format("jdbc").option("url", self.url).option("fetchsize", self.fetchsize)

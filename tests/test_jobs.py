@@ -131,3 +131,32 @@ def test_empty_table_is_written_and_counted_zero(spark, tmp_dir, mode):
     assert got == {"empty_region": (0, 0, "MATCH"), "nation": (25, 25, "MATCH")}
     back = spark.read.parquet(cfg.table_path("empty_region"))
     assert back.count() == 0 and "r_name" in back.columns
+
+
+def test_slow_table_times_out_and_run_goes_on(spark, tmp_dir):
+    import time as _time
+
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    @F.udf(T.StringType())
+    def slow(x):  # test-only: makes one table's export take long
+        _time.sleep(1.0)
+        return str(x)
+
+    class Slow(ParquetSource):
+        def table_names(self):
+            return ["region", "nation"]
+
+        def table_for_export(self, schema, name, pk, n_chunks):
+            df = super().table_for_export(schema, name, pk, n_chunks)
+            return df.withColumn("n_name", slow("n_name")).repartition(1) if name == "nation" else df
+
+    cfg = ExportConfig(database="shop", output_root=tmp_dir, snapshot="20240101000000Z", table_timeout_s=3)
+    t0 = _time.time()
+    res = run_export(Slow(spark, SF), cfg)
+    assert _time.time() - t0 < 25 * 1.0  # cancelled well before 25 rows x 1 s
+    got = {r["table_name"]: r["status"] for r in res.status.collect()}
+    assert got == {"region": "OK", "nation": "TIMED_OUT"}
+    val = {r["table_name"]: r["status"] for r in res.validation.collect()}
+    assert val["region"] == "MATCH" and val["nation"] in ("MISMATCH", "NOT_EXPORTED")

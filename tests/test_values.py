@@ -172,3 +172,10 @@ def test_project_strings_null_policies(spark):
     assert all(v is None for v in keep[1])
     lit = project_strings(df, null_policy="literal").collect()
     assert all(v == "None" for v in lit[1]) and lit[0]["n"] == "None"
+
+
+def test_project_strings_odd_column_names(spark):
+    from snapvault.operators.projections import project_strings
+    df = spark.createDataFrame([(1, 2)], "`a.b` int, `c``d` int")
+    out = project_strings(df)
+    assert out.columns == ["a.b", "c`d"] and tuple(out.first()) == ("1", "2")
