@@ -663,6 +663,13 @@ FROM b"""
 
 
 def oracle_sql() -> dict[str, str]:
+    """DuckDB statements equal in value to each query.
+
+    A count column that holds NULLs (exported counts not known yet) reaches
+    pandas as float64 from Spark, since Spark's conversion has no nullable
+    integer; the oracles state those same values as DOUBLE so both sides
+    compare in one representation (NULL -> NaN, 40 -> 40.0).
+    """
     orders_strings = _strings_sql("orders")
     orders_snap = lambda s: _strings_sql("orders", f", '{s}' AS extraction_timestamp")
     not_pattern = " OR ".join(f"p_name ILIKE '{p}'" for p in PART_PATTERNS)
@@ -700,7 +707,8 @@ FROM n JOIN p ON n.rn BETWEEN p.i * {CHUNK_ROWS // 10} + 1 AND LEAST(p.i * {CHUN
         "table_stats": counts,
         "reconcile_counts": f"""
 WITH o AS ({counts}), e AS ({_export_counts_sql([SNAP_1], exported_tables)})
-SELECT o.table_name, o.original_row_count, e.exported_row_count, '{SNAP_1}' AS extraction_timestamp,
+SELECT o.table_name, o.original_row_count, CAST(e.exported_row_count AS DOUBLE) AS exported_row_count,
+       '{SNAP_1}' AS extraction_timestamp,
        CASE WHEN e.exported_row_count IS NULL THEN 'NOT_EXPORTED'
             WHEN e.exported_row_count = o.original_row_count THEN 'MATCH' ELSE 'MISMATCH' END AS status
 FROM o LEFT JOIN e ON o.table_name = e.table_name""",
@@ -755,13 +763,13 @@ FROM pages""",
         "target_file_size": "SELECT 'lineitem' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows, TRUE AS within_limit "
                             "FROM lineitem",
         "register_table": orders_snap(SNAP_1),
-        "init_validation": f"SELECT table_name, original_row_count, CAST(NULL AS BIGINT) AS exported_row_count, "
+        "init_validation": f"SELECT table_name, original_row_count, CAST(NULL AS DOUBLE) AS exported_row_count, "
                            f"'{SNAP_1}' AS extraction_timestamp FROM ({counts})",
         "upsert_validation": f"""
-SELECT table_name, original_row_count, CAST(NULL AS BIGINT) AS exported_row_count,
+SELECT table_name, original_row_count, CAST(NULL AS DOUBLE) AS exported_row_count,
        '{SNAP_1}' AS extraction_timestamp FROM ({counts})
 UNION ALL
-SELECT table_name, original_row_count, original_row_count AS exported_row_count,
+SELECT table_name, original_row_count, CAST(original_row_count AS DOUBLE) AS exported_row_count,
        '{SNAP_2}' AS extraction_timestamp FROM ({counts})""",
         "stream_failures": """
 SELECT 'arn:machine:export' AS StateMachineARN, 'arn:execution:' || CAST(event_id AS VARCHAR) AS ExecutionARN,
