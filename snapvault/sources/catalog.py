@@ -13,7 +13,6 @@ really there.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,20 +21,33 @@ from pyspark.sql import types as T
 
 
 
-@dataclass
 class Catalog:
-    sys_schemas: DataFrame          # schema_id int, name string
-    info_tables: DataFrame          # table_schema, table_name, table_type string
-    sys_tables: DataFrame           # object_id int, schema_id int, name string
-    sys_columns: DataFrame          # object_id int, column_id int, name string
-    sys_indexes: DataFrame          # object_id int, index_id int, is_primary_key boolean
-    sys_index_columns: DataFrame    # object_id, index_id, column_id, key_ordinal int
-    sys_partitions: DataFrame       # partition_id long, object_id int, index_id int, rows long
-    sys_allocation_units: DataFrame  # container_id long, type_desc string
-    info_columns: DataFrame         # table_schema, table_name, column_name, data_type string, ordinal_position int
-    space_used: DataFrame           # table_schema, table_name, rows, reserved, data string
-    sys_views: DataFrame            # object_id int, name string
-    sys_sql_modules: DataFrame      # object_id int, definition string
+    """One DataFrame per catalog view, built on first use.
+
+    Views (columns as in ``CATALOG_SCHEMAS``): sys_schemas, info_tables,
+    sys_tables, sys_columns, sys_indexes, sys_index_columns, sys_partitions,
+    sys_allocation_units, info_columns, space_used, sys_views,
+    sys_sql_modules.  Each is given as a DataFrame or as a function that
+    builds one, so a listing that needs one view builds (or, over JDBC,
+    queries) only that view.
+    """
+
+    def __init__(self, **views):
+        unknown = set(views) - set(CATALOG_SCHEMAS)
+        if unknown:
+            raise TypeError(f"unknown catalog views: {sorted(unknown)}")
+        self._views = dict(views)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in CATALOG_SCHEMAS:
+            raise AttributeError(name)
+        view = self._views.get(name)
+        if view is None:
+            raise AttributeError(f"catalog view {name} was not provided")
+        if not isinstance(view, DataFrame):
+            view = view()
+            self._views[name] = view
+        return view
 
 
 CATALOG_SCHEMAS = {
@@ -56,8 +68,9 @@ CATALOG_SCHEMAS = {
 
 def catalog_from_rows(spark: SparkSession, **rows) -> Catalog:
     """Build a catalog from literal rows (tests, or metadata fetched elsewhere)."""
-    frames = {name: spark.createDataFrame(rows.get(name, []), schema) for name, schema in CATALOG_SCHEMAS.items()}
-    return Catalog(**frames)
+    def build(name, schema):
+        return lambda: spark.createDataFrame(rows.get(name, []), schema)
+    return Catalog(**{name: build(name, schema) for name, schema in CATALOG_SCHEMAS.items()})
 
 
 # ---------------------------------------------------------------- Spark type -> source type names
@@ -198,7 +211,7 @@ def catalog_from_tables(
         module_rows.append((5000 + k, definition))
 
     def frame(name, rows):
-        return spark.createDataFrame(rows, CATALOG_SCHEMAS[name])
+        return lambda: spark.createDataFrame(rows, CATALOG_SCHEMAS[name])
 
     part_rows, space_rows = [], []
     if mode != "none" and tables:

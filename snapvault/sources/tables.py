@@ -171,19 +171,19 @@ class JdbcSource:
             return catalog_from_tables(self.spark, tables, self.keys, self.schema, profile=profile)
         q = self.query
         return Catalog(
-            sys_schemas=q("SELECT schema_id, name FROM sys.schemas"),
-            info_tables=q("SELECT TABLE_SCHEMA AS table_schema, TABLE_NAME AS table_name, "
+            sys_schemas=lambda: q("SELECT schema_id, name FROM sys.schemas"),
+            info_tables=lambda: q("SELECT TABLE_SCHEMA AS table_schema, TABLE_NAME AS table_name, "
                           "TABLE_TYPE AS table_type FROM INFORMATION_SCHEMA.TABLES"),
-            sys_tables=q("SELECT object_id, schema_id, name FROM sys.tables"),
-            sys_columns=q("SELECT object_id, column_id, name FROM sys.columns"),
-            sys_indexes=q("SELECT object_id, index_id, CAST(is_primary_key AS bit) AS is_primary_key FROM sys.indexes"),
-            sys_index_columns=q("SELECT object_id, index_id, column_id, key_ordinal FROM sys.index_columns"),
-            sys_partitions=q("SELECT partition_id, object_id, index_id, rows FROM sys.partitions"),
-            sys_allocation_units=q("SELECT container_id, type_desc FROM sys.allocation_units"),
-            info_columns=q("SELECT TABLE_SCHEMA AS table_schema, TABLE_NAME AS table_name, "
+            sys_tables=lambda: q("SELECT object_id, schema_id, name FROM sys.tables"),
+            sys_columns=lambda: q("SELECT object_id, column_id, name FROM sys.columns"),
+            sys_indexes=lambda: q("SELECT object_id, index_id, CAST(is_primary_key AS bit) AS is_primary_key FROM sys.indexes"),
+            sys_index_columns=lambda: q("SELECT object_id, index_id, column_id, key_ordinal FROM sys.index_columns"),
+            sys_partitions=lambda: q("SELECT partition_id, object_id, index_id, rows FROM sys.partitions"),
+            sys_allocation_units=lambda: q("SELECT container_id, type_desc FROM sys.allocation_units"),
+            info_columns=lambda: q("SELECT TABLE_SCHEMA AS table_schema, TABLE_NAME AS table_name, "
                            "COLUMN_NAME AS column_name, DATA_TYPE AS data_type, "
                            "ORDINAL_POSITION AS ordinal_position FROM INFORMATION_SCHEMA.COLUMNS"),
-            space_used=q(
+            space_used=lambda: q(
                 "SELECT s.name AS table_schema, t.name AS table_name, "
                 "CAST(SUM(CASE WHEN i.index_id <= 1 THEN p.rows ELSE 0 END) AS varchar(32)) AS rows, "
                 "CONCAT(FORMAT(SUM(a.total_pages) * 8, 'N0'), ' KB') AS reserved, "
@@ -193,8 +193,8 @@ class JdbcSource:
                 "JOIN sys.partitions p ON i.object_id = p.object_id AND i.index_id = p.index_id "
                 "JOIN sys.allocation_units a ON p.partition_id = a.container_id "
                 "GROUP BY s.name, t.name"),
-            sys_views=q("SELECT object_id, name FROM sys.views"),
-            sys_sql_modules=q("SELECT object_id, definition FROM sys.sql_modules"),
+            sys_views=lambda: q("SELECT object_id, name FROM sys.views"),
+            sys_sql_modules=lambda: q("SELECT object_id, definition FROM sys.sql_modules"),
         )
 
 
