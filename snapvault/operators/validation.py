@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapvault.functions.fixed import ROW_NUMBER_COLUMN, SNAPSHOT_COLUMN
+from snapvault.sources.catalog import UNION_BATCH, collect_in_batches
 from snapvault.sources.tables import scan_exported
 
 VALIDATION_SCHEMA = (
@@ -48,9 +49,13 @@ def count_exported(spark: SparkSession, tables: dict[str, str], mode: str = "inc
                 SNAPSHOT_COLUMN, F.lit(snapshot).cast("string"))
         parts.append(agg.select(F.lit(name).alias("table_name"), F.col(SNAPSHOT_COLUMN).cast("string"),
                                 F.col("exported_row_count").cast("long")))
+    schema = "table_name string, extraction_timestamp string, exported_row_count long"
     if not parts:
-        return spark.createDataFrame([], "table_name string, extraction_timestamp string, exported_row_count long")
-    return reduce(DataFrame.unionByName, parts)
+        return spark.createDataFrame([], schema)
+    if len(parts) <= UNION_BATCH:
+        return reduce(DataFrame.unionByName, parts)
+    # many tables: count in batches (small plans); one row per table and snapshot
+    return spark.createDataFrame([tuple(r) for r in collect_in_batches(parts, UNION_BATCH)], schema)
 
 
 def init_validation(stats: DataFrame, snapshot: str) -> DataFrame:

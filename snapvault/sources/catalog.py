@@ -151,6 +151,20 @@ def table_count(df: DataFrame, table_schema: str, table_name: str, stored_bytes:
 
 
 PROFILES = ("exact", "files", "none")
+UNION_BATCH = 64
+
+
+def collect_in_batches(frames: list[DataFrame], batch: int = UNION_BATCH) -> list:
+    """Collect small per-table results, ``batch`` tables per job.
+
+    Each frame yields one row per table (metadata).  A union over thousands
+    of tables would be one huge plan; batches keep every plan small while
+    each job still scans its tables in parallel.
+    """
+    rows = []
+    for i in range(0, len(frames), batch):
+        rows.extend(reduce(DataFrame.unionByName, frames[i:i + batch]).collect())
+    return rows
 
 
 def _profile_mode(profile) -> str:
@@ -221,8 +235,7 @@ def catalog_from_tables(
         # one job scans all tables in parallel; the result is one row per
         # table (catalog metadata, bounded by the table count), so it is
         # materialised once and every catalog view below reuses it
-        measured = {r["table_name"]: (r["rows"], r["bytes"])
-                    for r in reduce(DataFrame.unionByName, per).collect()}
+        measured = {r["table_name"]: (r["rows"], r["bytes"]) for r in collect_in_batches(per)}
         for i, name in enumerate(sorted(tables)):
             object_id = 1000 + i
             rows, nbytes = measured[name]

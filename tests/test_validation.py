@@ -55,3 +55,15 @@ def test_mode_is_checked():
     import pytest
     with pytest.raises(ValueError):
         VA.check_mode("incrementl")
+
+
+def test_count_exported_many_tables_in_batches(spark, tmp_dir, monkeypatch):
+    from snapvault.operators import validation as mod
+    monkeypatch.setattr(mod, "UNION_BATCH", 2)
+    orders = project_strings(spark.read.parquet(f"{SF}/orders.parquet"))
+    paths = {}
+    for i in range(5):
+        paths[f"t{i}"] = os.path.join(tmp_dir, f"t{i}")
+        write_incremental(orders, paths[f"t{i}"], "20240101000000Z")
+    got = {r["table_name"]: r["exported_row_count"] for r in mod.count_exported(spark, paths).collect()}
+    assert got == {f"t{i}": 1500 for i in range(5)}
