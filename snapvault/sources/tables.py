@@ -11,13 +11,13 @@ with partitioned reads.  Both expose the same small surface:
 
 from __future__ import annotations
 
-import datetime as _dt
 import os
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapvault.functions.fixed import SNAPSHOT_COLUMN
 from snapvault.sources.catalog import Catalog, catalog_from_tables
@@ -102,13 +102,12 @@ class JdbcSource:
     schema: str = "dbo"
     table_list: list[str] = field(default_factory=list)   # generic dialect: tables to catalog
     keys: dict[str, list[str]] = field(default_factory=dict)
-    # split predicate for keys that are not one numeric/date column; the
-    # sqlserver dialect gets a checksum split by default
+    # opt-in split for keys whose leading column is not numeric or a date,
+    # e.g. "ABS(CAST(CHECKSUM({cols}) AS BIGINT)) % {n} = {i}" on SQL Server.
+    # Such a predicate cannot use an index: every split statement scans the
+    # whole table at the source, so the split count is capped.
     hash_predicate: str | None = None
-
-    def __post_init__(self):
-        if self.hash_predicate is None and self.dialect == "sqlserver":
-            self.hash_predicate = "ABS(CAST(CHECKSUM({cols}) AS BIGINT)) % {n} = {i}"
+    max_hash_splits: int = 16
 
     def _reader(self):
         reader = self.spark.read.format("jdbc").option("url", self.url).option("fetchsize", self.fetchsize)
@@ -130,6 +129,14 @@ class JdbcSource:
                       .option("numPartitions", str(num_partitions)))
         return reader.load()
 
+    def _rangeable(self, schema: str | None, name: str, column: str) -> bool:
+        """Whether ``column`` is numeric or a date/time (schema probe, no rows read)."""
+        fields = {f.name: f.dataType for f in self.table(schema, name).schema.fields}
+        dt = fields.get(column)
+        return isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
+                               T.DoubleType, T.DecimalType, T.DateType, T.TimestampType,
+                               T.TimestampNTZType))
+
     def key_bounds(self, schema: str | None, name: str, column: str) -> tuple:
         """Min and max of one key column, computed by the server (one row)."""
         qualified = f"{schema}.{name}" if schema else name
@@ -143,19 +150,24 @@ class JdbcSource:
     def table_for_export(self, schema: str | None, name: str, pk: list[str], n_chunks: int) -> DataFrame:
         """Read a table in ``n_chunks`` parallel JDBC statements when the key allows it.
 
-        A single numeric or date key splits on its value range (bounds come
-        from one MIN/MAX statement); other keys split on ``hash_predicate``
-        when one is configured.  Every split reads a disjoint part, together
-        the whole table.
+        A key whose leading column is numeric or a date splits on that
+        column's value range (bounds from one MIN/MAX statement; the splits
+        are index range scans).  Other keys split on ``hash_predicate`` when
+        one is configured (at most ``max_hash_splits`` statements, each a full
+        scan at the source).  The splits are disjoint and together read the
+        whole table.
         """
-        if n_chunks > 1 and len(pk) == 1:
+        if n_chunks > 1 and pk and self._rangeable(schema, name, pk[0]):
+            # the leading key column orders the clustered index: range splits
+            # on it are index seeks at the source (composite keys included)
             lo, hi = self.key_bounds(schema, name, pk[0])
-            if isinstance(lo, (int, float, _dt.date)) and not isinstance(lo, bool) and lo != hi:
+            if lo is not None and lo != hi:
                 return self.table(schema, name, partition_column=pk[0], lower_bound=lo,
                                   upper_bound=hi, num_partitions=n_chunks)
         if n_chunks > 1 and pk and self.hash_predicate:
+            n = min(n_chunks, max(1, int(self.max_hash_splits)))
             cols = ", ".join(pk)
-            preds = [self.hash_predicate.format(cols=cols, n=n_chunks, i=i) for i in range(n_chunks)]
+            preds = [self.hash_predicate.format(cols=cols, n=n, i=i) for i in range(n)]
             return self.table(schema, name, predicates=preds)
         return self.table(schema, name)
 

@@ -52,6 +52,11 @@ def test_hash_split_for_composite_keys(spark, derby):
     # Derby has no CHECKSUM: use MOD over the key for the split predicate
     src = JdbcSource(spark, URL, PROPS, dialect="generic", schema="APP",
                      hash_predicate='MOD("o_orderkey" + "o_custkey", {n}) = {i}')
-    df = src.table_for_export("APP", "ORDERS", ["o_orderkey", "o_custkey"], 3)
-    assert df.rdd.getNumPartitions() == 3
+    df = src.table_for_export("APP", "ORDERS", ["o_custkey", "o_orderkey"], 3)
+    assert df.rdd.getNumPartitions() == 3   # leading key column is numeric: range split
+    assert df.count() == spark.read.parquet(f"{SF}/orders.parquet").count()
+    capped = JdbcSource(spark, URL, PROPS, dialect="generic", schema="APP", max_hash_splits=2,
+                        hash_predicate='MOD(LENGTH(CAST("o_orderstatus" AS VARCHAR(8))), {n}) = {i}')
+    df = capped.table_for_export("APP", "ORDERS", ["o_orderstatus"], 50)  # text key: hash split, capped
+    assert df.rdd.getNumPartitions() == 2
     assert df.count() == spark.read.parquet(f"{SF}/orders.parquet").count()
