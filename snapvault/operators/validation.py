@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -33,11 +34,22 @@ def count_exported(spark: SparkSession, tables: dict[str, str], mode: str = "inc
     prunes partitions), and the per-table results are union-ed into one plan.
     """
     check_mode(mode)
-    parts = []
-    for name, path in sorted(tables.items()):
+
+    def open_table(item):
+        name, path = item
         try:
-            df = scan_exported(spark, path, snapshot if mode == "incremental" else None)
+            return name, scan_exported(spark, path, snapshot if mode == "incremental" else None)
         except AnalysisException:
+            return name, None
+
+    # opening a table reads its listing and one footer on the driver: I/O
+    # bound, so tables are opened concurrently
+    items = sorted(tables.items())
+    with ThreadPoolExecutor(max_workers=min(16, max(1, len(items)))) as pool:
+        opened = list(pool.map(open_table, items))
+    parts = []
+    for name, df in opened:
+        if df is None:
             # nothing readable at the path: report 0 so the row shows MISMATCH
             parts.append(spark.createDataFrame([(name, snapshot, 0)],
                                                "table_name string, extraction_timestamp string, exported_row_count long"))

@@ -260,8 +260,9 @@ def validate_export(spark: SparkSession, plan: ExportPlan, status: DataFrame, cf
                 for r in status.where(F.col("status").isin("OK", "TIMED_OUT"))
                 .select("table_name", "output_path").collect()}
     counts = count_exported(spark, exported, cfg.mode, cfg.snapshot)
-    # one row per table: pin it once so the write and the caller share it
-    reconciled = reconcile_counts(plan.validation, counts).checkpoint(eager=True)
+    # one row per table (a single small partition): pin it once so the write
+    # and the caller share it
+    reconciled = reconcile_counts(plan.validation, counts).coalesce(1).checkpoint(eager=True)
     if not write:
         return reconciled
     updates = reconciled.select(*[c.split()[0] for c in VALIDATION_SCHEMA.split(", ")])
@@ -272,7 +273,7 @@ def validate_export(spark: SparkSession, plan: ExportPlan, status: DataFrame, cf
     except Exception:  # first run: nothing stored yet
         existing = spark.createDataFrame([], VALIDATION_SCHEMA)
     # cut lineage before overwriting the partition that was just read
-    merged = upsert_validation(existing, updates).checkpoint(eager=True)
+    merged = upsert_validation(existing, updates).coalesce(1).checkpoint(eager=True)  # one row per table
     write_incremental(merged, location)
     return reconciled
 
