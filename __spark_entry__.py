@@ -145,24 +145,22 @@ def q_row_number_pk(spark, sf_dir):
 
 
 def q_filter_row_range(spark, sf_dir):
-    """Each chunk's ``rn BETWEEN start AND end`` over the whole table, in one join.
+    """Each chunk's ``rn BETWEEN start AND end`` over the whole table.
 
-    The chunk list grows with the table, so the join is an equi-join on the
-    chunk index (never a nested loop); the range test is the residual filter.
+    Chunk bounds follow from the chunk index and the table's row count (one
+    number), so every row carries its own chunk's range and the filter runs
+    row-parallel: no join with a chunk list, nothing gathered in one task.
     """
     conv = _t(spark, sf_dir, "conversations")
-    numbered = row_number_pk(conv, ["conv_id", "turn"]).select("conv_id", "turn", "rn")
-    rows = conv.agg(F.count(F.lit(1)).alias("rows"))
-    chunks = rows.select(
-        "rows", F.explode(F.sequence(F.lit(0), num_chunks("rows", F.lit(CHUNK_ROWS // 10)) - 1)).alias("chunk_index"))
+    total = conv.count()  # one number (Parquet answers it from footers)
     n = CHUNK_ROWS // 10
-    plan = chunks.select(
-        F.col("chunk_index").cast("int").alias("chunk_index"),
-        (F.col("chunk_index").cast("long") * n + 1).alias("start_row"),
-        F.least(F.col("chunk_index").cast("long") * n + n, F.col("rows")).alias("end_row"))
-    tagged = numbered.withColumn("__ci", ((F.col("rn") - 1) / n).cast("int"))
-    joined = tagged.join(plan, tagged["__ci"] == plan["chunk_index"])
-    return filter_row_range(joined, F.col("start_row"), F.col("end_row")).drop("__ci")
+    numbered = row_number_pk(conv, ["conv_id", "turn"]).select("conv_id", "turn", "rn")
+    chunk = ((F.col("rn") - 1) / n).cast("int")
+    with_bounds = numbered.select(
+        "conv_id", "turn", "rn", chunk.alias("chunk_index"),
+        (chunk.cast("long") * n + 1).alias("start_row"),
+        F.least(chunk.cast("long") * n + n, F.lit(total).cast("long")).alias("end_row"))
+    return filter_row_range(with_bounds, F.col("start_row"), F.col("end_row"))
 
 
 def q_list_schemas(spark, sf_dir):
@@ -334,7 +332,7 @@ def q_target_file_size(spark, sf_dir):
     per_file = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).count()
     return per_file.agg(
         F.sum("count").cast("long").alias("rows"),
-        F.max(F.col("count") <= F.lit(limit)).alias("within_limit"),
+        F.bool_and(F.col("count") <= F.lit(limit)).alias("within_limit"),  # every file
     ).select(F.lit("lineitem").alias("table_name"), "rows", "within_limit")
 
 

@@ -28,6 +28,7 @@ def get_session(master: str = "local[*]", app: str = "snapvault", **conf) -> Spa
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.scheduler.mode", "FAIR")  # concurrent table exports share the cluster
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
