@@ -49,7 +49,8 @@ def landing_files(spark: SparkSession, folder: str, glob: str | None = None) ->
     return reader.load(folder).select("path", "modificationTime", "length")
 
 
-def landing_runs(files: DataFrame, database: str, suffix: str = ".bak") -> DataFrame:
+def landing_runs(files: DataFrame, database: str, suffix: str = ".bak",
+                 output_root: str | None = None) -> DataFrame:
     """Run parameters per landed file; ``accepted`` tells whether its suffix fits."""
     name = F.element_at(F.split("path", "/"), -1)
     return files.select(
@@ -59,20 +60,26 @@ def landing_runs(files: DataFrame, database: str, suffix: str = ".bak") -> DataF
         is_landing_key(name, suffix).alias("accepted"),
         F.lit(database).alias("database"),
         snapshot_id("modificationTime").alias("extraction_timestamp"),
+        F.lit(output_root).cast("string").alias("output_root"),
     )
 
 
 def stream_landing(spark: SparkSession, folder: str, out: str, database: str,
-                   suffix: str = ".bak", glob: str | None = None, available_now: bool = True):
+                   suffix: str = ".bak", glob: str | None = None, available_now: bool = True,
+                   output_root: str | None = None):
     """Run the landing stream into ``out/accepted`` and ``out/rejected``.
 
-    Returns the finished (``available_now``) or running query.
+    Each micro-batch overwrites its own ``batch_id=N`` folder, so a batch
+    replayed after a failure replaces its output instead of adding to it
+    (exactly once, together with the checkpoint).  Returns the finished
+    (``available_now``) or running query.
     """
-    runs = landing_runs(landing_files(spark, folder, glob), database, suffix)
+    runs = landing_runs(landing_files(spark, folder, glob), database, suffix, output_root)
 
-    def route(batch: DataFrame, _epoch: int) -> None:
-        batch.where("accepted").write.mode("append").parquet(os.path.join(out, "accepted"))
-        batch.where("NOT accepted").write.mode("append").parquet(os.path.join(out, "rejected"))
+    def route(batch: DataFrame, epoch: int) -> None:
+        for kind, cond in (("accepted", "accepted"), ("rejected", "NOT accepted")):
+            target = os.path.join(out, kind, f"batch_id={epoch}")
+            batch.where(cond).write.mode("overwrite").parquet(target)
 
     writer = (runs.writeStream.foreachBatch(route)
               .option("checkpointLocation", os.path.join(out, "_checkpoint")))
