@@ -220,14 +220,17 @@ def scan_query(source, sql: str) -> DataFrame:
     return source.query(sql)
 
 
-def scan_exported(spark: SparkSession, path: str, snapshot: str | None = None) -> DataFrame:
+def scan_exported(spark: SparkSession, path: str, snapshot: str | None = None,
+                  merge_schema: bool = False) -> DataFrame:
     """Read an exported table back; with ``snapshot`` only that partition is read.
 
-    The snapshot column is read as text (partition type inference off), so
-    ids such as ``20240101000000Z`` keep their exact form.
+    Snapshot ids such as ``20240101000000Z`` end in a letter, so partition
+    discovery keeps them as text.  ``merge_schema`` unions the columns of
+    snapshots taken before and after a schema change (it reads every
+    footer, so it is off unless asked for).
     """
     df = (spark.read.option("basePath", path)
-          .option("recursiveFileLookup", "false")
+          .option("mergeSchema", str(bool(merge_schema)).lower())
           .parquet(path))
     if snapshot is not None:
         df = df.where(F.col(SNAPSHOT_COLUMN) == F.lit(snapshot))

@@ -160,3 +160,26 @@ def test_slow_table_times_out_and_run_goes_on(spark, tmp_dir):
     assert got == {"region": "OK", "nation": "TIMED_OUT"}
     val = {r["table_name"]: r["status"] for r in res.validation.collect()}
     assert val["region"] == "MATCH" and val["nation"] in ("MISMATCH", "NOT_EXPORTED")
+
+
+def test_schema_drift_between_runs_updates_the_entry(spark, tmp_dir):
+    from snapvault.sources.tables import scan_exported
+    src_dir = os.path.join(tmp_dir, "src")
+    region = spark.read.parquet(f"{SF}/region.parquet")
+    region.write.parquet(os.path.join(src_dir, "region"))
+    src = ParquetSource(spark, src_dir, keys={"region": ["r_regionkey"]})
+    out = os.path.join(tmp_dir, "out")
+    run_export(src, ExportConfig(database="sv_drift_db", output_root=out, snapshot="20240101000000Z",
+                                 register=True))
+    assert "r_comment" not in spark.table("sv_drift_db.region").columns
+    # the source gains a column
+    region.withColumn("r_comment", F.concat(F.lit("note "), F.col("r_name"))) \
+        .write.mode("overwrite").parquet(os.path.join(src_dir, "region"))
+    res = run_export(src, ExportConfig(database="sv_drift_db", output_root=out, snapshot="20240201000000Z",
+                                       register=True))
+    assert {r["status"] for r in res.validation.collect()} == {"MATCH"}
+    table = spark.table("sv_drift_db.region")
+    assert "r_comment" in table.columns and table.count() == 10
+    both = scan_exported(spark, os.path.join(out, "sv_drift_db", "region"), merge_schema=True)
+    per_snap = {r[0]: r[1] for r in both.groupBy("extraction_timestamp").agg(F.count("r_comment")).collect()}
+    assert per_snap == {"20240101000000Z": 0, "20240201000000Z": 5}
