@@ -159,3 +159,37 @@ def retention_tiers(snapshots: DataFrame, as_of) -> DataFrame:
             .otherwise("STANDARD"))
     return snapshots.select("table_name", "extraction_timestamp",
                             age.cast("int").alias("age_days"), tier.alias("tier"))
+
+
+def snapshot_partitions(spark: SparkSession, table_path: str, table_name: str) -> DataFrame:
+    """Snapshot partitions of an exported table, from the file listing (no data read)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(table_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prefix = "extraction_timestamp="
+    snaps = []
+    if fs.exists(root):
+        for status in fs.listStatus(root):
+            name = status.getPath().getName()
+            if status.isDirectory() and name.startswith(prefix):
+                snaps.append((table_name, name[len(prefix):], status.getPath().toString()))
+    return spark.createDataFrame(snaps, "table_name string, extraction_timestamp string, path string")
+
+
+def expire_snapshots(spark: SparkSession, table_path: str, table_name: str, as_of,
+                     dry_run: bool = True) -> DataFrame:
+    """Classify a table's snapshots and delete the expired partitions.
+
+    Returns the tiers (with each partition's path).  With ``dry_run`` (the
+    default) nothing is deleted: the caller sees what would go.
+    """
+    parts = snapshot_partitions(spark, table_path, table_name)
+    tiers = retention_tiers(parts, as_of).join(parts.select("extraction_timestamp", "path"),
+                                               "extraction_timestamp")
+    if not dry_run:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for row in tiers.where(F.col("tier") == "EXPIRED").select("path").collect():  # partition paths only
+            p = jvm.org.apache.hadoop.fs.Path(row["path"])
+            p.getFileSystem(conf).delete(p, True)
+    return tiers

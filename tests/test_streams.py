@@ -99,3 +99,18 @@ def test_failed_tables_reach_the_alert_stream(spark, tmp_dir):
     alerts = spark.read.parquet(os.path.join(tmp_dir, "alerts", "alerts")).collect()
     assert [(a["ExecutionName"], a["Status"]) for a in alerts] == [
         ("Failed to extract data for nation table.", "FAILED")]
+
+
+def test_expire_snapshots(spark, tmp_dir):
+    from snapvault.operators.projections import project_strings
+    from snapvault.sinks.writers import write_incremental
+    path = os.path.join(tmp_dir, "region")
+    region = project_strings(spark.read.parquet(f"{SF}/region.parquet"))
+    for snap in ("20240101000000Z", "20210101000000Z"):
+        write_incremental(region, path, snap)
+    dry = {r["extraction_timestamp"]: r["tier"] for r in S.expire_snapshots(spark, path, "region", "2024-02-01").collect()}
+    assert dry == {"20240101000000Z": "STANDARD", "20210101000000Z": "EXPIRED"}
+    assert spark.read.parquet(path).count() == 10  # dry run deletes nothing
+    S.expire_snapshots(spark, path, "region", "2024-02-01", dry_run=False)
+    left = {r[0] for r in spark.read.parquet(path).select("extraction_timestamp").distinct().collect()}
+    assert left == {"20240101000000Z"}
