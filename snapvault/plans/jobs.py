@@ -140,10 +140,14 @@ def plan_export(source, cfg: ExportConfig) -> ExportPlan:
     clashes = sorted(n for n, c in seen.items() if c > 1)
     if clashes:
         raise ValueError(f"table names exported from several schemas: {clashes}")
-    # column names and types of every table in one small job (metadata only)
+    # column metadata the export needs, in one small job: only the
+    # row-version columns, or every column's target type in typed mode
     columns: dict = {}
-    for r in cat.info_columns.select("table_schema", "table_name", "column_name", "data_type",
-                                     map_type("data_type").alias("target")).collect():
+    info = cat.info_columns
+    if not cfg.typed:
+        info = info.where(F.lower("data_type").isin(*ROWVERSION_TYPES))
+    for r in info.select("table_schema", "table_name", "column_name", "data_type",
+                         map_type("data_type").alias("target")).collect():
         columns.setdefault((r["table_schema"], r["table_name"]), []).append(
             (r["column_name"], r["data_type"], r["target"]))
     if cfg.register:

@@ -65,11 +65,13 @@ class ParquetSource:
             conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         except Exception:  # no JVM handle (remote session): measure the data instead
             return None
-        sizes = {}
-        for n in names:
+        def size(n):
             path = jvm.org.apache.hadoop.fs.Path(self.path(n))
-            sizes[n] = int(path.getFileSystem(conf).getContentSummary(path).getLength())
-        return sizes
+            return n, int(path.getFileSystem(conf).getContentSummary(path).getLength())
+
+        # listings are I/O bound (object stores especially): run them concurrently
+        with ThreadPoolExecutor(max_workers=min(16, max(1, len(names)))) as pool:
+            return dict(pool.map(size, names))
 
     def query(self, sql: str) -> DataFrame:
         """Run SQL over the source tables (each visible under its own name)."""
