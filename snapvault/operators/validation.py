@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapvault.functions.fixed import ROW_NUMBER_COLUMN, SNAPSHOT_COLUMN
+from snapvault.session import local_frame
 from snapvault.sources.catalog import UNION_BATCH, collect_in_batches
 from snapvault.sources.tables import scan_exported
 
@@ -51,8 +52,8 @@ def count_exported(spark: SparkSession, tables: dict[str, str], mode: str = "inc
     for name, df in opened:
         if df is None:
             # nothing readable at the path: report 0 so the row shows MISMATCH
-            parts.append(spark.createDataFrame([(name, snapshot, 0)],
-                                               "table_name string, extraction_timestamp string, exported_row_count long"))
+            parts.append(local_frame(spark, [(name, snapshot, 0)],
+                                     "table_name string, extraction_timestamp string, exported_row_count long"))
             continue
         if mode == "incremental" and snapshot is None:
             agg = df.groupBy(SNAPSHOT_COLUMN).agg(F.count(F.lit(1)).alias("exported_row_count"))
@@ -63,11 +64,11 @@ def count_exported(spark: SparkSession, tables: dict[str, str], mode: str = "inc
                                 F.col("exported_row_count").cast("long")))
     schema = "table_name string, extraction_timestamp string, exported_row_count long"
     if not parts:
-        return spark.createDataFrame([], schema)
+        return local_frame(spark, [], schema)
     if len(parts) <= UNION_BATCH:
         return reduce(DataFrame.unionByName, parts)
     # many tables: count in batches (small plans); one row per table and snapshot
-    return spark.createDataFrame([tuple(r) for r in collect_in_batches(parts, UNION_BATCH)], schema)
+    return local_frame(spark, collect_in_batches(parts, UNION_BATCH), schema)
 
 
 def init_validation(stats: DataFrame, snapshot: str) -> DataFrame:
@@ -129,7 +130,7 @@ def columns_frame(spark: SparkSession, df_or_pairs) -> DataFrame:
         pairs = [(f.name, f.dataType.simpleString()) for f in df_or_pairs.schema.fields]
     else:
         pairs = list(df_or_pairs)
-    return spark.createDataFrame(pairs, "name string, type string")
+    return local_frame(spark, pairs, "name string, type string")
 
 
 def schema_drift(old: DataFrame, new: DataFrame, ignore=(ROW_NUMBER_COLUMN,)) -> DataFrame:

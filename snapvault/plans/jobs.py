@@ -43,6 +43,7 @@ from snapvault.operators.validation import (
     upsert_validation,
 )
 from snapvault.plans.chunks import plan_chunks, plan_tables, table_sizes
+from snapvault.session import local_frame
 from snapvault.streaming.streams import status_events_from_runs
 from snapvault.sinks.writers import (
     ensure_database,
@@ -247,7 +248,7 @@ def export_tables(source, plan: ExportPlan, cfg: ExportConfig, extra_tables: lis
     workers = max(1, int(cfg.max_concurrency))
     with ThreadPoolExecutor(max_workers=workers) as pool:
         results = list(pool.map(lambda m: export_table(source, plan, cfg, m), metas))
-    return source.spark.createDataFrame(results, STATUS_SCHEMA)
+    return local_frame(source.spark, results, STATUS_SCHEMA)
 
 
 def validate_export(spark: SparkSession, plan: ExportPlan, status: DataFrame, cfg: ExportConfig,
@@ -275,7 +276,7 @@ def validate_export(spark: SparkSession, plan: ExportPlan, status: DataFrame, cf
         existing = spark.read.parquet(location).where(F.col(SNAPSHOT_COLUMN) == cfg.snapshot)
         existing = existing.select(*updates.columns)
     except Exception:  # first run: nothing stored yet
-        existing = spark.createDataFrame([], VALIDATION_SCHEMA)
+        existing = local_frame(spark, [], VALIDATION_SCHEMA)
     # cut lineage before overwriting the partition that was just read
     merged = upsert_validation(existing, updates).coalesce(1).checkpoint(eager=True)  # one row per table
     write_incremental(merged, location)

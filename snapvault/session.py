@@ -12,7 +12,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -67,6 +68,31 @@ def shared_root(spark: SparkSession) -> str:
     return (sc.getCheckpointDir() or configured).removeprefix("file:")
 
 
+def local_frame(spark: SparkSession, rows, schema) -> DataFrame:
+    """A small DataFrame of driver-side rows (catalog metadata, run status).
+
+    Built from an Arrow table, so Spark plans it as a ``LocalRelation`` with
+    exact size statistics: joins against it are broadcast by Catalyst's own
+    size check (``autoBroadcastJoinThreshold``), and broadcasting it runs no
+    job.  ``createDataFrame`` from a Python list instead yields an RDD scan
+    of unknown size, which Catalyst must shuffle like a large table.  Above
+    ``spark.sql.execution.arrow.localRelationThreshold`` Spark itself
+    switches to a distributed relation, so the rows' size stays checked.
+    """
+    struct = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    rows = [tuple(r) for r in rows]
+    try:
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow_schema = to_arrow_schema(struct)
+        columns = [pa.array([r[i] for r in rows], type=f.type) for i, f in enumerate(arrow_schema)]
+        table = pa.Table.from_arrays(columns, schema=arrow_schema)
+        return spark.createDataFrame(table, schema=struct)
+    except ImportError:  # no pyarrow: the plain (RDD-backed) path
+        return spark.createDataFrame(rows, struct)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path below the shared folder."""
     root = shared_root(spark)

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapvault.session import local_frame
+
 
 
 class Catalog:
@@ -69,7 +71,7 @@ CATALOG_SCHEMAS = {
 def catalog_from_rows(spark: SparkSession, **rows) -> Catalog:
     """Build a catalog from literal rows (tests, or metadata fetched elsewhere)."""
     def build(name, schema):
-        return lambda: spark.createDataFrame(rows.get(name, []), schema)
+        return lambda: local_frame(spark, rows.get(name, []), schema)
     return Catalog(**{name: build(name, schema) for name, schema in CATALOG_SCHEMAS.items()})
 
 
@@ -225,7 +227,7 @@ def catalog_from_tables(
         module_rows.append((5000 + k, definition))
 
     def frame(name, rows):
-        return lambda: spark.createDataFrame(rows, CATALOG_SCHEMAS[name])
+        return lambda: local_frame(spark, rows, CATALOG_SCHEMAS[name])
 
     part_rows, space_rows = [], []
     if mode != "none" and tables:

@@ -29,6 +29,7 @@ from snapvault.functions.fixed import (
     STATUS_DETAIL_TYPE,
 )
 from snapvault.functions.values import is_landing_key, snapshot_id
+from snapvault.session import local_frame
 
 STATUS_EVENT_SCHEMA = (
     "source string, detail_type string, "
@@ -173,7 +174,7 @@ def snapshot_partitions(spark: SparkSession, table_path: str, table_name: str) -
             name = status.getPath().getName()
             if status.isDirectory() and name.startswith(prefix):
                 snaps.append((table_name, name[len(prefix):], status.getPath().toString()))
-    return spark.createDataFrame(snaps, "table_name string, extraction_timestamp string, path string")
+    return local_frame(spark, snaps, "table_name string, extraction_timestamp string, path string")
 
 
 def expire_snapshots(spark: SparkSession, table_path: str, table_name: str, as_of,

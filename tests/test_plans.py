@@ -46,3 +46,18 @@ def test_small_join_side_is_broadcast_by_size(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in final
+
+
+def test_catalog_frames_are_local_and_joined_by_broadcast(spark):
+    from snapvault.operators.metadata import primary_keys, table_stats
+    cat = ParquetSource(spark, SF, keys={"orders": ["o_orderkey"]}).catalog(["orders", "nation"], profile="files")
+    assert "LocalTableScan" in plan_of(cat.sys_tables)
+    for df in (table_stats(cat), primary_keys(cat)):
+        df.collect()  # AQE's final plan: joins re-planned on measured sizes
+        plan = plan_of(df).split("== Initial Plan ==")[0]
+        assert "BroadcastHashJoin" in plan
+        assert "SortMergeJoin" not in plan and "Scan ExistingRDD" not in plan
+    assert {r["table_name"]: r["original_row_count"] for r in table_stats(cat).collect()} == {
+        "orders": spark.read.parquet(f"{SF}/orders.parquet").count(),
+        "nation": spark.read.parquet(f"{SF}/nation.parquet").count(),
+    }
