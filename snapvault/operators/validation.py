@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from snapvault.functions.fixed import ROW_NUMBER_COLUMN, SNAPSHOT_COLUMN
 from snapvault.session import local_frame
-from snapvault.sources.catalog import UNION_BATCH, collect_in_batches
+from snapvault.sources.catalog import UNION_BATCH, grouped_counts, grouped_counts_in_batches, tagged_rows
 from snapvault.sources.tables import scan_exported
 
 VALIDATION_SCHEMA = (
@@ -30,9 +30,11 @@ def count_exported(spark: SparkSession, tables: dict[str, str], mode: str = "inc
                    snapshot: str | None = None) -> DataFrame:
     """``COUNT(*)`` per exported table: per snapshot (incremental) or whole (full).
 
-    ``tables`` maps table name -> export path.  Each table is one partial +
-    final aggregate (Parquet counts need no column data; a snapshot filter
-    prunes partitions), and the per-table results are union-ed into one plan.
+    ``tables`` maps table name -> export path.  Every table's rows are
+    tagged with its name (and snapshot) without reading column data, and one
+    ``groupBy`` over their union counts them all: one map stage with partial
+    aggregation, one small shuffle.  A snapshot filter prunes partitions; an
+    empty table (or snapshot) still reports 0.
     """
     check_mode(mode)
 
@@ -48,27 +50,39 @@ def count_exported(spark: SparkSession, tables: dict[str, str], mode: str = "inc
     items = sorted(tables.items())
     with ThreadPoolExecutor(max_workers=min(16, max(1, len(items)))) as pool:
         opened = list(pool.map(open_table, items))
-    parts = []
+    schema = "table_name string, extraction_timestamp string, exported_row_count long"
+    per_snapshot = mode == "incremental" and snapshot is None
+    keys = ["table_name", SNAPSHOT_COLUMN]
+    tagged, expected, missing = [], [], []
     for name, df in opened:
         if df is None:
             # nothing readable at the path: report 0 so the row shows MISMATCH
-            parts.append(local_frame(spark, [(name, snapshot, 0)],
-                                     "table_name string, extraction_timestamp string, exported_row_count long"))
+            missing.append((name, snapshot, 0))
             continue
-        if mode == "incremental" and snapshot is None:
-            agg = df.groupBy(SNAPSHOT_COLUMN).agg(F.count(F.lit(1)).alias("exported_row_count"))
+        snap = F.col(SNAPSHOT_COLUMN) if per_snapshot else F.lit(snapshot)
+        tagged.append(tagged_rows(df, {"table_name": name, SNAPSHOT_COLUMN: snap}))
+        if not per_snapshot:
+            expected.append((name, snapshot))  # an empty table still counts 0
+    if not tagged:
+        return local_frame(spark, missing, schema)
+
+    def shaped(df):
+        return df.select("table_name", SNAPSHOT_COLUMN, F.col("rows").alias("exported_row_count"))
+
+    if len(tagged) <= UNION_BATCH:
+        exp = local_frame(spark, expected, "table_name string, extraction_timestamp string") if expected else None
+        out = shaped(grouped_counts(tagged, keys, exp))
+    else:
+        # many tables: count in batches (small plans); one row per table and snapshot
+        if per_snapshot:
+            rows = []
+            for i in range(0, len(tagged), UNION_BATCH):
+                rows.extend(shaped(grouped_counts(tagged[i:i + UNION_BATCH], keys)).collect())
         else:
-            agg = df.agg(F.count(F.lit(1)).alias("exported_row_count")).withColumn(
-                SNAPSHOT_COLUMN, F.lit(snapshot).cast("string"))
-        parts.append(agg.select(F.lit(name).alias("table_name"), F.col(SNAPSHOT_COLUMN).cast("string"),
-                                F.col("exported_row_count").cast("long")))
-    schema = "table_name string, extraction_timestamp string, exported_row_count long"
-    if not parts:
-        return local_frame(spark, [], schema)
-    if len(parts) <= UNION_BATCH:
-        return reduce(DataFrame.unionByName, parts)
-    # many tables: count in batches (small plans); one row per table and snapshot
-    return local_frame(spark, collect_in_batches(parts, UNION_BATCH), schema)
+            rows = [(r["table_name"], r[SNAPSHOT_COLUMN], r["rows"])
+                    for r in grouped_counts_in_batches(spark, tagged, keys, expected, UNION_BATCH)]
+        out = local_frame(spark, rows, schema)
+    return out.unionByName(local_frame(spark, missing, schema)) if missing else out
 
 
 def init_validation(stats: DataFrame, snapshot: str) -> DataFrame:

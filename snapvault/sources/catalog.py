@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,27 +128,22 @@ def value_bytes(field: T.StructField):
     return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)).cast("long")
 
 
-def table_profile(df: DataFrame, table_schema: str, table_name: str) -> DataFrame:
-    """One row: row count and stored bytes of a table, in a single scan."""
-    row_bytes = reduce(lambda a, b: a + b, [value_bytes(f) for f in df.schema.fields], F.lit(0).cast("long"))
-    return df.agg(
-        F.count(F.lit(1)).cast("long").alias("rows"),
-        F.coalesce(F.sum(row_bytes), F.lit(0)).cast("long").alias("bytes"),
-    ).select(
-        F.lit(table_schema).alias("table_schema"),
-        F.lit(table_name).alias("table_name"),
-        "rows",
-        "bytes",
-    )
+def row_bytes(df: DataFrame):
+    """Stored bytes of one row of ``df`` (sum over its columns)."""
+    return reduce(lambda a, b: a + b, [value_bytes(f) for f in df.schema.fields], F.lit(0).cast("long"))
+
 
+def tagged_rows(df: DataFrame, tags: dict, measure=None) -> DataFrame:
+    """Every row of ``df`` as (tag columns..., n = 1, bytes).
 
-def table_count(df: DataFrame, table_schema: str, table_name: str, stored_bytes: int) -> DataFrame:
-    """One row: row count (Parquet answers it from footers) and known stored bytes."""
-    return df.agg(F.count(F.lit(1)).cast("long").alias("rows")).select(
-        F.lit(table_schema).alias("table_schema"),
-        F.lit(table_name).alias("table_name"),
-        "rows",
-        F.lit(int(stored_bytes)).cast("long").alias("bytes"),
+    ``tags`` maps output column -> literal or Column (a table name, a
+    snapshot).  With ``measure=None`` no column of ``df`` is read (Parquet
+    then reads no column data, only row counts).
+    """
+    return df.select(
+        *[(v if isinstance(v, Column) else F.lit(v)).cast("string").alias(k) for k, v in tags.items()],
+        F.lit(1).cast("long").alias("n"),
+        (measure if measure is not None else F.lit(0)).cast("long").alias("bytes"),
     )
 
 
@@ -156,16 +151,37 @@ PROFILES = ("exact", "files", "none")
 UNION_BATCH = 64
 
 
-def collect_in_batches(frames: list[DataFrame], batch: int = UNION_BATCH) -> list:
-    """Collect small per-table results, ``batch`` tables per job.
+def grouped_counts(frames: list[DataFrame], keys: list[str], expected=None) -> DataFrame:
+    """Row count and bytes per key over many tagged tables, in one aggregate.
 
-    Each frame yields one row per table (metadata).  A union over thousands
-    of tables would be one huge plan; batches keep every plan small while
-    each job still scans its tables in parallel.
+    ``frames`` come from ``tagged_rows``; ``expected`` is a small frame of
+    key tuples that must appear even when they have no rows (an empty table
+    counts 0).  All tables feed one map stage; partial aggregation leaves
+    one row per key and task before the single shuffle, so a table holding
+    a third of all rows reaches the exchange as one row per task.
+    """
+    parts = list(frames)
+    if expected is not None:
+        parts.append(expected.select(*keys, F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("bytes")))
+    union = reduce(DataFrame.unionByName, parts)
+    return union.groupBy(*keys).agg(F.sum("n").cast("long").alias("rows"),
+                                    F.sum("bytes").cast("long").alias("bytes"))
+
+
+def grouped_counts_in_batches(spark: SparkSession, frames: list[DataFrame], keys: list[str],
+                              expected_rows: list[tuple], batch: int = UNION_BATCH) -> list:
+    """``grouped_counts`` collected ``batch`` tables per job.
+
+    The result is one row per key (metadata).  A union over thousands of
+    tables would be one huge plan; batches keep every plan small while each
+    job still scans its tables in parallel.  ``expected_rows`` line up with
+    ``frames`` (the keys each table must report).
     """
+    schema = ", ".join(f"{k} string" for k in keys)
     rows = []
     for i in range(0, len(frames), batch):
-        rows.extend(reduce(DataFrame.unionByName, frames[i:i + batch]).collect())
+        expected = local_frame(spark, expected_rows[i:i + batch], schema)
+        rows.extend(grouped_counts(frames[i:i + batch], keys, expected).collect())
     return rows
 
 
@@ -231,13 +247,16 @@ def catalog_from_tables(
 
     part_rows, space_rows = [], []
     if mode != "none" and tables:
-        per = [table_profile(df, schema, name) if mode == "exact"
-               else table_count(df, schema, name, stored_bytes.get(name, 0))
-               for name, df in sorted(tables.items())]
-        # one job scans all tables in parallel; the result is one row per
-        # table (catalog metadata, bounded by the table count), so it is
-        # materialised once and every catalog view below reuses it
-        measured = {r["table_name"]: (r["rows"], r["bytes"]) for r in collect_in_batches(per)}
+        exact = mode == "exact"
+        names = sorted(tables)
+        tagged = [tagged_rows(tables[n], {"table_name": n}, row_bytes(tables[n]) if exact else None)
+                  for n in names]
+        # one job per batch of tables scans them all in parallel; the result
+        # is one row per table (catalog metadata, bounded by the table
+        # count), so it is materialised once and every view below reuses it
+        counted = grouped_counts_in_batches(spark, tagged, ["table_name"], [(n,) for n in names])
+        measured = {r["table_name"]: (r["rows"], r["bytes"] if exact else int(stored_bytes.get(r["table_name"], 0)))
+                    for r in counted}
         for i, name in enumerate(sorted(tables)):
             object_id = 1000 + i
             rows, nbytes = measured[name]
