@@ -164,6 +164,11 @@ def task_partitions(meta: dict, cfg: ExportConfig) -> int:
     chunk-sized files (``maxRecordsPerFile``) of contiguous keys.
     """
     n_chunks = int(meta.get("n_chunks") or 1)
+    rows, per_chunk = int(meta.get("rows") or 0), int(meta.get("rows_per_chunk") or 0)
+    if per_chunk > 0:
+        # a keyless table is planned as one chunk, but its data still spans
+        # rows / rows_per_chunk chunk-sized files: size its tasks by that
+        n_chunks = max(n_chunks, math.ceil(rows / per_chunk))
     return max(1, math.ceil(n_chunks * float(cfg.target_mb) / float(cfg.partition_mb)))
 
 

@@ -105,7 +105,9 @@ class JdbcSource:
     table_list: list[str] = field(default_factory=list)   # generic dialect: tables to catalog
     keys: dict[str, list[str]] = field(default_factory=dict)
     # opt-in split for keys whose leading column is not numeric or a date,
-    # e.g. "ABS(CAST(CHECKSUM({cols}) AS BIGINT)) % {n} = {i}" on SQL Server.
+    # and for keyless tables (then {cols} lists every column), e.g.
+    # "ABS(CAST(CHECKSUM({cols}) AS BIGINT)) % {n} = {i}" on SQL Server.
+    # The expression must be non-NULL for every row, or rows are lost.
     # Such a predicate cannot use an index: every split statement scans the
     # whole table at the source, so the split count is capped.
     hash_predicate: str | None = None
@@ -154,10 +156,10 @@ class JdbcSource:
 
         A key whose leading column is numeric or a date splits on that
         column's value range (bounds from one MIN/MAX statement; the splits
-        are index range scans).  Other keys split on ``hash_predicate`` when
-        one is configured (at most ``max_hash_splits`` statements, each a full
-        scan at the source).  The splits are disjoint and together read the
-        whole table.
+        are index range scans).  Other keys, and keyless tables, split on
+        ``hash_predicate`` when one is configured (at most ``max_hash_splits``
+        statements, each a full scan at the source).  The splits are disjoint
+        and together read the whole table.
         """
         if n_chunks > 1 and pk and self._rangeable(schema, name, pk[0]):
             # the leading key column orders the clustered index: range splits
@@ -166,9 +168,16 @@ class JdbcSource:
             if lo is not None and lo != hi:
                 return self.table(schema, name, partition_column=pk[0], lower_bound=lo,
                                   upper_bound=hi, num_partitions=n_chunks)
-        if n_chunks > 1 and pk and self.hash_predicate:
+        if n_chunks > 1 and self.hash_predicate:
             n = min(n_chunks, max(1, int(self.max_hash_splits)))
-            cols = ", ".join(pk)
+            if pk:
+                cols = ", ".join(pk)
+            else:
+                # a keyless table hashes every column (schema probe, no rows
+                # read); equal rows land in the same split, so each row is
+                # read exactly once
+                fields = self.table(schema, name).schema.fieldNames()
+                cols = ", ".join('"' + c.replace('"', '""') + '"' for c in fields)
             preds = [self.hash_predicate.format(cols=cols, n=n, i=i) for i in range(n)]
             return self.table(schema, name, predicates=preds)
         return self.table(schema, name)

@@ -60,3 +60,21 @@ def test_hash_split_for_composite_keys(spark, derby):
     df = capped.table_for_export("APP", "ORDERS", ["o_orderstatus"], 50)  # text key: hash split, capped
     assert df.rdd.getNumPartitions() == 2
     assert df.count() == spark.read.parquet(f"{SF}/orders.parquet").count()
+
+
+def test_hash_split_for_keyless_tables(spark, derby):
+    from snapvault.plans.jobs import task_partitions
+    # a keyless table is planned as one chunk, but its tasks follow its size
+    cfg = ExportConfig(database="d", output_root="/unused", target_mb=10, partition_mb=100)
+    assert task_partitions({"n_chunks": 1, "rows": 1000, "rows_per_chunk": 10}, cfg) == 10  # 100 chunks of 10 MB / 100 MB
+    assert task_partitions({"n_chunks": 1, "rows": 1000, "rows_per_chunk": 1}, cfg) == 100
+    assert task_partitions({"n_chunks": 1, "rows": 0, "rows_per_chunk": 0}, cfg) == 1
+    src = JdbcSource(spark, URL, PROPS, dialect="generic", schema="APP", max_hash_splits=4,
+                     hash_predicate='MOD(ABS("o_orderkey"), {n}) = {i} AND \'{cols}\' <> \'\'')
+    df = src.table_for_export("APP", "ORDERS", [], 10)  # declared keyless: every column is hashed
+    assert df.rdd.getNumPartitions() == 4
+    want = spark.read.parquet(f"{SF}/orders.parquet")
+    assert df.count() == want.count()
+    assert df.select(F.sum("o_orderkey")).first()[0] == want.select(F.sum("o_orderkey")).first()[0]
+    plain = JdbcSource(spark, URL, PROPS, dialect="generic", schema="APP")
+    assert plain.table_for_export("APP", "ORDERS", [], 10).rdd.getNumPartitions() == 1  # no predicate: one statement
