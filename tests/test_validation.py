@@ -67,3 +67,23 @@ def test_count_exported_many_tables_in_batches(spark, tmp_dir, monkeypatch):
         write_incremental(orders, paths[f"t{i}"], "20240101000000Z")
     got = {r["table_name"]: r["exported_row_count"] for r in mod.count_exported(spark, paths).collect()}
     assert got == {f"t{i}": 1500 for i in range(5)}
+
+
+def test_count_exported_in_batches_reports_empty_and_missing_tables(spark, tmp_dir, monkeypatch):
+    from snapvault.operators import validation as mod
+    monkeypatch.setattr(mod, "UNION_BATCH", 2)
+    orders = project_strings(spark.read.parquet(f"{SF}/orders.parquet"))
+    snap = "20240101000000Z"
+    paths = {}
+    for i in range(3):
+        paths[f"t{i}"] = os.path.join(tmp_dir, f"t{i}")
+        write_incremental(orders, paths[f"t{i}"], snap)
+    paths["empty"] = os.path.join(tmp_dir, "empty")
+    write_incremental(orders.where("false"), paths["empty"], snap)  # schema-only snapshot
+    paths["gone"] = os.path.join(tmp_dir, "never_written")
+    got = {r["table_name"]: (r["extraction_timestamp"], r["exported_row_count"])
+           for r in mod.count_exported(spark, paths, "incremental", snap).collect()}
+    assert got == {"t0": (snap, 1500), "t1": (snap, 1500), "t2": (snap, 1500), "empty": (snap, 0), "gone": (snap, 0)}
+    full = {r["table_name"]: r["exported_row_count"]
+            for r in mod.count_exported(spark, {"t0": paths["t0"], "empty": paths["empty"]}, "full").collect()}
+    assert full == {"t0": 1500, "empty": 0}
