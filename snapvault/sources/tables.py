@@ -45,7 +45,13 @@ class ParquetSource:
         return single if os.path.exists(single) else os.path.join(self.root, name)
 
     def table(self, schema: str | None, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """The table as the last ``catalog()`` opened it, else opened now.
+
+        Reusing the catalog's frames means an export reads exactly the file
+        listing its plan counted, and skips a second schema inference.
+        """
+        opened = self.__dict__.get("_opened", {}).get(name)
+        return opened if opened is not None else self.spark.read.parquet(self.path(name))
 
     def table_for_export(self, schema: str | None, name: str, pk: list[str], n_chunks: int) -> DataFrame:
         """Parquet splits already parallelise the read."""
@@ -55,7 +61,7 @@ class ParquetSource:
         """Open several tables at once (schema discovery reads footers: I/O bound)."""
         names = list(names or self.table_names())
         with ThreadPoolExecutor(max_workers=min(8, max(1, len(names)))) as pool:
-            frames = list(pool.map(lambda n: self.table(self.schema, n), names))
+            frames = list(pool.map(lambda n: self.spark.read.parquet(self.path(n)), names))
         return dict(zip(names, frames))
 
     def stored_bytes(self, names: list[str]) -> dict[str, int] | None:
@@ -80,7 +86,8 @@ class ParquetSource:
         return self.spark.sql(sql)
 
     def catalog(self, names: list[str] | None = None, profile="exact") -> Catalog:
-        tables = self.tables(names)
+        tables = self.tables(names)  # always opened fresh: a new plan sees new files
+        self._opened = dict(tables)
         stored = self.stored_bytes(list(tables)) if profile == "files" else None
         return catalog_from_tables(self.spark, tables, self.keys, self.schema, self.views, profile, stored)
 
