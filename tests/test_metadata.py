@@ -81,18 +81,3 @@ def test_catalog_from_parquet_tables(spark):
     assert types["o_orderstatus"] == "nvarchar" and types["o_orderdate"] == "datetime2"
     space = cat.space_used.where(F.col("table_name") == "orders").first()
     assert space["rows"] == str(direct["orders"]) and space["reserved"].endswith(" KB")
-
-
-def test_tables_read_what_the_last_catalog_listed(spark, tmp_dir):
-    import os
-    from snapvault.operators.metadata import table_stats
-    from snapvault.sources.tables import ParquetSource
-    src_dir = os.path.join(tmp_dir, "src")
-    nation = spark.read.parquet("/root/testdata/sf0.001/nation.parquet")
-    nation.write.parquet(os.path.join(src_dir, "nation"))
-    src = ParquetSource(spark, src_dir, keys={"nation": ["n_nationkey"]})
-    planned = {r["table_name"]: r["original_row_count"] for r in table_stats(src.catalog(profile="files")).collect()}
-    nation.write.mode("append").parquet(os.path.join(src_dir, "nation"))  # files land after planning
-    assert src.table("dbo", "nation").count() == planned["nation"] == 25  # the export reads what was counted
-    fresh = {r["table_name"]: r["original_row_count"] for r in table_stats(src.catalog(profile="files")).collect()}
-    assert fresh["nation"] == 50 and src.table("dbo", "nation").count() == 50  # a new plan sees new files
