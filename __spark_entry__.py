@@ -470,7 +470,8 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_run_export(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Queries of the library itself."""
     return {
         "scan_full": q_scan_full,
         "scan_chunked": q_scan_chunked,
@@ -660,7 +661,7 @@ SELECT doc_id,
 FROM b"""
 
 
-def oracle_sql() -> dict[str, str]:
+def core_oracles() -> dict[str, str]:
     """DuckDB statements equal in value to each query.
 
     A count column that holds NULLs (exported counts not known yet) reaches
@@ -792,3 +793,28 @@ SELECT table_name, original_row_count, original_row_count AS exported_row_count,
 SELECT table_name, original_row_count, original_row_count AS exported_row_count,
        '{SNAP_2}' AS extraction_timestamp FROM ({counts})""",
     }
+
+
+# ---------------------------------------------------------------- training-data operators, when they are there
+
+def _training() -> tuple[dict, dict]:
+    """Queries and oracles of the training-data package and its pipeline; none where those files are absent."""
+    try:
+        import corpus_pipeline
+        from snapvault.llm import queries as training
+    except ModuleNotFoundError as absent:
+        if absent.name in ("corpus_pipeline", "snapvault.llm", "snapvault.llm.queries"):
+            return {}, {}
+        raise
+    oracles = dict(training.oracle_sql())
+    if corpus_pipeline.ORACLE_SQL:
+        oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**training.queries(), "pipeline": corpus_pipeline.run}, oracles
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**core_queries(), **_training()[0]}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**core_oracles(), **_training()[1]}

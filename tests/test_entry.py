@@ -13,7 +13,7 @@ ROWS_ONLY: set[str] = set()
 
 
 def test_every_query_has_an_oracle_or_is_declared_rows_only():
-    q, o = E.queries(), E.oracle_sql()
+    q, o = E.core_queries(), E.core_oracles()
     assert set(o) <= set(q)
     assert set(q) - set(o) == ROWS_ONLY
 
@@ -33,10 +33,10 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("key", sorted(set(E.queries()) - ROWS_ONLY))
+@pytest.mark.parametrize("key", sorted(set(E.core_queries()) - ROWS_ONLY))
 def test_query_matches_oracle(spark, duck, key):
-    got = E.queries()[key](spark, SF).toPandas()
-    want = duck.execute(E.oracle_sql()[key]).df()
+    got = E.core_queries()[key](spark, SF).toPandas()
+    want = duck.execute(E.core_oracles()[key]).df()
     ok, why = compare(got, want)
     assert ok, why
 
