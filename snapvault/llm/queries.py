@@ -13,6 +13,7 @@ from snapvault.llm.exact_dedup import exact_dedup
 from snapvault.llm.mixing import cube_mix
 from snapvault.llm.quality import judge_quality
 from snapvault.llm.simhash import simhash_groups
+from snapvault.llm.suffix_dedup import repeated_passages
 from snapvault.llm.template import CONTROLS
 from snapvault.llm.toxicity import THRESHOLD, fit, held_out, with_score
 from snapvault.llm.unigram import round_trip
@@ -49,6 +50,12 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_table(spark, sf_dir, "documents"), tokenizer_bytes())
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    passages = repeated_passages(read_table(spark, sf_dir, "documents"), min_words=50)
+    return passages.select("doc_id", "start_word", "end_word", "n_words", "match_id")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     groups = exact_dedup(read_table(spark, sf_dir, "documents"), keep="largest")
@@ -95,7 +102,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_toxicity": op1_toxicity, "op2_sentencepiece": op2_sentencepiece, "op4_exact_dedup": op4_exact_dedup,
+    return {"op1_toxicity": op1_toxicity, "op2_sentencepiece": op2_sentencepiece,
+            "op3_suffix_dedup": op3_suffix_dedup, "op4_exact_dedup": op4_exact_dedup,
             "op5_chat_format": op5_chat_format, "op6_simhash": op6_simhash, "op7_token_counts": op7_token_counts,
             "op8_mixing": op8_mixing, "op9_warc": op9_warc, "op10_quality": op10_quality}
 
