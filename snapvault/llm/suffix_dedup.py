@@ -249,8 +249,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     each = each.select("doc_id", "text_hash", F.col("s.hashes").alias("h"), F.col("s.places").alias("place"))
     # only beginnings that two documents have can match
     who = F.xxhash64("doc_id", "text_hash")
-    twice = (each.groupBy("h").agg(F.min(who).alias("a"), F.max(who).alias("b")).where("a <> b")
-             .select(F.col("h").alias("t_h")))
+    twice = stored(each.groupBy("h").agg(F.min(who).alias("a"), F.max(who).alias("b")).where("a <> b")
+                   .select(F.col("h").alias("t_h")), "shared-beginnings")  # so that Spark can split a hot one in the join
     places = (each.join(twice, F.col("h") == F.col("t_h"), "left_semi")
               # a document's positions: no more than its words
               .groupBy(F.col("doc_id").alias("p_id"), F.col("text_hash").alias("p_h"))
