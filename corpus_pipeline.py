@@ -21,7 +21,7 @@ from snapvault.llm.mixing import cube_mix, mixed_rows
 from snapvault.llm.queries import tokenizer_bytes
 from snapvault.llm.simhash import simhash_groups
 from snapvault.llm.toxicity import THRESHOLD, fit, with_score
-from snapvault.llm.unigram import decode, encode
+from snapvault.llm.unigram import encode
 from snapvault.session import prepare
 
 
@@ -50,11 +50,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids in place of the text, and whether decoding them gives the text back."""
-    model = tokenizer_bytes()
-    out = decode(encode(docs, model, ids_col="piece_ids"), model, ids_col="piece_ids", text_col="__decoded")
-    same = F.col("__decoded") == F.coalesce(F.col("text"), F.lit(""))
-    return (out.withColumn("n_pieces", F.size("piece_ids").cast("long")).withColumn("round_trip", same)
-            .drop("text", "__decoded"))
+    out = encode(docs, tokenizer_bytes(), ids_col="piece_ids", check_col="round_trip")
+    return out.withColumn("n_pieces", F.size("piece_ids").cast("long")).drop("text")
 
 
 STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("simhash_near_dedup", drop_near_copies),

@@ -31,7 +31,7 @@ SPACE = r"\t-\r\x20\x85\xa0  -     　"
 PRE_TOKEN = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+"
              rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 UNIT = rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
-CACHE_UNITS = 800_000
+CACHE_UNITS = 500_000
 _NONE = np.int64(1) << 40
 
 

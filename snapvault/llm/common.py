@@ -68,13 +68,22 @@ def by_bytes(rows: list, most: int = 4 << 20):
         yield start, len(rows)
 
 
+#: The memories of the owners last used in this process, most recent last.
+_MEMORIES: list = []
+OWNERS = 2
+
+
 def remembered(owner, now: set, most: int) -> dict:
-    """``owner``'s memory of what it has worked out, kept for the process.
+    """``owner``'s memory of what it has worked out, kept between tasks of a process.
 
     Beyond ``most`` entries only those in use now stay: frequent ones do, and
-    the memory stays bounded.
+    the memory stays bounded.  Only the ``OWNERS`` last used owners keep one,
+    so a long-lived worker doesn't gather the memories of earlier jobs.
     """
-    known = owner.__dict__.setdefault("_known", {})
+    at = next((k for k, (o, _) in enumerate(_MEMORIES) if o is owner), None)
+    known = {} if at is None else _MEMORIES.pop(at)[1]
     if len(known) + len(now) > most:
-        known = owner.__dict__["_known"] = {u: known[u] for u in now if u in known}
+        known = {u: known[u] for u in now if u in known}
+    _MEMORIES.append((owner, known))
+    del _MEMORIES[:-OWNERS]
     return known

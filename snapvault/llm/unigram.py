@@ -27,13 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from snapvault.llm.common import arrow_limits, by_bytes, remembered, utf8
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_UNITS = 600_000
+CACHE_UNITS = 350_000
 #: A unit: markers (held as spaces) and what follows them, or a line break.
 UNIT = rb" *[^ \n]+| +|\n"
 
@@ -282,12 +282,14 @@ def broadcast_model(spark, model: bytes):
     return spark.sparkContext.broadcast(UnigramModel(model))
 
 
-def encode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str = "piece_ids") -> DataFrame:
-    """``docs`` with the texts' piece ids in ``ids_col``."""
+def encode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str = "piece_ids",
+           check_col: str | None = None) -> DataFrame:
+    """``docs`` with the texts' piece ids in ``ids_col``; in ``check_col`` whether decoding them gives the text back."""
     shared = broadcast_model(docs.sparkSession, model)
     arrow_limits(docs.sparkSession)
 
-    out = StructType([*docs.schema.fields, StructField(ids_col, ArrayType(IntegerType()))])
+    out = StructType([*docs.schema.fields, StructField(ids_col, ArrayType(IntegerType())),
+                      *([StructField(check_col, BooleanType())] if check_col else [])])
 
     def run(batches):
         encoder = Encoder(shared.value)
@@ -298,7 +300,11 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str =
                 ends = np.r_[0, np.cumsum([len(x) for x in flat])].astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(flat), pa.int32()))
                 part = b.slice(s, e - s)
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, ids_col])
+                cols, names = [*part.columns, lists], [*part.schema.names, ids_col]
+                if check_col:
+                    back = [shared.value.decode(x.tolist()).encode("utf-8") == y for x, y in zip(flat, bodies[s:e])]
+                    cols, names = [*cols, pa.array(back, pa.bool_())], [*names, check_col]
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return docs.mapInArrow(run, out)
 
