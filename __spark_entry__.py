@@ -60,6 +60,7 @@ SNAP_1 = "20240101000000Z"
 SNAP_2 = "20240201000000Z"
 TARGET_MB = 0.25          # small file target so sf0.01 tables split into several chunks
 CHUNK_ROWS = 1000         # fixed chunk size for the row-range queries
+RANGE_START, RANGE_END = 21, 60  # rows of one chunk
 AS_OF = "2001-06-01"
 PART_PATTERNS = ["%ring", "RED%", "b_ue%"]
 ALLOWLIST = ["dbo.orders", "dbo.lineitem", "customer"]
@@ -145,22 +146,9 @@ def q_row_number_pk(spark, sf_dir):
 
 
 def q_filter_row_range(spark, sf_dir):
-    """Each chunk's ``rn BETWEEN start AND end`` over the whole table.
-
-    Chunk bounds follow from the chunk index and the table's row count (one
-    number), so every row carries its own chunk's range and the filter runs
-    row-parallel: no join with a chunk list, nothing gathered in one task.
-    """
-    conv = _t(spark, sf_dir, "conversations")
-    total = conv.count()  # one number (Parquet answers it from footers)
-    n = CHUNK_ROWS // 10
-    numbered = row_number_pk(conv, ["conv_id", "turn"]).select("conv_id", "turn", "rn")
-    chunk = ((F.col("rn") - 1) / n).cast("int")
-    with_bounds = numbered.select(
-        "conv_id", "turn", "rn", chunk.alias("chunk_index"),
-        (chunk.cast("long") * n + 1).alias("start_row"),
-        F.least(chunk.cast("long") * n + n, F.lit(total).cast("long")).alias("end_row"))
-    return filter_row_range(with_bounds, F.col("start_row"), F.col("end_row"))
+    """One chunk's ``rn BETWEEN start AND end`` over the numbered table (the row range is the feature)."""
+    numbered = row_number_pk(_t(spark, sf_dir, "conversations"), ["conv_id", "turn"])
+    return filter_row_range(numbered, F.lit(RANGE_START), F.lit(RANGE_END))
 
 
 def q_list_schemas(spark, sf_dir):
@@ -689,13 +677,8 @@ def core_oracles() -> dict[str, str]:
         "filter_pattern": f"SELECT * FROM part WHERE NOT COALESCE({not_pattern}, FALSE)",
         "filter_allowlist": f"SELECT * FROM ({counts}) WHERE table_name IN ('orders', 'lineitem', 'customer')",
         "filter_row_range": f"""
-WITH n AS (SELECT conv_id, turn, ROW_NUMBER() OVER (ORDER BY conv_id, turn) AS rn FROM conversations),
-c AS (SELECT COUNT(*) AS rows FROM conversations),
-p AS (SELECT UNNEST(range(0, CAST(CEIL(rows / {CHUNK_ROWS // 10}.0) AS BIGINT))) AS i, rows FROM c)
-SELECT n.conv_id, n.turn, n.rn, CAST(p.i AS INTEGER) AS chunk_index,
-       CAST(p.i * {CHUNK_ROWS // 10} + 1 AS BIGINT) AS start_row,
-       CAST(LEAST(p.i * {CHUNK_ROWS // 10} + {CHUNK_ROWS // 10}, p.rows) AS BIGINT) AS end_row
-FROM n JOIN p ON n.rn BETWEEN p.i * {CHUNK_ROWS // 10} + 1 AND LEAST(p.i * {CHUNK_ROWS // 10} + {CHUNK_ROWS // 10}, p.rows)""",
+SELECT * FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY conv_id, turn) AS rn FROM conversations)
+WHERE rn BETWEEN {RANGE_START} AND {RANGE_END}""",
         "filter_snapshot": orders_snap(SNAP_2),
         "project_strings": orders_strings,
         "project_typed": "SELECT * FROM orders",

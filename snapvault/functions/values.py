@@ -37,7 +37,7 @@ def decode_text(c, prefer: str = "cp1252") -> Column:
     * ``is_valid_utf8`` tells whether the UTF-8 reading is clean.
 
     ``prefer="utf-8"`` tries UTF-8 first (valid UTF-8 text round-trips).
-    Non-binary input is returned unchanged.
+    Text is not told from bytes here: callers pass binary columns only.
     """
     col = _col(c)
     latin1 = F.decode(col, "ISO-8859-1")

@@ -46,7 +46,7 @@ from snapvault.plans.chunks import plan_chunks, plan_tables, table_sizes
 from snapvault.session import local_frame
 from snapvault.streaming.streams import status_events_from_runs
 from snapvault.sinks.writers import (
-    ensure_database,
+    path_exists, ensure_database,
     register_table,
     refresh_partitions,
     table_columns,
@@ -105,7 +105,7 @@ class ExportConfig:
 
     @property
     def validation_location(self) -> str:
-        return self.validation_path or os.path.join(self.output_root, "table_export_validation")
+        return self.validation_path or os.path.join(self.output_root, self.database, "table_export_validation")
 
 
 @dataclass
@@ -180,7 +180,7 @@ def _prepare_table(source, plan: ExportPlan, cfg: ExportConfig, meta: dict) -> D
     rv = [name for name, source_type, _ in cols if source_type.lower() in ROWVERSION_TYPES]
     if cfg.keep_row_number and pk:
         df = row_number_pk(df, pk, num_partitions=tasks)
-    elif cfg.order_by_key and pk and meta["n_chunks"] > 1:
+    elif cfg.order_by_key and pk:
         df = key_ordered(df, pk, tasks)
     if cfg.typed:
         targets = {name: target for name, _, target in cols if name not in rv}
@@ -222,7 +222,7 @@ def export_table(source, plan: ExportPlan, cfg: ExportConfig, meta: dict) -> tup
         if expired.is_set():
             return (cfg.database, table, "TIMED_OUT", FAILURE_MESSAGE_FORMAT % table, path)
         detail = "".join(traceback.format_exception_only(type(exc), exc)).strip()
-        return (cfg.database, table, "FAILED", (FAILURE_MESSAGE_FORMAT % table) + " " + detail[:2000], path)
+        return (cfg.database, table, "FAILED", (FAILURE_MESSAGE_FORMAT % table) + " " + detail, path)
     finally:
         if timer is not None:
             timer.cancel()
@@ -277,10 +277,15 @@ def validate_export(spark: SparkSession, plan: ExportPlan, status: DataFrame, cf
         return reconciled
     updates = reconciled.select(*[c.split()[0] for c in VALIDATION_SCHEMA.split(", ")])
     location = cfg.validation_location
-    try:
+    if path_exists(spark, location):
         existing = spark.read.parquet(location).where(F.col(SNAPSHOT_COLUMN) == cfg.snapshot)
         existing = existing.select(*updates.columns)
-    except Exception:  # first run: nothing stored yet
+        # a table that an earlier run of this snapshot counted and this run did not try keeps its count
+        tried = status.select("table_name").distinct()
+        stored = existing.where("exported_row_count is not null").join(tried, "table_name", "left_anti")
+        updates = updates.join(stored.select("table_name", SNAPSHOT_COLUMN), ["table_name", SNAPSHOT_COLUMN], "left_anti")
+        updates = updates.select(*existing.columns)
+    else:  # first run: nothing stored yet
         existing = local_frame(spark, [], VALIDATION_SCHEMA)
     # cut lineage before overwriting the partition that was just read
     merged = upsert_validation(existing, updates).coalesce(1).checkpoint(eager=True)  # one row per table

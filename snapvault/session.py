@@ -28,7 +28,6 @@ def get_session(master: str = "local[*]", app: str = "snapvault", **conf) -> Spa
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
         .config("spark.scheduler.mode", "FAIR")  # concurrent table exports share the cluster
     )
     for key, value in conf.items():
@@ -62,7 +61,9 @@ def shared_root(spark: SparkSession) -> str:
         return current.removeprefix("file:")
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
-        # only reached where the cluster named no folder (local runs, tests)
+        # executors of a cluster could not see a folder of the driver's own
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="snapvault-ckpt-")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).removeprefix("file:")

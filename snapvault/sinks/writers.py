@@ -34,7 +34,11 @@ def write_incremental(df: DataFrame, path: str, snapshot: str | None = None,
     present in ``df``, so a retried write does not duplicate rows.
     """
     if snapshot is not None:
-        df = df.withColumn(SNAPSHOT_COLUMN, F.lit(snapshot))
+        # overwrite the one snapshot folder: an empty frame replaces it too, and
+        # no staged files have to be moved
+        part = f"{path.rstrip('/')}/{SNAPSHOT_COLUMN}={snapshot}"
+        _writer(df.drop(SNAPSHOT_COLUMN), max_records_per_file).mode("overwrite").save(part)
+        return path
     if SNAPSHOT_COLUMN not in df.columns:
         raise ValueError(f"incremental writes need a {SNAPSHOT_COLUMN} column")
     (_writer(df, max_records_per_file)
@@ -42,12 +46,6 @@ def write_incremental(df: DataFrame, path: str, snapshot: str | None = None,
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(SNAPSHOT_COLUMN)
      .save(path))
-    if snapshot is not None:
-        part = f"{path.rstrip('/')}/{SNAPSHOT_COLUMN}={snapshot}"
-        if not path_exists(df.sparkSession, part):
-            # an empty table writes no partition; keep one empty file with the
-            # schema so the snapshot exists and counts as 0 rows
-            df.drop(SNAPSHOT_COLUMN).where(F.lit(False)).coalesce(1).write.mode("overwrite").parquet(part)
     return path
 
 
@@ -121,7 +119,11 @@ def register_table(spark: SparkSession, database: str, table: str, columns: list
     if existing is not None:
         from snapvault.operators.validation import schema_drift, columns_frame
         drift = schema_drift(columns_frame(spark, existing), columns_frame(spark, columns))
-        if drift.isEmpty():
+        parted = any(c.isPartition for c in spark.catalog.listColumns(f"{database}.{table}"))
+        same_place = _same_path(spark, table_location(spark, database, table), location)
+        if parted == (mode == "incremental") and same_place and drift.isEmpty():
+            # files were replaced: forget the listing that the session holds
+            spark.sql(f"REFRESH TABLE {_q(database)}.{_q(table)}")
             return "unchanged"
         update_metadata(spark, database, table, columns, location, mode, primary_key, description)
         return "updated"
@@ -129,6 +131,14 @@ def register_table(spark: SparkSession, database: str, table: str, columns: list
     return "created"
 
 
+def _same_path(spark: SparkSession, a: str | None, b: str) -> bool:
+    """Whether two locations are one, whatever their scheme or trailing slash."""
+    def plain(x):
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(x)
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return a is not None and plain(a) == plain(b)
+
+
 def _create(spark, database, table, columns, location, mode, primary_key, description):
     props = table_properties(primary_key)
     prop_sql = ", ".join(f"{_lit(k)} = {_lit(v)}" for k, v in props.items())
