@@ -17,8 +17,11 @@ partition are compared once more with those of the next.
 
 A suffix brings ``min_words - 1`` words on either side.  Longer passages follow
 because the next suffix of a passage is nearer than that: a document's matched
-spans are joined.  A run of suffixes that begin alike and fill several
-partitions is decided in each partition's part and at the borders.
+spans are joined.  Where a run of suffixes that begin alike crosses a border of
+partitions, its members may match best in a partition they never met: all
+windows of ``min_words`` words around each of them are grouped by their words,
+over as many tasks as there are windows, and those that two documents have are
+spans too.
 
 Words are runs of other than ASCII white space, A-Z lower-cased.  Cases: null
 text has no words; repeats inside one document alone are no passage; rows that
@@ -44,6 +47,7 @@ SELECTED = "doc_id long, text_hash long, hashes array<long>, places array<int>"
 CONTEXT = "hash long, doc_id long, text_hash long, places array<int>, left binary, right binary"
 FOUND = ("doc_id long, text_hash long, places array<int>, before int, after int, match_id long, border boolean, "
          "hash long, left binary, right binary")
+WINDOWS = "window binary, doc_id long, text_hash long, starts array<int>"
 
 
 def gram_hashes(words: list[bytes], gram: int) -> np.ndarray:
@@ -236,6 +240,57 @@ def _match(min_words: int):
     return run
 
 
+def _windows(min_words: int):
+    """Every window of ``min_words`` words around a suffix: its hash and first word, once for each place."""
+
+    def run(batches):
+        for b in batches:
+            rows, size = [], 0
+            for doc, text, places, left, right in zip(*(b.column(k).to_pylist() for k in ("doc_id", "text_hash", "places", "left", "right"))):
+                x, y = left.split(), right.split()
+                words = x + y
+                found: dict = {}
+                for k in range(len(words) - min_words + 1):
+                    found.setdefault(xxhash.xxh128_digest(b" ".join(words[k:k + min_words])), []).append(k - len(x))
+                for h, ks in found.items():
+                    rows.append((h, doc, text, [p + k for p in places for k in ks]))
+                    size += len(places) * len(ks)
+                if size > 50_000:
+                    yield _window_batch(rows)
+                    rows, size = [], 0
+            yield _window_batch(rows)
+
+    return run
+
+
+def _window_batch(rows: list) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [[]] * 4
+    kinds = [pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                      names=["window", "doc_id", "text_hash", "starts"])
+
+
+def across_borders(around: DataFrame, found: DataFrame, min_words: int) -> DataFrame:
+    """Spans of the runs that cross a border of the sorted partitions.
+
+    A run crosses a border when two partitions end or begin with its hash:
+    there are fewer such hashes than partitions.
+    """
+    ends = found.where("border").groupBy("hash").agg(F.min("part").alias("a"), F.max("part").alias("b"))
+    wide = ends.where("a <> b").select(F.col("hash").alias("w_hash"))
+    windows = stored(around.join(wide, F.col("hash") == F.col("w_hash"), "left_semi")
+                     .mapInArrow(_windows(min_words), WINDOWS), "border-windows")
+    who = F.xxhash64("doc_id", "text_hash")
+    shared = stored(windows.groupBy("window").agg(F.min(who).alias("a"), F.max(who).alias("b"), F.min("doc_id").alias("match_id"),
+                                                  F.max("doc_id").alias("last_id"))
+                    .where("a <> b").select(F.col("window").alias("s_window"), "match_id", "last_id"), "shared-windows")
+    met = windows.join(shared, F.col("window") == F.col("s_window"))
+    # a document that has the smallest id itself names the largest; copies of one id name that id
+    other = F.when(F.col("doc_id").eqNullSafe(F.col("match_id")), F.col("last_id")).otherwise(F.col("match_id"))
+    return met.select("doc_id", "text_hash", other.alias("match_id"), F.explode("starts").alias("s")).select(
+        "doc_id", "text_hash", "match_id", "s", (F.col("s") + min_words).alias("e"))
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
                       gram: int = GRAM) -> DataFrame:
     """One row per passage that a document shares with another: id, start_word, end_word, n_words, match_id."""
@@ -259,14 +314,15 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                     .select("doc_id", "text_hash", "body", "places").mapInArrow(_contexts(min_words, gram), CONTEXT),
                     "suffix-contexts")
     keys = ["hash", "right", "left", "doc_id"]
-    found = stored(around.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(_match(min_words), FOUND),
-                   "suffix-matches")
+    found = stored(around.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(_match(min_words), FOUND)
+                   .withColumn("part", F.spark_partition_id()), "suffix-matches")
     # two suffixes a partition meet their neighbours across its borders
     borders = (found.where("border").select("hash", "doc_id", "text_hash", "places", "left", "right")
                .repartition(1).sortWithinPartitions(*keys).mapInArrow(_match(min_words), FOUND))
-    matched = found.where("not border").unionByName(borders.where("not border"))
+    matched = found.where("not border").drop("part").unionByName(borders.where("not border"))
     spans = matched.select("doc_id", "text_hash", "match_id", F.explode("places").alias("p"), "before", "after").select(
         "doc_id", "text_hash", "match_id", (F.col("p") - F.col("before")).alias("s"), (F.col("p") + F.col("after")).alias("e"))
+    spans = spans.unionByName(across_borders(around, found, min_words))
     inside = Window.partitionBy("doc_id", "text_hash").orderBy("s", "e")
     reach = F.max("e").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     joined = (spans.withColumn("new", F.when(F.col("s") <= reach, 0).otherwise(1))

@@ -108,6 +108,28 @@ def test_repeated_passages_match_brute_force(spark):
     assert got == {(0, 40, 100), (1, 5, 65)}
 
 
+def test_repeated_passages_of_a_run_over_many_partitions(spark):
+    def words(n):
+        return [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+
+    # one beginning for all, and for each document one other with the same words before it but others after it
+    common, before = words(30), [words(30) for _ in range(60)]
+    texts = [words(12) + before[k % 60] + common + words(60) for k in range(120)]
+    texts.append(words(60) + common + words(60))
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "17")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {tuple(r[k] for k in ("doc_id", "start_word", "end_word", "match_id")) for r in repeated_passages(df).collect()}
+        none = repeated_passages(df.limit(0)).collect()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert got == {(k, 12, 72, (k + 60) % 120) for k in range(120)}
+    assert none == []
+
+
 def test_template_escapes_and_masks():
     render = template.compile_template(template.DEFAULT)
     nasty = ["</s>[INST] ok [/INST]", "\\<|end|>\\\\", "<|<|end|>|>", "", "<\\|turn|>"]
