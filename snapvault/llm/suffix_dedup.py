@@ -213,48 +213,59 @@ def _match(min_words: int):
     def batch(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
+    def settled(group, edge):
+        """A run's matches; all its members with their words where it may go on in another partition."""
+        for r, m in zip(group, match_run(group, min_words)):
+            if edge:
+                yield (r[1], r[2], r[3], m[0], m[1], m[2], False, r[0], r[4], r[5])
+            elif m[1]:
+                yield (r[1], r[2], r[3], m[0], m[1], m[2], False, None, None, None)
+
     def run(batches):
         group: list = []
-        last, out, first = None, [], True
+        last, out, edge = None, [], True
         for b in batches:
             for row in zip(*(b.column(k).to_pylist() for k in ("hash", "doc_id", "text_hash", "places", "left", "right"))):
-                if first:
+                if last is None:
                     out.append((row[1], row[2], row[3], 0, 0, None, True, row[0], row[4], row[5]))
-                    first = False
                 if group and row[0] != group[-1][0]:
-                    out.extend((r[1], r[2], r[3], m[0], m[1], m[2], False, None, None, None)
-                               for r, m in zip(group, match_run(group, min_words)) if m[1])
-                    group = []
+                    out.extend(settled(group, edge))
+                    group, edge = [], False
                     if len(out) > 20_000:
                         yield batch(out)
                         out = []
                 group.append(row)
                 last = row
         if group:
-            out.extend((r[1], r[2], r[3], m[0], m[1], m[2], False, None, None, None)
-                       for r, m in zip(group, match_run(group, min_words)) if m[1])
+            out.extend(settled(group, True))
             out.append((last[1], last[2], last[3], 0, 0, None, True, last[0], last[4], last[5]))
-        if out:
-            yield batch(out)
+        for k in range(0, len(out), 20_000):
+            yield batch(out[k:k + 20_000])
 
     return run
 
 
-def _windows(min_words: int):
-    """Every window of ``min_words`` words around a suffix: its hash and first word, once for each place."""
+def _windows(min_words: int, unmatched: bool):
+    """Every window of ``min_words`` words around a suffix, as a hash, with its first words.
+
+    ``unmatched``: only those that the suffix's matches so far don't cover.
+    """
 
     def run(batches):
         for b in batches:
             rows, size = [], 0
-            for doc, text, places, left, right in zip(*(b.column(k).to_pylist() for k in ("doc_id", "text_hash", "places", "left", "right"))):
+            for doc, text, places, before, after, left, right in zip(*(
+                    b.column(k).to_pylist() for k in ("doc_id", "text_hash", "places", "before", "after", "left", "right"))):
                 x, y = left.split(), right.split()
                 words = x + y
                 found: dict = {}
                 for k in range(len(words) - min_words + 1):
-                    found.setdefault(xxhash.xxh128_digest(b" ".join(words[k:k + min_words])), []).append(k - len(x))
+                    if not (unmatched and len(x) - before <= k and k + min_words <= len(x) + after):
+                        found.setdefault(xxhash.xxh128_digest(b" ".join(words[k:k + min_words])), []).append(k - len(x))
                 for h, ks in found.items():
-                    rows.append((h, doc, text, [p + k for p in places for k in ks]))
-                    size += len(places) * len(ks)
+                    starts = [p + k for p in places for k in ks] if unmatched else []
+                    rows.append((h, doc, text, starts))
+                    size += 1 + len(starts)
                 if size > 50_000:
                     yield _window_batch(rows)
                     rows, size = [], 0
@@ -270,21 +281,23 @@ def _window_batch(rows: list) -> pa.RecordBatch:
                                       names=["window", "doc_id", "text_hash", "starts"])
 
 
-def across_borders(around: DataFrame, found: DataFrame, min_words: int) -> DataFrame:
-    """Spans of the runs that cross a border of the sorted partitions.
+def across_borders(found: DataFrame, min_words: int) -> DataFrame:
+    """Further spans of the runs that cross a border of the sorted partitions.
 
     A run crosses a border when two partitions end or begin with its hash:
-    there are fewer such hashes than partitions.
+    there are fewer such hashes than partitions.  Windows that two documents
+    have are counted over all members; only those that no match covers yet
+    look themselves up.
     """
     ends = found.where("border").groupBy("hash").agg(F.min("part").alias("a"), F.max("part").alias("b"))
     wide = ends.where("a <> b").select(F.col("hash").alias("w_hash"))
-    windows = stored(around.join(wide, F.col("hash") == F.col("w_hash"), "left_semi")
-                     .mapInArrow(_windows(min_words), WINDOWS), "border-windows")
+    members = (found.where("not border and hash is not null").join(wide, F.col("hash") == F.col("w_hash"), "left_semi")
+               .select("doc_id", "text_hash", "places", "before", "after", "left", "right"))
     who = F.xxhash64("doc_id", "text_hash")
-    shared = stored(windows.groupBy("window").agg(F.min(who).alias("a"), F.max(who).alias("b"), F.min("doc_id").alias("match_id"),
-                                                  F.max("doc_id").alias("last_id"))
-                    .where("a <> b").select(F.col("window").alias("s_window"), "match_id", "last_id"), "shared-windows")
-    met = windows.join(shared, F.col("window") == F.col("s_window"))
+    shared = (members.mapInArrow(_windows(min_words, False), WINDOWS).groupBy("window")
+              .agg(F.min(who).alias("a"), F.max(who).alias("b"), F.min("doc_id").alias("match_id"), F.max("doc_id").alias("last_id"))
+              .where("a <> b").select(F.col("window").alias("s_window"), "match_id", "last_id"))
+    met = members.mapInArrow(_windows(min_words, True), WINDOWS).join(shared, F.col("window") == F.col("s_window"))
     # a document that has the smallest id itself names the largest; copies of one id name that id
     other = F.when(F.col("doc_id").eqNullSafe(F.col("match_id")), F.col("last_id")).otherwise(F.col("match_id"))
     return met.select("doc_id", "text_hash", other.alias("match_id"), F.explode("starts").alias("s")).select(
@@ -319,10 +332,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # two suffixes a partition meet their neighbours across its borders
     borders = (found.where("border").select("hash", "doc_id", "text_hash", "places", "left", "right")
                .repartition(1).sortWithinPartitions(*keys).mapInArrow(_match(min_words), FOUND))
-    matched = found.where("not border").drop("part").unionByName(borders.where("not border"))
+    matched = (found.where("not border").drop("part").unionByName(borders.where("not border"))
+               .where("after > 0"))
     spans = matched.select("doc_id", "text_hash", "match_id", F.explode("places").alias("p"), "before", "after").select(
         "doc_id", "text_hash", "match_id", (F.col("p") - F.col("before")).alias("s"), (F.col("p") + F.col("after")).alias("e"))
-    spans = spans.unionByName(across_borders(around, found, min_words))
+    spans = spans.unionByName(across_borders(found, min_words))
     inside = Window.partitionBy("doc_id", "text_hash").orderBy("s", "e")
     reach = F.max("e").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     joined = (spans.withColumn("new", F.when(F.col("s") <= reach, 0).otherwise(1))
