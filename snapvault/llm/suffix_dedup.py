@@ -47,7 +47,8 @@ SELECTED = "doc_id long, text_hash long, hashes array<long>, places array<int>"
 CONTEXT = "hash long, doc_id long, text_hash long, places array<int>, left binary, right binary"
 FOUND = ("doc_id long, text_hash long, places array<int>, before int, after int, match_id long, border boolean, "
          "hash long, left binary, right binary")
-WINDOWS = "window binary, doc_id long, text_hash long, starts array<int>"
+CONTEXTS = ["ctx", "left", "right", "before", "after", "a", "b", "lo", "hi"]
+WINDOWS = "window binary, ctx binary, a long, b long, lo long, hi long, first int, last int"
 
 
 def gram_hashes(words: list[bytes], gram: int) -> np.ndarray:
@@ -246,62 +247,69 @@ def _match(min_words: int):
 
 
 def _windows(min_words: int, unmatched: bool):
-    """Every window of ``min_words`` words around a suffix, as a hash, with its first words.
+    """Every window of ``min_words`` words around a suffix: its hash, and its first and last start before or after the suffix.
 
-    ``unmatched``: only those that the suffix's matches so far don't cover.
+    ``unmatched``: only those that the matches so far don't cover.
     """
 
     def run(batches):
         for b in batches:
-            rows, size = [], 0
-            for doc, text, places, before, after, left, right in zip(*(
-                    b.column(k).to_pylist() for k in ("doc_id", "text_hash", "places", "before", "after", "left", "right"))):
+            rows = []
+            for ctx, left, right, before, after, *who in zip(*(b.column(k).to_pylist() for k in CONTEXTS)):
                 x, y = left.split(), right.split()
                 words = x + y
                 found: dict = {}
                 for k in range(len(words) - min_words + 1):
                     if not (unmatched and len(x) - before <= k and k + min_words <= len(x) + after):
-                        found.setdefault(xxhash.xxh128_digest(b" ".join(words[k:k + min_words])), []).append(k - len(x))
-                for h, ks in found.items():
-                    starts = [p + k for p in places for k in ks] if unmatched else []
-                    rows.append((h, doc, text, starts))
-                    size += 1 + len(starts)
-                if size > 50_000:
+                        h = xxhash.xxh128_digest(b" ".join(words[k:k + min_words]))
+                        found[h] = (found.get(h, (k - len(x),))[0], k - len(x))
+                rows.extend((h, ctx, *who, *ks) for h, ks in found.items())
+                if len(rows) > 50_000:
                     yield _window_batch(rows)
-                    rows, size = [], 0
+                    rows = []
             yield _window_batch(rows)
 
     return run
 
 
 def _window_batch(rows: list) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [[]] * 4
-    kinds = [pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+    cols = list(zip(*rows)) if rows else [[]] * 8
+    kinds = [pa.binary()] * 2 + [pa.int64()] * 4 + [pa.int32()] * 2
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                      names=["window", "doc_id", "text_hash", "starts"])
+                                      names=[x.split()[0] for x in WINDOWS.split(", ")])
 
 
 def across_borders(found: DataFrame, min_words: int) -> DataFrame:
     """Further spans of the runs that cross a border of the sorted partitions.
 
     A run crosses a border when two partitions end or begin with its hash:
-    there are fewer such hashes than partitions.  Windows that two documents
-    have are counted over all members; only those that no match covers yet
-    look themselves up.
+    there are fewer such hashes than partitions.  Members with the same words
+    around them (copies) count as one.  Windows that two documents have are
+    counted over all members; only those that no match covers yet look
+    themselves up.  All windows around a suffix contain it, so the first and
+    the last one that is shared bound its span.
     """
-    ends = found.where("border").groupBy("hash").agg(F.min("part").alias("a"), F.max("part").alias("b"))
-    wide = ends.where("a <> b").select(F.col("hash").alias("w_hash"))
+    ends = found.where("border").groupBy("hash").agg(F.min("part").alias("p"), F.max("part").alias("q"))
+    wide = ends.where("p <> q").select(F.col("hash").alias("w_hash"))
     members = (found.where("not border and hash is not null").join(wide, F.col("hash") == F.col("w_hash"), "left_semi")
-               .select("doc_id", "text_hash", "places", "before", "after", "left", "right"))
+               # a line end is no part of any word
+               .withColumn("ctx", F.unhex(F.md5(F.concat("left", F.lit(b"\n"), "right")))))
     who = F.xxhash64("doc_id", "text_hash")
-    shared = (members.mapInArrow(_windows(min_words, False), WINDOWS).groupBy("window")
-              .agg(F.min(who).alias("a"), F.max(who).alias("b"), F.min("doc_id").alias("match_id"), F.max("doc_id").alias("last_id"))
-              .where("a <> b").select(F.col("window").alias("s_window"), "match_id", "last_id"))
-    met = members.mapInArrow(_windows(min_words, True), WINDOWS).join(shared, F.col("window") == F.col("s_window"))
+    contexts = members.groupBy("ctx", "left", "right").agg(
+        F.min("before").alias("before"), F.min("after").alias("after"), F.min(who).alias("a"), F.max(who).alias("b"),
+        F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).select(*CONTEXTS)
+    shared = (contexts.mapInArrow(_windows(min_words, False), WINDOWS).groupBy(F.col("window").alias("s_window"))
+              .agg(F.min("a").alias("s_a"), F.max("b").alias("s_b"), F.min("lo").alias("s_lo"), F.max("hi").alias("s_hi"))
+              .where("s_a <> s_b").select("s_window", "s_lo", "s_hi"))
+    met = (contexts.mapInArrow(_windows(min_words, True), WINDOWS).join(shared, F.col("window") == F.col("s_window"))
+           .groupBy(F.col("ctx").alias("m_ctx"))
+           .agg(F.min("first").alias("first"), F.max("last").alias("last"), F.min("s_lo").alias("lo"), F.max("s_hi").alias("hi")))
     # a document that has the smallest id itself names the largest; copies of one id name that id
-    other = F.when(F.col("doc_id").eqNullSafe(F.col("match_id")), F.col("last_id")).otherwise(F.col("match_id"))
-    return met.select("doc_id", "text_hash", other.alias("match_id"), F.explode("starts").alias("s")).select(
-        "doc_id", "text_hash", "match_id", "s", (F.col("s") + min_words).alias("e"))
+    other = F.when(F.col("doc_id").eqNullSafe(F.col("lo")), F.col("hi")).otherwise(F.col("lo"))
+    return (members.select("ctx", "doc_id", "text_hash", "places").join(met, F.col("ctx") == F.col("m_ctx"))
+            .select("doc_id", "text_hash", other.alias("match_id"), F.explode("places").alias("p"), "first", "last")
+            .select("doc_id", "text_hash", "match_id", (F.col("p") + F.col("first")).alias("s"),
+                    (F.col("p") + F.col("last") + min_words).alias("e")))
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
