@@ -235,7 +235,9 @@ def q_distinct_tables(spark, sf_dir):
 
 def q_decode_text(spark, sf_dir):
     docs = _t(spark, sf_dir, "documents")
-    return docs.select("doc_id", decode_text(F.encode("text", "UTF-8"), prefer="utf-8").alias("decoded"))
+    # every second text ends in a byte that UTF-8 doesn't allow there
+    stray = F.when(F.col("doc_id") % 2 == 0, F.lit(b"\x80")).otherwise(F.lit(b""))
+    return docs.select("doc_id", decode_text(F.concat(F.encode("text", "UTF-8"), stray), prefer="utf-8").alias("decoded"))
 
 
 def q_decode_text_cp1252(spark, sf_dir):
@@ -368,7 +370,7 @@ def q_latest_per_table(spark, sf_dir):
 
 def q_schema_drift(spark, sf_dir):
     src = _t(spark, sf_dir, "orders")
-    exported = row_number_pk(_strings_with_snapshot(src, SNAP_1), ["o_orderkey"])
+    exported = _strings_with_snapshot(src, SNAP_1).withColumn("rn", F.lit(0).cast("long"))  # only names and types count
     return schema_drift(columns_frame(spark, src), columns_frame(spark, exported))
 
 
@@ -455,7 +457,7 @@ def q_retention_tiers(spark, sf_dir):
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: snapshot every sf0.001 table, validate, return the reconciliation."""
-    return q_run_export(spark, "/root/testdata/sf0.001")
+    return q_run_export(spark, "/root/testdata/sf0.001").drop("table_schema")  # one schema here
 
 
 def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -622,29 +624,44 @@ def _export_counts_sql(snaps, tables=None) -> str:
         f"FROM {t}" for t in (tables or TABLES) for s in snaps)
 
 
-def _cp1252_decode_sql() -> str:
+#: Fixed values of the published windows-1252 table: byte -> code point where it differs from Latin-1.
+CP1252_CODE_POINTS = {
+    0x80: 0x20AC, 0x82: 0x201A, 0x83: 0x0192, 0x84: 0x201E, 0x85: 0x2026, 0x86: 0x2020, 0x87: 0x2021,
+    0x88: 0x02C6, 0x89: 0x2030, 0x8A: 0x0160, 0x8B: 0x2039, 0x8C: 0x0152, 0x8E: 0x017D, 0x91: 0x2018,
+    0x92: 0x2019, 0x93: 0x201C, 0x94: 0x201D, 0x95: 0x2022, 0x96: 0x2013, 0x97: 0x2014, 0x98: 0x02DC,
+    0x99: 0x2122, 0x9A: 0x0161, 0x9B: 0x203A, 0x9C: 0x0153, 0x9E: 0x017E, 0x9F: 0x0178}
+CP1252_NO_CHARACTER = [0x81, 0x8D, 0x8F, 0x90, 0x9D]
+
+
+def _cp1252_decode_sql(stray: bool = False) -> str:
     """cp1252-first decoding of each text's UTF-8 bytes, spelled out in SQL.
 
+    ``stray``: UTF-8 first, even ids with the byte 80 at the end (no UTF-8 then).
+
     The UTF-8 bytes are rebuilt from code points; a text whose bytes include
     a byte cp1252 leaves undefined falls back to UTF-8 (the text itself);
-    otherwise every byte maps through cp1252 (table from Python's codec).
+    otherwise every byte maps through cp1252 (the published table).
     """
-    from snapvault.functions.fixed import CP1252_HIGH_BYTES, CP1252_HIGH_CHARS, CP1252_UNDEFINED_BYTES
-    undefined = ", ".join(str(ord(c)) for c in CP1252_UNDEFINED_BYTES)
-    cases = " ".join(f"WHEN {ord(b)} THEN '{c}'" for b, c in zip(CP1252_HIGH_BYTES, CP1252_HIGH_CHARS))
+    undefined = ", ".join(map(str, CP1252_NO_CHARACTER))
+    cases = " ".join(f"WHEN {byte} THEN chr({point})" for byte, point in CP1252_CODE_POINTS.items())
     u = "unicode(ch)"
     utf8 = (f"CASE WHEN {u} < 128 THEN [{u}] "
             f"WHEN {u} < 2048 THEN [192 | ({u} >> 6), 128 | ({u} & 63)] "
             f"WHEN {u} < 65536 THEN [224 | ({u} >> 12), 128 | (({u} >> 6) & 63), 128 | ({u} & 63)] "
             f"ELSE [240 | ({u} >> 18), 128 | (({u} >> 12) & 63), 128 | (({u} >> 6) & 63), 128 | ({u} & 63)] END")
+    more, whole, fallback = "", "", "text"
+    if stray:
+        more = " || CASE WHEN doc_id % 2 = 0 THEN [128] ELSE [] END"
+        whole = " WHEN doc_id % 2 <> 0 THEN text"
+        fallback = "array_to_string(list_transform(bytes, lambda x: chr(x)), '')"
     return f"""
 WITH b AS (
   SELECT doc_id, text,
-         flatten(list_transform(list_filter(string_split(text, ''), lambda ch: ch <> ''), lambda ch: {utf8})) AS bytes
+         flatten(list_transform(list_filter(string_split(text, ''), lambda ch: ch <> ''), lambda ch: {utf8})){more} AS bytes
   FROM documents)
 SELECT doc_id,
-       CASE WHEN text IS NULL THEN NULL
-            WHEN list_has_any(bytes, [{undefined}]) THEN text
+       CASE WHEN text IS NULL THEN NULL{whole}
+            WHEN list_has_any(bytes, [{undefined}]) THEN {fallback}
             ELSE array_to_string(list_transform(bytes, lambda x: CASE x {cases} ELSE chr(x) END), '') END AS decoded
 FROM b"""
 
@@ -711,7 +728,7 @@ e AS (SELECT name, 'string' AS type FROM d UNION ALL SELECT 'extraction_timestam
 SELECT name, type, 'removed' AS side FROM (SELECT * FROM d EXCEPT ALL SELECT * FROM e)
 UNION ALL
 SELECT name, type, 'added' AS side FROM (SELECT * FROM e EXCEPT ALL SELECT * FROM d)""",
-        "decode_text": "SELECT doc_id, text AS decoded FROM documents",
+        "decode_text": _cp1252_decode_sql(stray=True),
         "decode_text_cp1252": _cp1252_decode_sql(),
         "stream_landing": " UNION ALL ".join(
             f"SELECT '{t}.parquet' AS file_name, TRUE AS accepted, '{DATABASE}' AS database" for t in TABLES),
@@ -770,10 +787,10 @@ SELECT table_name, extraction_timestamp, age_days,
             WHEN age_days >= 90 THEN 'INFREQUENT' ELSE 'STANDARD' END AS tier
 FROM a""",
         "run_export": f"""
-SELECT table_name, original_row_count, original_row_count AS exported_row_count,
+SELECT 'dbo' AS table_schema, table_name, original_row_count, original_row_count AS exported_row_count,
        '{SNAP_1}' AS extraction_timestamp, 'MATCH' AS status FROM ({counts})""",
         "validate_export": f"""
-SELECT table_name, original_row_count, original_row_count AS exported_row_count,
+SELECT 'dbo' AS table_schema, table_name, original_row_count, original_row_count AS exported_row_count,
        '{SNAP_2}' AS extraction_timestamp FROM ({counts})""",
     }
 

@@ -18,6 +18,8 @@ VALIDATION_SCHEMA = (
     "table_name string, original_row_count long, exported_row_count long, extraction_timestamp string"
 )
 MODES = ("full", "incremental")
+#: Nothing was written at the path: no folder, or one without a file to take the schema from.
+NOT_WRITTEN = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def check_mode(mode: str) -> str:
@@ -42,7 +44,9 @@ def count_exported(spark: SparkSession, tables: dict[str, str], mode: str = "inc
         name, path = item
         try:
             return name, scan_exported(spark, path, snapshot if mode == "incremental" else None)
-        except AnalysisException:
+        except AnalysisException as exc:
+            if exc.getCondition() not in NOT_WRITTEN:
+                raise
             return name, None
 
     # opening a table reads its listing and one footer on the driver: I/O
@@ -86,9 +90,12 @@ def count_exported(spark: SparkSession, tables: dict[str, str], mode: str = "inc
 
 
 def init_validation(stats: DataFrame, snapshot: str) -> DataFrame:
-    """One row per source table: original count, exported count not yet known."""
+    """One row per source table: original count, exported count not yet known.
+
+    ``table_schema`` is carried along where ``stats`` has it.
+    """
     return stats.select(
-        F.col("table_name"),
+        *[c for c in ("table_schema", "table_name") if c in stats.columns],
         F.col("original_row_count").cast("long"),
         F.lit(None).cast("long").alias("exported_row_count"),
         F.lit(snapshot).alias(SNAPSHOT_COLUMN),
@@ -100,15 +107,18 @@ def reconcile_counts(original: DataFrame, exported: DataFrame) -> DataFrame:
 
     Tables counted at the source but never exported keep a NULL exported
     count and the status ``NOT_EXPORTED``; otherwise ``MATCH``/``MISMATCH``.
-    One left join replaces a lookup per table.
+    One left join replaces a lookup per table.  Where both sides name the
+    schema, tables of one name in two schemas are kept apart.
     """
-    exp = exported.select("table_name", SNAPSHOT_COLUMN, F.col("exported_row_count").alias("__exp"))
-    joined = original.drop("exported_row_count").join(exp, ["table_name", SNAPSHOT_COLUMN], "left")
+    schema = ["table_schema"] if "table_schema" in original.columns and "table_schema" in exported.columns else []
+    keys = schema + ["table_name", SNAPSHOT_COLUMN]
+    exp = exported.select(*keys, F.col("exported_row_count").alias("__exp"))
+    joined = original.drop("exported_row_count").join(exp, keys, "left")
     status = (F.when(F.col("__exp").isNull(), "NOT_EXPORTED")
               .when(F.col("__exp") == F.col("original_row_count"), "MATCH")
               .otherwise("MISMATCH"))
     return joined.select(
-        "table_name",
+        *schema, "table_name",
         F.col("original_row_count").cast("long"),
         F.col("__exp").cast("long").alias("exported_row_count"),
         SNAPSHOT_COLUMN,

@@ -18,6 +18,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +57,7 @@ from snapvault.sinks.writers import (
     write_views,
 )
 
+STORED_SCHEMA = "table_schema string, " + VALIDATION_SCHEMA
 STATUS_SCHEMA = "database string, table_name string, status string, message string, output_path string"
 
 
@@ -94,6 +96,10 @@ class ExportConfig:
     # per-table time limit in seconds: the table's Spark jobs are cancelled and
     # it is recorded as TIMED_OUT; the run goes on (None: no limit)
     table_timeout_s: float | None = None
+    # a table whose export fails is tried again this often, so many seconds apart
+    # (not after its time limit)
+    retries: int = 2
+    retry_wait_s: float = 5.0
 
     def __post_init__(self):
         check_mode(self.mode)
@@ -216,11 +222,21 @@ def export_table(source, plan: ExportPlan, cfg: ExportConfig, meta: dict) -> tup
         timer = threading.Timer(float(cfg.table_timeout_s), cancel)
         timer.daemon = True
         timer.start()
+    timed_out = (cfg.database, table, "TIMED_OUT", FAILURE_MESSAGE_FORMAT % table, path)
     try:
-        return _export_one(source, plan, cfg, meta, table, path)
+        for attempt in range(1 + max(0, int(cfg.retries))):
+            try:
+                done = _export_one(source, plan, cfg, meta, table, path, expired)
+                return timed_out if expired.is_set() else done
+            except (AnalysisException, ValueError):  # a missing table or a bad setting fails again
+                raise
+            except Exception:
+                # the limit covers all attempts together
+                if attempt == cfg.retries or expired.wait(float(cfg.retry_wait_s)):
+                    raise
     except Exception as exc:  # recorded per table; the run goes on
         if expired.is_set():
-            return (cfg.database, table, "TIMED_OUT", FAILURE_MESSAGE_FORMAT % table, path)
+            return timed_out
         detail = "".join(traceback.format_exception_only(type(exc), exc)).strip()
         return (cfg.database, table, "FAILED", (FAILURE_MESSAGE_FORMAT % table) + " " + detail, path)
     finally:
@@ -231,9 +247,12 @@ def export_table(source, plan: ExportPlan, cfg: ExportConfig, meta: dict) -> tup
                 spark.sparkContext.setLocalProperty(key, None)
 
 
-def _export_one(source, plan: ExportPlan, cfg: ExportConfig, meta: dict, table: str, path: str) -> tuple:
+def _export_one(source, plan: ExportPlan, cfg: ExportConfig, meta: dict, table: str, path: str,
+                expired: threading.Event) -> tuple:
     df = _prepare_table(source, plan, cfg, meta)
     limit = target_records_per_file(meta["rows_per_chunk"])
+    if expired.is_set():  # the limit passed between two jobs, when there was none to cancel
+        raise TimeoutError(table)
     if cfg.mode == "full":
         write_full(df, path, limit)
     else:
@@ -269,30 +288,43 @@ def validate_export(spark: SparkSession, plan: ExportPlan, status: DataFrame, cf
     exported = {r["table_name"]: r["output_path"]
                 for r in status.where(F.col("status").isin("OK", "TIMED_OUT"))
                 .select("table_name", "output_path").collect()}
-    counts = count_exported(spark, exported, cfg.mode, cfg.snapshot)
-    # one row per table (a single small partition): pin it once so the write
-    # and the caller share it
-    reconciled = reconcile_counts(plan.validation, counts).coalesce(1).checkpoint(eager=True)
-    if not write:
-        return reconciled
-    updates = reconciled.select(*[c.split()[0] for c in VALIDATION_SCHEMA.split(", ")])
-    location = cfg.validation_location
-    if path_exists(spark, location):
-        existing = spark.read.parquet(location).where(F.col(SNAPSHOT_COLUMN) == cfg.snapshot)
-        existing = existing.select(*updates.columns)
-        # a table that an earlier run of this snapshot counted and this run did not try keeps its count
-        tried = status.select("table_name").distinct()
-        stored = existing.where("exported_row_count is not null").join(tried, "table_name", "left_anti")
-        updates = updates.join(stored.select("table_name", SNAPSHOT_COLUMN), ["table_name", SNAPSHOT_COLUMN], "left_anti")
-        updates = updates.select(*existing.columns)
-    else:  # first run: nothing stored yet
-        existing = local_frame(spark, [], VALIDATION_SCHEMA)
-    # cut lineage before overwriting the partition that was just read
-    merged = upsert_validation(existing, updates).coalesce(1).checkpoint(eager=True)  # one row per table
-    write_incremental(merged, location)
+    schemas = local_frame(spark, [(m["table_schema"], m["table_name"]) for m in plan.tables],
+                          "table_schema string, table_name string")
+    # exported names are unique (plan_export refuses clashes), so each has one schema
+    counts = count_exported(spark, exported, cfg.mode, cfg.snapshot).join(schemas, "table_name")
+    reconciled = reconcile_counts(plan.validation, counts)
+    # one row per table: catalog metadata, held once for the write and the caller
+    reconciled = local_frame(spark, reconciled.collect(), reconciled.schema)
+    if write:
+        store_validation(spark, reconciled, cfg, tried=[r["table_name"] for r in status.select("table_name").collect()])
     return reconciled
 
 
+def store_validation(spark: SparkSession, rows: DataFrame, cfg: ExportConfig, tried=()) -> None:
+    """Upsert ``rows`` into this snapshot's partition of the validation table.
+
+    A table that an earlier run of the snapshot counted and that is not among
+    the ``tried`` ones keeps its stored count.
+    """
+    updates = rows.select(*[c.split()[0] for c in STORED_SCHEMA.split(", ")])
+    location = cfg.validation_location
+    if path_exists(spark, f"{location}/{SNAPSHOT_COLUMN}={cfg.snapshot}"):
+        existing = spark.read.schema(STORED_SCHEMA).parquet(location).where(F.col(SNAPSHOT_COLUMN) == cfg.snapshot)
+    else:
+        existing = local_frame(spark, [], STORED_SCHEMA)
+    keys = ["table_schema", "table_name", SNAPSHOT_COLUMN]
+    known = existing.where("exported_row_count is not null").where(~F.col("table_name").isin(*tried) if tried else F.lit(True))
+    updates = updates.join(known.select(*keys), keys, "left_anti").select(*existing.columns)
+    merged = upsert_validation(existing, updates, keys)
+    # one row per table; taken to the driver before the partition just read is replaced
+    merged = local_frame(spark, merged.collect(), merged.schema).coalesce(1)
+    write_incremental(merged, location, cfg.snapshot)
+    if cfg.register:
+        name = os.path.basename(location.rstrip("/"))
+        register_table(spark, cfg.database, name, table_columns(merged, "incremental"), location, "incremental")
+        refresh_partitions(spark, cfg.database, name)
+
+
 def export_views(source, cfg: ExportConfig) -> DataFrame:
     """Write view names and definitions (text) with the snapshot id."""
     cat = source.catalog(profile=False) if hasattr(source, "catalog") else source
@@ -314,7 +346,9 @@ class RunResult:
 def run_export(source, cfg: ExportConfig) -> RunResult:
     """Plan, export, validate and (optionally) export views, in that order."""
     plan = plan_export(source, cfg)
-    status = export_tables(source, plan, cfg).cache()
+    # what the source held is on record even if the run dies while it exports
+    store_validation(source.spark, plan.validation, cfg)
+    status = export_tables(source, plan, cfg)  # driver-side rows already, one per table
     if cfg.events_path:
         # one event per failed table, appended where the alert stream listens
         events = status_events_from_runs(status, cfg.machine_arn)

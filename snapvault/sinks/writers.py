@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapvault.functions.fixed import SNAPSHOT_COLUMN, table_properties
+from snapvault.functions.fixed import ROW_NUMBER_COLUMN, SNAPSHOT_COLUMN, table_properties
 
 
 def _writer(df: DataFrame, max_records: int | None):
@@ -117,11 +117,10 @@ def register_table(spark: SparkSession, database: str, table: str, columns: list
     """
     existing = current_columns(spark, database, table)
     if existing is not None:
-        from snapvault.operators.validation import schema_drift, columns_frame
-        drift = schema_drift(columns_frame(spark, existing), columns_frame(spark, columns))
+        drifted = _normal(existing) != _normal(columns)  # two short lists: no job
         parted = any(c.isPartition for c in spark.catalog.listColumns(f"{database}.{table}"))
         same_place = _same_path(spark, table_location(spark, database, table), location)
-        if parted == (mode == "incremental") and same_place and drift.isEmpty():
+        if parted == (mode == "incremental") and same_place and not drifted:
             # files were replaced: forget the listing that the session holds
             spark.sql(f"REFRESH TABLE {_q(database)}.{_q(table)}")
             return "unchanged"
@@ -131,6 +130,11 @@ def register_table(spark: SparkSession, database: str, table: str, columns: list
     return "created"
 
 
+def _normal(columns: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """Names and types as drift compares them (``schema_drift``): lower case, any order, no row number."""
+    return sorted((n.lower(), t.lower()) for n, t in columns if n.lower() != ROW_NUMBER_COLUMN)
+
+
 def _same_path(spark: SparkSession, a: str | None, b: str) -> bool:
     """Whether two locations are one, whatever their scheme or trailing slash."""
     def plain(x):

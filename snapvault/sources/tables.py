@@ -11,9 +11,12 @@ with partitioned reads.  Both expose the same small surface:
 
 from __future__ import annotations
 
-import os
+import datetime as dt
+import math
+import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +26,56 @@ from snapvault.functions.fixed import SNAPSHOT_COLUMN
 from snapvault.sources.catalog import Catalog, catalog_from_tables
 
 
+def whole_bounds(lo, hi) -> tuple:
+    """Bounds as Spark's range splits take them: fractions go outwards to whole numbers."""
+    if isinstance(lo, (float, Decimal)) and isinstance(hi, (float, Decimal)):
+        return math.floor(lo), math.ceil(hi)
+    return lo, hi
+
+
+def sql_literal(value) -> str:
+    """A key value as an SQL literal."""
+    if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+        return str(value)
+    if isinstance(value, (bytes, bytearray)):
+        return "0x" + bytes(value).hex()
+    if isinstance(value, dt.datetime):
+        value = value.isoformat(timespec="milliseconds")
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def key_after(columns: list[str], values: list) -> str:
+    """Rows whose key (``columns``, quoted already) comes after ``values``: compared column by column."""
+    terms, equal = [], ""
+    for c, v in zip(columns, values):
+        terms.append(f"({equal}{c} > {sql_literal(v)})")
+        equal += f"{c} = {sql_literal(v)} AND "
+    return "(" + " OR ".join(terms) + ")"
+
+
+def key_range_predicates(columns: list[str], bounds: list) -> list[str]:
+    """Predicates that put every row into one range between neighbouring ``bounds`` (in key order).
+
+    All key columns are compared, so a leading value that holds much of the
+    table is split as well.  Rows with a NULL in the key are in the first.
+    """
+    if not bounds:
+        return []
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    after = [key_after(columns, b) for b in bounds]
+    first = f"NOT {after[0]} OR NOT ({whole})"
+    middle = [f"{whole} AND {a} AND NOT {b}" for a, b in zip(after, after[1:])]
+    return [first, *middle, f"{whole} AND {after[-1]}"]
+
+
+def with_rest(predicates: list[str]) -> list[str]:
+    """The last predicate made to take every row that none of the others takes, NULL results included."""
+    if len(predicates) < 2:
+        return predicates
+    others = " OR ".join(f"({p})" for p in predicates[:-1])
+    return [*predicates[:-1], f"CASE WHEN {others} THEN 0 ELSE 1 END = 1"]
+
+
 @dataclass
 class ParquetSource:
     spark: SparkSession
@@ -33,16 +86,20 @@ class ParquetSource:
     database: str = "source"
 
     def table_names(self) -> list[str]:
-        names = []
-        for entry in sorted(os.listdir(self.root)):
-            if entry.startswith(("_", ".")):
-                continue
-            names.append(entry[: -len(".parquet")] if entry.endswith(".parquet") else entry)
-        return names
+        """Table names under the root, listed by the file system that holds it."""
+        fs, root = self._file_system(self.root)
+        entries = sorted(s.getPath().getName() for s in fs.listStatus(root))
+        return [e.removesuffix(".parquet") for e in entries if not e.startswith(("_", "."))]
 
     def path(self, name: str) -> str:
-        single = os.path.join(self.root, f"{name}.parquet")
-        return single if os.path.exists(single) else os.path.join(self.root, name)
+        single = f"{self.root.rstrip('/')}/{name}.parquet"
+        fs, found = self._file_system(single)
+        return single if fs.exists(found) else f"{self.root.rstrip('/')}/{name}"
+
+    def _file_system(self, path: str):
+        sc = self.spark.sparkContext
+        hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return hpath.getFileSystem(sc._jsc.hadoopConfiguration()), hpath
 
     def table(self, schema: str | None, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
@@ -74,9 +131,13 @@ class ParquetSource:
             return dict(pool.map(size, names))
 
     def query(self, sql: str) -> DataFrame:
-        """Run SQL over the source tables (each visible under its own name)."""
+        """Run SQL over the source tables (each visible under its own name).
+
+        Only tables that the text names are opened.
+        """
         for name in self.table_names():
-            self.table(self.schema, name).createOrReplaceTempView(name)
+            if re.search(rf"(?<!\w){re.escape(name)}(?!\w)", sql, re.IGNORECASE):
+                self.table(self.schema, name).createOrReplaceTempView(name)
         return self.spark.sql(sql)
 
     def catalog(self, names: list[str] | None = None, profile="exact") -> Catalog:
@@ -107,11 +168,21 @@ class JdbcSource:
     # opt-in split for keys whose leading column is not numeric or a date,
     # and for keyless tables (then {cols} lists every column), e.g.
     # "ABS(CAST(CHECKSUM({cols}) AS BIGINT)) % {n} = {i}" on SQL Server.
-    # The expression must be non-NULL for every row, or rows are lost.
-    # Such a predicate cannot use an index: every split statement scans the
-    # whole table at the source, so the split count is capped.
+    # Rows for which none of the first n - 1 predicates holds (a NULL or
+    # negative residue) are read by the last split.  Such a predicate cannot use
+    # an index: every split statement scans the whole table at the source;
+    # max_hash_splits bounds their number (None: as many as the size asks for).
     hash_predicate: str | None = None
-    max_hash_splits: int = 16
+    max_hash_splits: int | None = None
+
+    def quoted(self, name: str) -> str:
+        """An identifier as the server's dialect quotes it."""
+        if self.dialect == "sqlserver":
+            return "[" + name.replace("]", "]]") + "]"
+        return '"' + name.replace('"', '""') + '"'
+
+    def qualified(self, schema: str | None, name: str) -> str:
+        return ".".join(self.quoted(x) for x in (schema, name) if x)
 
     def _reader(self):
         reader = self.spark.read.format("jdbc").option("url", self.url).option("fetchsize", self.fetchsize)
@@ -122,7 +193,7 @@ class JdbcSource:
     def table(self, schema: str | None, name: str, partition_column: str | None = None,
               lower_bound=None, upper_bound=None, num_partitions: int | None = None,
               predicates: list[str] | None = None) -> DataFrame:
-        qualified = f"{schema}.{name}" if schema else name
+        qualified = self.qualified(schema, name)
         if predicates:
             props = dict(self.properties, fetchsize=str(self.fetchsize))
             return self.spark.read.jdbc(self.url, qualified, predicates=predicates, properties=props)
@@ -143,10 +214,24 @@ class JdbcSource:
 
     def key_bounds(self, schema: str | None, name: str, column: str) -> tuple:
         """Min and max of one key column, computed by the server (one row)."""
-        qualified = f"{schema}.{name}" if schema else name
-        quoted = '"' + column.replace('"', '""') + '"'
-        row = self.query(f"SELECT MIN({quoted}) AS lo, MAX({quoted}) AS hi FROM {qualified}").first()
-        return row[0], row[1]  # alias case differs by engine
+        quoted = self.quoted(column)
+        row = self.query(f"SELECT MIN({quoted}) AS lo, MAX({quoted}) AS hi FROM {self.qualified(schema, name)}").first()
+        return whole_bounds(row[0], row[1])  # alias case differs by engine
+
+    def key_splits(self, schema: str | None, name: str, pk: list[str], n: int) -> list[str]:
+        """Predicates of ``n`` ranges of whole key tuples with about equally many rows.
+
+        The server numbers the key (an index scan) and returns the last key of
+        each range: ``n - 1`` rows.
+        """
+        cols = ", ".join(self.quoted(c) for c in pk)
+        ranges = (f"SELECT {cols}, NTILE({int(n)}) OVER (ORDER BY {cols}) AS sv_range "
+                  f"FROM {self.qualified(schema, name)}")
+        # the last row of each range: the one before the next range begins
+        last = (f"SELECT {cols}, sv_range, LEAD(sv_range) OVER (ORDER BY {cols}) AS sv_next FROM ({ranges}) r")
+        rows = self.query(f"SELECT {cols}, sv_range FROM ({last}) b WHERE sv_next <> sv_range").collect()
+        bounds = [list(r)[:-1] for r in sorted(rows, key=lambda r: r[len(pk)])]
+        return key_range_predicates([self.quoted(c) for c in pk], bounds)
 
     def query(self, sql: str) -> DataFrame:
         return self._reader().option("query", sql).load()
@@ -154,13 +239,16 @@ class JdbcSource:
     def table_for_export(self, schema: str | None, name: str, pk: list[str], n_chunks: int) -> DataFrame:
         """Read a table in ``n_chunks`` parallel JDBC statements when the key allows it.
 
-        A key whose leading column is numeric or a date splits on that
-        column's value range (bounds from one MIN/MAX statement; the splits
-        are index range scans).  Other keys, and keyless tables, split on
-        ``hash_predicate`` when one is configured (at most ``max_hash_splits``
-        statements, each a full scan at the source).  The splits are disjoint
-        and together read the whole table.
+        A key of one numeric or date column splits on its value range (bounds
+        from one MIN/MAX statement; the splits are index range scans).  On SQL
+        Server, text, GUID and composite keys split between whole key tuples.
+        Other keys, and keyless tables, split on ``hash_predicate`` when one is
+        configured (each statement a full scan at the source).  The splits are
+        disjoint and together read the whole table.
         """
+        if n_chunks > 1 and pk and self.dialect == "sqlserver" and (
+                len(pk) > 1 or not self._rangeable(schema, name, pk[0])):
+            return self.table(schema, name, predicates=self.key_splits(schema, name, pk, n_chunks))
         if n_chunks > 1 and pk and self._rangeable(schema, name, pk[0]):
             # the leading key column orders the clustered index: range splits
             # on it are index seeks at the source (composite keys included)
@@ -169,16 +257,16 @@ class JdbcSource:
                 return self.table(schema, name, partition_column=pk[0], lower_bound=lo,
                                   upper_bound=hi, num_partitions=n_chunks)
         if n_chunks > 1 and self.hash_predicate:
-            n = min(n_chunks, max(1, int(self.max_hash_splits)))
+            n = min(n_chunks, max(1, int(self.max_hash_splits or n_chunks)))
             if pk:
-                cols = ", ".join(pk)
+                cols = ", ".join(self.quoted(c) for c in pk)
             else:
                 # a keyless table hashes every column (schema probe, no rows
                 # read); equal rows land in the same split, so each row is
                 # read exactly once
                 fields = self.table(schema, name).schema.fieldNames()
-                cols = ", ".join('"' + c.replace('"', '""') + '"' for c in fields)
-            preds = [self.hash_predicate.format(cols=cols, n=n, i=i) for i in range(n)]
+                cols = ", ".join(self.quoted(c) for c in fields)
+            preds = with_rest([self.hash_predicate.format(cols=cols, n=n, i=i) for i in range(n)])
             return self.table(schema, name, predicates=preds)
         return self.table(schema, name)
 
@@ -207,15 +295,16 @@ class JdbcSource:
                            "COLUMN_NAME AS column_name, DATA_TYPE AS data_type, "
                            "ORDINAL_POSITION AS ordinal_position FROM INFORMATION_SCHEMA.COLUMNS"),
             space_used=lambda: q(
-                "SELECT s.name AS table_schema, t.name AS table_name, "
-                "CAST(SUM(CASE WHEN i.index_id <= 1 THEN p.rows ELSE 0 END) AS varchar(32)) AS rows, "
-                "CONCAT(FORMAT(SUM(a.total_pages) * 8, 'N0'), ' KB') AS reserved, "
-                "CONCAT(FORMAT(SUM(a.data_pages) * 8, 'N0'), ' KB') AS data "
-                "FROM sys.tables t JOIN sys.schemas s ON t.schema_id = s.schema_id "
-                "JOIN sys.indexes i ON t.object_id = i.object_id "
-                "JOIN sys.partitions p ON i.object_id = p.object_id AND i.index_id = p.index_id "
-                "JOIN sys.allocation_units a ON p.partition_id = a.container_id "
-                "GROUP BY s.name, t.name"),
+                # rows and pages are summed apart: a partition has several allocation units
+                "SELECT s.name AS table_schema, t.name AS table_name, CAST(n.n_rows AS varchar(32)) AS rows, "
+                "CONCAT(FORMAT(u.total_pages * 8, 'N0'), ' KB') AS reserved, "
+                "CONCAT(FORMAT(u.data_pages * 8, 'N0'), ' KB') AS data "
+                "FROM sys.tables t JOIN sys.schemas s ON s.schema_id = t.schema_id "
+                "JOIN (SELECT object_id, SUM(rows) AS n_rows FROM sys.partitions WHERE index_id IN (0, 1) "
+                "GROUP BY object_id) n ON n.object_id = t.object_id "
+                "JOIN (SELECT p.object_id, SUM(a.total_pages) AS total_pages, SUM(a.data_pages) AS data_pages "
+                "FROM sys.allocation_units a JOIN sys.partitions p ON p.partition_id = a.container_id "
+                "GROUP BY p.object_id) u ON u.object_id = t.object_id"),
             sys_views=lambda: q("SELECT object_id, name FROM sys.views"),
             sys_sql_modules=lambda: q("SELECT object_id, definition FROM sys.sql_modules"),
         )
