@@ -284,11 +284,14 @@ def broadcast_model(spark, model: bytes):
 
 def encode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str = "piece_ids",
            check_col: str | None = None) -> DataFrame:
-    """``docs`` with the texts' piece ids in ``ids_col``; in ``check_col`` whether decoding them gives the text back."""
+    """``docs`` with the texts' piece ids in ``ids_col``; in ``check_col`` whether decoding them gives the text back.
+
+    Columns of these names that ``docs`` has are replaced.
+    """
     shared = broadcast_model(docs.sparkSession, model)
     arrow_limits(docs.sparkSession)
-
-    out = StructType([*docs.schema.fields, StructField(ids_col, ArrayType(IntegerType())),
+    carried = [f for f in docs.schema.fields if f.name not in (ids_col, check_col)]
+    out = StructType([*carried, StructField(ids_col, ArrayType(IntegerType())),
                       *([StructField(check_col, BooleanType())] if check_col else [])])
 
     def run(batches):
@@ -299,7 +302,7 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str =
                 flat = [np.frombuffer(x, np.int32) for x in encoder.encode(bodies[s:e])]
                 ends = np.r_[0, np.cumsum([len(x) for x in flat])].astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(flat), pa.int32()))
-                part = b.slice(s, e - s)
+                part = b.select([f.name for f in carried]).slice(s, e - s)
                 cols, names = [*part.columns, lists], [*part.schema.names, ids_col]
                 if check_col:
                     back = [shared.value.decode(x.tolist()).encode("utf-8") == y for x, y in zip(flat, bodies[s:e])]
@@ -310,15 +313,18 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str =
 
 
 def decode(encoded: DataFrame, model: bytes, ids_col: str = "piece_ids", text_col: str = "decoded") -> DataFrame:
-    """``encoded`` with the text of its piece ids in ``text_col``."""
+    """``encoded`` with the text of its piece ids in ``text_col``, in place of a column of that name."""
     shared = broadcast_model(encoded.sparkSession, model)
-    out = StructType([*encoded.schema.fields, StructField(text_col, StringType())])
+    arrow_limits(encoded.sparkSession)
+    carried = [f for f in encoded.schema.fields if f.name != text_col]
+    out = StructType([*carried, StructField(text_col, StringType())])
 
     def run(batches):
         for b in batches:
             texts = [None if ids is None else shared.value.decode(ids) for ids in b.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
-                                             names=[*b.schema.names, text_col])
+            part = b.select([f.name for f in carried])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())],
+                                             names=[*part.schema.names, text_col])
 
     return encoded.mapInArrow(run, out)
 
