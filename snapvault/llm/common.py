@@ -23,10 +23,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` below the shared checkpoint folder and read it back: cuts lineage, survives lost executors."""
+def stored(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """Write ``df`` below the shared checkpoint folder and read it back: cuts lineage, survives lost executors.
+
+    ``codec``: the files' compression, where the session's own is not wanted.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write if codec is None else df.write.option("compression", codec)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

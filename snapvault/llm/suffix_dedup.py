@@ -325,10 +325,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
               .agg(F.collect_list("place").alias("places")))
     around = stored(rows.join(places, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("text_hash") == F.col("p_h")))
                     .select("doc_id", "text_hash", "body", "places").mapInArrow(_contexts(min_words, gram), CONTEXT),
-                    "suffix-contexts")
+                    "suffix-contexts", codec="zstd")  # surroundings of neighbouring suffixes overlap
     keys = ["hash", "right", "left", "doc_id"]
     found = stored(around.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(_match(min_words), FOUND)
-                   .withColumn("part", F.spark_partition_id()), "suffix-matches")
+                   .withColumn("part", F.spark_partition_id()), "suffix-matches", codec="zstd")
     # two suffixes a partition meet their neighbours across its borders
     borders = (found.where("border").select("hash", "doc_id", "text_hash", "places", "left", "right")
                .repartition(1).sortWithinPartitions(*keys).mapInArrow(_match(min_words), FOUND))
