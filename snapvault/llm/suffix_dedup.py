@@ -47,7 +47,8 @@ SELECTED = "doc_id long, text_hash long, hashes array<long>, places array<int>"
 CONTEXT = "hash long, doc_id long, text_hash long, places array<int>, left binary, right binary"
 FOUND = ("doc_id long, text_hash long, places array<int>, before int, after int, match_id long, border boolean, "
          "hash long, left binary, right binary")
-WINDOWS = "window binary, doc_id long, text_hash long, starts array<int>"
+HELD = "window binary, a long, b long, first long, last long"
+OPEN = "window binary, doc_id long, text_hash long, starts array<int>"
 
 
 def gram_hashes(words: list[bytes], gram: int) -> np.ndarray:
@@ -245,11 +246,51 @@ def _match(min_words: int):
     return run
 
 
-def _windows(min_words: int, unmatched: bool):
-    """Every window of ``min_words`` words around a suffix, as a hash, with its first words.
+def _held_windows(min_words: int):
+    """Windows of ``min_words`` words around the suffixes, as hashes, with the least and largest document of each.
 
-    ``unmatched``: only those that the suffix's matches so far don't cover.
+    Summed up batch by batch before the shuffle: members of a run stand next to each other.
     """
+    kinds = [pa.binary(), *[pa.int64()] * 4]
+
+    def batch(held: dict):
+        cols = zip(*((w, *v) for w, v in held.items())) if held else [[]] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["window", "a", "b", "first", "last"])
+
+    def run(batches):
+        for b in batches:
+            held: dict = {}
+            around, windows = None, set()
+            for who, doc, left, right in zip(*(b.column(k).to_pylist() for k in ("who", "doc_id", "left", "right"))):
+                if (left, right) != around:  # copies stand next to each other
+                    around = left, right
+                    words = left.split() + right.split()
+                    windows = {xxhash.xxh128_digest(b" ".join(words[k:k + min_words]))
+                               for k in range(len(words) - min_words + 1)}
+                for h in windows:
+                    x = held.get(h)
+                    if x is None:
+                        held[h] = [who, who, doc, doc]
+                    else:
+                        x[0], x[1] = min(x[0], who), max(x[1], who)
+                        if doc is not None:
+                            x[2], x[3] = (doc, doc) if x[2] is None else (min(x[2], doc), max(x[3], doc))
+                if len(held) > 100_000:
+                    yield batch(held)
+                    held = {}
+            yield batch(held)
+
+    return run
+
+
+def _open_windows(min_words: int):
+    """Every window around a suffix that its matches so far don't cover, as a hash, with its first words."""
+    kinds = [pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+
+    def batch(rows):
+        cols = zip(*rows) if rows else [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                          names=["window", "doc_id", "text_hash", "starts"])
 
     def run(batches):
         for b in batches:
@@ -260,44 +301,38 @@ def _windows(min_words: int, unmatched: bool):
                 words = x + y
                 found: dict = {}
                 for k in range(len(words) - min_words + 1):
-                    if not (unmatched and len(x) - before <= k and k + min_words <= len(x) + after):
+                    if not (len(x) - before <= k and k + min_words <= len(x) + after):
                         found.setdefault(xxhash.xxh128_digest(b" ".join(words[k:k + min_words])), []).append(k - len(x))
                 for h, ks in found.items():
-                    starts = [p + k for p in places for k in ks] if unmatched else []
-                    rows.append((h, doc, text, starts))
-                    size += 1 + len(starts)
+                    rows.append((h, doc, text, [p + k for p in places for k in ks]))
+                    size += 1 + len(places) * len(ks)
                 if size > 50_000:
-                    yield _window_batch(rows)
+                    yield batch(rows)
                     rows, size = [], 0
-            yield _window_batch(rows)
+            yield batch(rows)
 
     return run
 
 
-def _window_batch(rows: list) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [[]] * 4
-    kinds = [pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                      names=["window", "doc_id", "text_hash", "starts"])
-
-
 def across_borders(found: DataFrame, min_words: int) -> DataFrame:
     """Further spans of the runs that cross a border of the sorted partitions.
 
     A run crosses a border when two partitions end or begin with its hash:
     there are fewer such hashes than partitions.  Windows that two documents
-    have are counted over all members; only those that no match covers yet
-    look themselves up.
+    have are counted over all members, those of one batch once; only those that
+    no match covers yet look themselves up.
     """
     ends = found.where("border").groupBy("hash").agg(F.min("part").alias("a"), F.max("part").alias("b"))
     wide = ends.where("a <> b").select(F.col("hash").alias("w_hash"))
-    members = (found.where("not border and hash is not null").join(wide, F.col("hash") == F.col("w_hash"), "left_semi")
+    # fewer rows than partitions: broadcast, so that a run's members stay spread over the partitions that sorted them
+    members = (found.where("not border and hash is not null")
+               .join(F.broadcast(wide), F.col("hash") == F.col("w_hash"), "left_semi")
                .select("doc_id", "text_hash", "places", "before", "after", "left", "right"))
-    who = F.xxhash64("doc_id", "text_hash")
-    shared = (members.mapInArrow(_windows(min_words, False), WINDOWS).groupBy("window")
-              .agg(F.min(who).alias("a"), F.max(who).alias("b"), F.min("doc_id").alias("match_id"), F.max("doc_id").alias("last_id"))
+    shared = (members.select(F.xxhash64("doc_id", "text_hash").alias("who"), "doc_id", "left", "right")
+              .mapInArrow(_held_windows(min_words), HELD).groupBy("window")
+              .agg(F.min("a").alias("a"), F.max("b").alias("b"), F.min("first").alias("match_id"), F.max("last").alias("last_id"))
               .where("a <> b").select(F.col("window").alias("s_window"), "match_id", "last_id"))
-    met = members.mapInArrow(_windows(min_words, True), WINDOWS).join(shared, F.col("window") == F.col("s_window"))
+    met = members.mapInArrow(_open_windows(min_words), OPEN).join(shared, F.col("window") == F.col("s_window"))
     # a document that has the smallest id itself names the largest; copies of one id name that id
     other = F.when(F.col("doc_id").eqNullSafe(F.col("match_id")), F.col("last_id")).otherwise(F.col("match_id"))
     return met.select("doc_id", "text_hash", other.alias("match_id"), F.explode("starts").alias("s")).select(
