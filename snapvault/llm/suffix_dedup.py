@@ -18,10 +18,11 @@ partition are compared once more with those of the next.
 A suffix brings ``min_words - 1`` words on either side.  Longer passages follow
 because the next suffix of a passage is nearer than that: a document's matched
 spans are joined.  Where a run of suffixes that begin alike crosses a border of
-partitions, its members may match best in a partition they never met: all
-windows of ``min_words`` words around each of them are grouped by their words,
-over as many tasks as there are windows, and those that two documents have are
-spans too.
+partitions, its members may match best in a partition they never met: the
+windows of ``min_words`` words around each of them whose least gram it is are
+grouped by their words, and those that two documents have are spans too.  The
+least gram of a window is the same in every document, and always kept, so each
+window is grouped once for a document.
 
 Words are runs of other than ASCII white space, A-Z lower-cased.  Cases: null
 text has no words; repeats inside one document alone are no passage; rows that
@@ -246,7 +247,25 @@ def _match(min_words: int):
     return run
 
 
-def _held_windows(min_words: int):
+def own_windows(left: list[bytes], right: list[bytes], min_words: int, gram: int) -> range:
+    """Starts, in ``left + right``, of the windows whose least gram (the first of equal ones) is the suffix's own.
+
+    A window of ``min_words`` words holds more grams than the selection looks
+    at, so its least gram is a kept suffix in every document that has the
+    window: each window has one suffix that answers for it.
+    """
+    words, p = left + right, len(left)
+    grams = gram_hashes(words, gram)
+    held = min_words - gram + 1  # grams of a window
+    if p >= len(grams):
+        return range(0)
+    before, after = np.flatnonzero(grams[:p] <= grams[p]), np.flatnonzero(grams[p + 1:] < grams[p])
+    first = max(0, p - held + 1, int(before[-1]) + 1 if len(before) else 0)
+    last = min(p, len(words) - min_words, p + 1 + int(after[0]) - held if len(after) else p)
+    return range(first, last + 1)
+
+
+def _held_windows(min_words: int, gram: int):
     """Windows of ``min_words`` words around the suffixes, as hashes, with the least and largest document of each.
 
     Summed up batch by batch before the shuffle: members of a run stand next to each other.
@@ -264,17 +283,18 @@ def _held_windows(min_words: int):
             for who, doc, left, right in zip(*(b.column(k).to_pylist() for k in ("who", "doc_id", "left", "right"))):
                 if (left, right) != around:  # copies stand next to each other
                     around = left, right
-                    words = left.split() + right.split()
+                    x, y = left.split(), right.split()
+                    words = x + y
                     windows = {xxhash.xxh128_digest(b" ".join(words[k:k + min_words]))
-                               for k in range(len(words) - min_words + 1)}
+                               for k in own_windows(x, y, min_words, gram)}
                 for h in windows:
-                    x = held.get(h)
-                    if x is None:
+                    seen = held.get(h)
+                    if seen is None:
                         held[h] = [who, who, doc, doc]
                     else:
-                        x[0], x[1] = min(x[0], who), max(x[1], who)
+                        seen[0], seen[1] = min(seen[0], who), max(seen[1], who)
                         if doc is not None:
-                            x[2], x[3] = (doc, doc) if x[2] is None else (min(x[2], doc), max(x[3], doc))
+                            seen[2], seen[3] = (doc, doc) if seen[2] is None else (min(seen[2], doc), max(seen[3], doc))
                 if len(held) > 100_000:
                     yield batch(held)
                     held = {}
@@ -283,8 +303,8 @@ def _held_windows(min_words: int):
     return run
 
 
-def _open_windows(min_words: int):
-    """Every window around a suffix that its matches so far don't cover, as a hash, with its first words."""
+def _open_windows(min_words: int, gram: int):
+    """Every window of a suffix that its matches so far don't cover, as a hash, with its first words."""
     kinds = [pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
 
     def batch(rows):
@@ -300,7 +320,9 @@ def _open_windows(min_words: int):
                 x, y = left.split(), right.split()
                 words = x + y
                 found: dict = {}
-                for k in range(len(words) - min_words + 1):
+                if before == len(x) and after == len(y):
+                    continue
+                for k in own_windows(x, y, min_words, gram):
                     if not (len(x) - before <= k and k + min_words <= len(x) + after):
                         found.setdefault(xxhash.xxh128_digest(b" ".join(words[k:k + min_words])), []).append(k - len(x))
                 for h, ks in found.items():
@@ -314,13 +336,14 @@ def _open_windows(min_words: int):
     return run
 
 
-def across_borders(found: DataFrame, min_words: int) -> DataFrame:
+def across_borders(found: DataFrame, min_words: int, gram: int) -> DataFrame:
     """Further spans of the runs that cross a border of the sorted partitions.
 
     A run crosses a border when two partitions end or begin with its hash:
     there are fewer such hashes than partitions.  Windows that two documents
-    have are counted over all members, those of one batch once; only those that
-    no match covers yet look themselves up.
+    have are counted over all members, those of one batch once, each by the
+    suffix that answers for it; only those that no match covers yet look
+    themselves up.
     """
     ends = found.where("border").groupBy("hash").agg(F.min("part").alias("a"), F.max("part").alias("b"))
     wide = ends.where("a <> b").select(F.col("hash").alias("w_hash"))
@@ -329,10 +352,10 @@ def across_borders(found: DataFrame, min_words: int) -> DataFrame:
                .join(F.broadcast(wide), F.col("hash") == F.col("w_hash"), "left_semi")
                .select("doc_id", "text_hash", "places", "before", "after", "left", "right"))
     shared = (members.select(F.xxhash64("doc_id", "text_hash").alias("who"), "doc_id", "left", "right")
-              .mapInArrow(_held_windows(min_words), HELD).groupBy("window")
+              .mapInArrow(_held_windows(min_words, gram), HELD).groupBy("window")
               .agg(F.min("a").alias("a"), F.max("b").alias("b"), F.min("first").alias("match_id"), F.max("last").alias("last_id"))
               .where("a <> b").select(F.col("window").alias("s_window"), "match_id", "last_id"))
-    met = members.mapInArrow(_open_windows(min_words), OPEN).join(shared, F.col("window") == F.col("s_window"))
+    met = members.mapInArrow(_open_windows(min_words, gram), OPEN).join(shared, F.col("window") == F.col("s_window"))
     # a document that has the smallest id itself names the largest; copies of one id name that id
     other = F.when(F.col("doc_id").eqNullSafe(F.col("match_id")), F.col("last_id")).otherwise(F.col("match_id"))
     return met.select("doc_id", "text_hash", other.alias("match_id"), F.explode("starts").alias("s")).select(
@@ -371,7 +394,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                .where("after > 0"))
     spans = matched.select("doc_id", "text_hash", "match_id", F.explode("places").alias("p"), "before", "after").select(
         "doc_id", "text_hash", "match_id", (F.col("p") - F.col("before")).alias("s"), (F.col("p") + F.col("after")).alias("e"))
-    spans = spans.unionByName(across_borders(found, min_words))
+    spans = spans.unionByName(across_borders(found, min_words, gram))
     inside = Window.partitionBy("doc_id", "text_hash").orderBy("s", "e")
     reach = F.max("e").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     joined = (spans.withColumn("new", F.when(F.col("s") <= reach, 0).otherwise(1))

@@ -11,7 +11,7 @@ from snapvault.llm.common import keep_rows
 from snapvault.llm.exact_dedup import exact_dedup
 from snapvault.llm.patricia import Patricia
 from snapvault.llm.quality import judge_quality
-from snapvault.llm.suffix_dedup import repeated_passages
+from snapvault.llm.suffix_dedup import gram_hashes, minimisers, own_windows, repeated_passages
 from snapvault.llm.toxicity import ExampleIndex
 
 AWKWARD = [(1, None), (2, ""), (3, "a b"), (4, "A b"), (4, "A b"), (None, "x"), (5, "▁ é\n\n  z"), (6, "w " * 4000)]
@@ -108,6 +108,17 @@ def test_repeated_passages_match_brute_force(spark):
     assert got == {(0, 40, 100), (1, 5, 65)}
 
 
+def test_each_window_has_one_kept_suffix_that_answers_for_it():
+    for _ in range(60):
+        words = [rng.choice([b"a", b"b", b"c", b"d%d" % rng.randint(0, 99)]) for _ in range(rng.randint(50, 160))]
+        at = minimisers(gram_hashes(words, 16), 50 - 16 - 1).tolist()
+        starts = []
+        for p in at:
+            left, right = words[max(0, p - 49):p], words[p:p + 50]
+            starts += [p - len(left) + k for k in own_windows(left, right, 50, 16)]
+        assert sorted(starts) == list(range(len(words) - 49))
+
+
 def test_repeated_passages_of_a_run_over_many_partitions(spark):
     def words(n):
         return [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
