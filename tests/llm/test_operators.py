@@ -12,7 +12,7 @@ from snapvault.llm.exact_dedup import exact_dedup
 from snapvault.llm.patricia import Patricia
 from snapvault.llm.quality import judge_quality
 from snapvault.llm.suffix_dedup import gram_hashes, minimisers, own_windows, repeated_passages
-from snapvault.llm.toxicity import ExampleIndex
+from snapvault.llm.toxicity import THRESHOLD, ExampleIndex, fit, with_score
 
 AWKWARD = [(1, None), (2, ""), (3, "a b"), (4, "A b"), (4, "A b"), (None, "x"), (5, "▁ é\n\n  z"), (6, "w " * 4000)]
 rng = random.Random(7)
@@ -190,6 +190,34 @@ def test_block_max_search_is_exact():
         assert np.allclose([s for s, _, _ in index.nearest(query, 10)], [w for w in want if w > 0], atol=1e-9)
 
 
+def test_rare_toxic_words_are_found(spark):
+    rng = random.Random(11)
+    # each toxic word is in 9 of 900 toxic texts (less than 2 %), and only there; no two begin alike
+    bad = sorted({"".join(rng.choice("bcdfgklmnprstvz") for _ in range(7)) for _ in range(100)})
+    toxic = [f"the {rng.choice(['sun', 'rain'])} {bad[k % len(bad)]} falls on v{k}" for k in range(9 * len(bad))]
+    clean = [f"the {rng.choice(['sun', 'rain'])} falls on v{k}" for k in range(9000)]
+    rows = [(i, t, int(i < len(toxic))) for i, t in enumerate(toxic + clean)]
+    new = [(20000 + k, f"on the rain {w} falls", 1) for k, w in enumerate(bad)] + [(30000, "on the rain falls", 0)]
+    docs = spark.createDataFrame(rows + new, "doc_id long, text string, y int")
+    model = fit(docs, docs.where("doc_id < 20000").selectExpr("doc_id", "y as toxic"))
+    got = {r["doc_id"]: r["s"] for r in with_score(docs, model).selectExpr("doc_id", "toxicity.score as s").collect()}
+    assert sum(got[i] >= THRESHOLD for i, _, y in new if y) >= 0.9 * len(bad) and got[30000] < THRESHOLD
+
+
+def test_nearest_examples_with_rare_terms_match_all_pairs():
+    rng = random.Random(11)
+    idf = np.array([0.01 + rng.random() for _ in range(400)])
+    sets = [{t: rng.randint(1, 9) for t in {int(400 * rng.random() ** 3) for _ in range(rng.randint(0, 30))}} for _ in range(500)]
+    index = ExampleIndex(list(range(500)), [k % 2 for k in range(500)], sets, idf)
+    units = [index.unit(s) for s in sets]
+    got = index.nearest_of(sets[:80], 15, list(range(80)))
+    for j, near in enumerate(got):
+        every = sorted((-sum(w * units[i].get(t, 0) for t, w in units[j].items()), i) for i in range(500) if i != j)
+        want = [x for x in every if x[0] < 0][:15]
+        assert [i for _, i, _ in near] == [i for _, i in want]
+        assert np.allclose([s for s, _, _ in near], [-s for s, _ in want], atol=1e-9)
+
+
 def test_quality_awkward_rows(docs):
     got = judge_quality(docs).collect()
     assert len(got) == len(AWKWARD) and not any(r["kept"] for r in got)
