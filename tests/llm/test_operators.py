@@ -12,7 +12,8 @@ from snapvault.llm.exact_dedup import exact_dedup
 from snapvault.llm.patricia import Patricia
 from snapvault.llm.quality import judge_quality
 from snapvault.llm.suffix_dedup import gram_hashes, minimisers, own_windows, repeated_passages
-from snapvault.llm.toxicity import THRESHOLD, ExampleIndex, fit, with_score
+from snapvault.llm import toxicity
+from snapvault.llm.toxicity import THRESHOLD, BlockMaxIndex, fit, with_score
 
 AWKWARD = [(1, None), (2, ""), (3, "a b"), (4, "A b"), (4, "A b"), (None, "x"), (5, "▁ é\n\n  z"), (6, "w " * 4000)]
 rng = random.Random(7)
@@ -179,15 +180,93 @@ def test_mix_awkward_rows(docs):
     assert len(rows) == len(AWKWARD) and all(r["taken"] <= 2 * r["size"] for r in rows)
 
 
-def test_block_max_search_is_exact():
-    idf = np.ones(12)
-    sets = [{t: rng.randint(1, 3) for t in rng.sample(range(12), rng.randint(1, 4))} for _ in range(300)]
-    index = ExampleIndex(list(range(300)), [k % 2 for k in range(300)], sets, idf)
-    units = [index.unit(s) for s in sets]
-    for query in sets[:40]:
-        q = index.unit(query)
-        want = sorted((sum(w * u.get(t, 0) for t, w in q.items()) for u in units), reverse=True)[:10]
-        assert np.allclose([s for s, _, _ in index.nearest(query, 10)], [w for w in want if w > 0], atol=1e-9)
+def test_block_max_search_is_exact_and_skips_blocks():
+    rng = random.Random(3)
+    for n_terms, n, block in ((12, 300, 8), (400, 900, 16)):
+        bags = [{int(n_terms * rng.random() ** 3): rng.randint(1, 9) for _ in range(rng.randint(0, 8))} for _ in range(n)]
+        bags.sort(key=sorted)
+        index = BlockMaxIndex(bags, block=block)
+        units = [index.unit(b) for b in bags]
+        for bag in bags[::7] + [{}, {10 ** 6: 1}]:
+            q = index.unit(bag)
+            every = sorted(((-sum(w * u[t] for t, w in q.items() if t in u), j) for j, u in enumerate(units)))
+            want = [(j, -c) for c, j in every if c < 0][:10]
+            rows, cosines = index.nearest(bag, 10)
+            assert np.allclose(cosines, [c for _, c in want], atol=1e-12) and len(rows) == len(want)
+            # ties may differ in their last digit only
+            assert all(a == b or abs(cosines[k] - want[-1][1]) < 1e-12 or abs(c - cosines[k]) < 1e-12
+                       for k, (a, (b, c)) in enumerate(zip(rows.tolist(), want)))
+        assert index.skipped > 0
+
+
+def test_scores_match_all_pairs_of_passages(spark):
+    """Whole texts scored by comparing every passage with every example, and blocks skipped on the way."""
+    rng = random.Random(5)
+    stems = ["".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 6))) for _ in range(120)]
+    texts = [" ".join(rng.choice(stems) + rng.choice(["", "e", "er", "ing"]) for _ in range(rng.randint(1, 40))) for _ in range(90)]
+    rows = [(i, t, int("b" in t.split()[0])) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = fit(docs, docs.where("doc_id < 60").select("doc_id", "toxic"))
+    got = {r["doc_id"]: r for r in with_score(docs, model).selectExpr("doc_id", "toxicity.score as score").collect()}
+
+    import zlib
+    taught = {(t, y) for i, t, y in rows if i < 60 and zlib.crc32(str(i).encode()) % 3 != 1}
+    prior = (sum(y for _, y in taught) + 0.5) / (len(taught) + 1)
+    words = sorted({w for t, _ in taught for w in toxicity.passages(t)})
+    count = {w: (sum(w in toxicity.passages(t) for t, _ in taught), sum(w in toxicity.passages(t) for t, y in taught if y)) for w in words}
+    df = {}
+    for w in words:
+        for t in toxicity.terms_of(w):
+            df[t] = df.get(t, 0) + 1
+
+    def unit(w):
+        v = {t: np.log((1 + len(words)) / (1 + df[t])) + 1 for t in toxicity.terms_of(w) if t in df}
+        norm = sum(x * x for x in v.values()) ** 0.5
+        return {t: x / norm for t, x in v.items()}
+
+    units = {w: unit(w) for w in words}
+
+    def log_odds(w):
+        q = unit(w)
+        if w not in df:  # what an unknown word shares is its longest known beginning
+            known = [t for t in toxicity.terms_of(w) if t in df]
+            if not known:
+                return None
+            q = unit(known[-1])
+        near = sorted((-sum(x * units[e].get(t, 0) for t, x in q.items()), e) for e in words)
+        near = [(min(-c, 1.0), e) for c, e in near if c < -1e-9][:toxicity.NEIGHBOURS]
+        weight = [toxicity.NEAR / (toxicity.NEAR + 1 - c) for c, _ in near]
+        y = sum(k * count[e][1] for k, (_, e) in zip(weight, near)) + toxicity.SMOOTH * prior
+        n = sum(k * count[e][0] for k, (_, e) in zip(weight, near)) + toxicity.SMOOTH
+        v = min(max(y / n, 1e-6), 1 - 1e-6)
+        return np.log(v / (1 - v)) - np.log(prior / (1 - prior))
+
+    shared, knots, bare = model
+    for i, t, _ in rows:
+        odds = sorted((o for o in map(log_odds, toxicity.passages(t)) if o is not None), reverse=True)
+        want = float(np.interp(sum(odds[:toxicity.STRONGEST]), *knots)) if odds else bare
+        assert abs(got[i]["score"] - want) < 1e-6, i
+    index = BlockMaxIndex([dict.fromkeys(toxicity.terms_of(w), 1) for w in words], block=4)
+    for w in words:
+        index.nearest(dict.fromkeys(toxicity.terms_of(w), 1), 5)
+    assert index.skipped > 0
+
+
+def test_a_few_labelled_texts_teach_clear_words(spark):
+    rng = random.Random(2)
+    bad = ["grobnik", "vuldash", "mekkort", "zintrap", "pholgast", "quorbel", "drumvix", "swelkan"]
+    plain = ["table", "river", "window", "garden", "letter", "summer", "orange", "bridge", "market", "winter", "candle", "forest"]
+    def text(*more):
+        return " ".join([*(rng.choice(plain) for _ in range(8)), *more])
+    rows = [(f"{text(bad[k % 8])} t{k}", 1) for k in range(24)] + [(f"{text()} h{k}", 0) for k in range(60)]
+    new = [(text(w), 1) for w in bad] + [(text(), 0) for _ in range(20)]
+    import zlib
+    free = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    known = [(free[k], t, y) for k, (t, y) in enumerate(rows)]
+    docs = spark.createDataFrame(known + [(5000 + k, t, y) for k, (t, y) in enumerate(new)], "doc_id long, text string, toxic int")
+    model = fit(docs, docs.where("doc_id < 5000").select("doc_id", "toxic"))
+    got = {r["doc_id"]: r["s"] for r in with_score(docs, model).selectExpr("doc_id", "toxicity.score as s").collect()}
+    assert [got[5000 + k] >= THRESHOLD for k in range(len(new))] == [y == 1 for _, y in new]
 
 
 def test_rare_toxic_words_are_found(spark):
@@ -204,20 +283,6 @@ def test_rare_toxic_words_are_found(spark):
     assert sum(got[i] >= THRESHOLD for i, _, y in new if y) >= 0.9 * len(bad) and got[30000] < THRESHOLD
 
 
-def test_nearest_examples_with_rare_terms_match_all_pairs():
-    rng = random.Random(11)
-    idf = np.array([0.01 + rng.random() for _ in range(400)])
-    sets = [{t: rng.randint(1, 9) for t in {int(400 * rng.random() ** 3) for _ in range(rng.randint(0, 30))}} for _ in range(500)]
-    index = ExampleIndex(list(range(500)), [k % 2 for k in range(500)], sets, idf)
-    units = [index.unit(s) for s in sets]
-    got = index.nearest_of(sets[:80], 15, list(range(80)))
-    for j, near in enumerate(got):
-        every = sorted((-sum(w * units[i].get(t, 0) for t, w in units[j].items()), i) for i in range(500) if i != j)
-        want = [x for x in every if x[0] < 0][:15]
-        assert [i for _, i, _ in near] == [i for _, i in want]
-        assert np.allclose([s for s, _, _ in near], [-s for s, _ in want], atol=1e-9)
-
-
 def test_quality_awkward_rows(docs):
     got = judge_quality(docs).collect()
     assert len(got) == len(AWKWARD) and not any(r["kept"] for r in got)
