@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from snapvault.llm.bpe import count_tokens
 from snapvault.llm.chat import format_conversations, read_back
 from snapvault.llm.common import read_table
+from snapvault.llm.divergence import audit_sources
 from snapvault.llm.exact_dedup import exact_dedup
 from snapvault.llm.mixing import cube_mix
+from snapvault.llm import pii
 from snapvault.llm.quality import judge_quality
 from snapvault.llm.simhash import simhash_groups
 from snapvault.llm.suffix_dedup import repeated_passages
@@ -18,6 +20,7 @@ from snapvault.llm.template import CONTROLS
 from snapvault.llm.toxicity import THRESHOLD, fit, held_out, with_score
 from snapvault.llm.unigram import round_trip
 from snapvault.llm.warc import arc_to_warc, read_warc, write_arc
+from snapvault.llm.whitening import whiten
 from snapvault.session import prepare, scratch_path
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -101,11 +104,28 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("text_hash")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return audit_sources(read_table(spark, sf_dir, "documents"))
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    return pii.find_personal_data(docs, pii.fit(docs)).drop("masked_text")
+
+
 def queries() -> dict:
     return {"op1_toxicity": op1_toxicity, "op2_sentencepiece": op2_sentencepiece,
             "op3_suffix_dedup": op3_suffix_dedup, "op4_exact_dedup": op4_exact_dedup,
             "op5_chat_format": op5_chat_format, "op6_simhash": op6_simhash, "op7_token_counts": op7_token_counts,
-            "op8_mixing": op8_mixing, "op9_warc": op9_warc, "op10_quality": op10_quality}
+            "op8_mixing": op8_mixing, "op9_warc": op9_warc, "op10_quality": op10_quality, "op11_whitening": op11_whitening,
+            "op12_divergence": op12_divergence, "op13_pii": op13_pii}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -174,4 +194,28 @@ f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_failed_lines, n_lost_words,
        NOT base_failed AND 100 * n_lost_words <= 30 * n_words AS kept
 FROM f""",
+        "op12_divergence": f"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT id) AS docs FROM t GROUP BY ALL),
+k AS (SELECT lang, term, CAST(sum(n) AS HUGEINT) AS lang_n FROM c GROUP BY ALL HAVING sum(docs) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(lang_n) AS total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+s AS (SELECT c.lang, c.source, sum(c.n) AS total FROM c JOIN k USING (lang, term) GROUP BY ALL),
+x AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 1) // CAST(coalesce(s.total, 0) + v.v AS HUGEINT) AS p,
+             1 + CAST(1000000000 AS HUGEINT) * (k.lang_n + 1) // CAST(v.total + v.v AS HUGEINT) AS q
+      FROM g JOIN k ON g.lang = k.lang JOIN v ON v.lang = g.lang
+           LEFT JOIN s ON s.lang = g.lang AND s.source = g.source
+           LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM x a JOIN x b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+           LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL
+      SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM x WHERE n > 0 AND p > q),
+o AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM r)
+SELECT * FROM o WHERE part = 'pair' OR rank <= 200""",
     }
