@@ -1,8 +1,9 @@
 """Writers and table management for exported snapshots.
 
 Full mode replaces a table; incremental mode adds (or replaces) one snapshot
-partition and keeps the others.  Both writes are idempotent: re-running a
-table or a snapshot produces the same files, never duplicated rows.
+partition and keeps the others.  Writes are staged and committed through the
+table's log (``snapvault.commits``): a failed or killed write leaves the earlier
+snapshot as it was, and re-running a table or a snapshot never duplicates rows.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapvault import commits
 from snapvault.functions.fixed import ROW_NUMBER_COLUMN, SNAPSHOT_COLUMN, table_properties
 
 
@@ -21,31 +23,29 @@ def _writer(df: DataFrame, max_records: int | None):
 
 
 def write_full(df: DataFrame, path: str, max_records_per_file: int | None = None) -> str:
-    """Replace everything at ``path`` with ``df``."""
-    _writer(df, max_records_per_file).mode("overwrite").save(path)
+    """Replace everything at ``path`` with ``df``, once all of it is written."""
+    commits.replace(df.sparkSession, path, lambda stage: _writer(df, max_records_per_file).save(stage), None)
     return path
 
 
 def write_incremental(df: DataFrame, path: str, snapshot: str | None = None,
-                      max_records_per_file: int | None = None) -> str:
+                      max_records_per_file: int | None = None, expected_version: int | None = None) -> str:
     """Write ``df`` as snapshot partition(s) under ``path``; other snapshots stay.
 
-    Dynamic partition overwrite replaces exactly the snapshot partitions
-    present in ``df``, so a retried write does not duplicate rows.
+    Exactly the snapshots present in ``df`` (or the one named, which an empty
+    frame replaces too) are replaced, so a retried write does not duplicate
+    rows.  ``expected_version`` fails the write (``CommitConflict``) if another
+    writer has committed the named snapshot since that version was read.
     """
     if snapshot is not None:
-        # overwrite the one snapshot folder: an empty frame replaces it too, and
-        # no staged files have to be moved
-        part = f"{path.rstrip('/')}/{SNAPSHOT_COLUMN}={snapshot}"
-        _writer(df.drop(SNAPSHOT_COLUMN), max_records_per_file).mode("overwrite").save(part)
+        one = df.drop(SNAPSHOT_COLUMN)
+        commits.replace(df.sparkSession, path, lambda stage: _writer(one, max_records_per_file).save(stage),
+                        [snapshot], expected_version)
         return path
     if SNAPSHOT_COLUMN not in df.columns:
         raise ValueError(f"incremental writes need a {SNAPSHOT_COLUMN} column")
-    (_writer(df, max_records_per_file)
-     .mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(SNAPSHOT_COLUMN)
-     .save(path))
+    commits.replace(df.sparkSession, path,
+                    lambda stage: _writer(df, max_records_per_file).partitionBy(SNAPSHOT_COLUMN).save(stage), [])
     return path
 
 
@@ -56,9 +56,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_views(df: DataFrame, path: str) -> str:
-    """Overwrite the view-definition table."""
-    df.write.format("parquet").mode("overwrite").save(path)
-    return path
+    """Replace the view-definition table."""
+    return write_full(df, path)
 
 
 def target_records_per_file(rows_per_chunk: int | None) -> int | None:

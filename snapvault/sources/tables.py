@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapvault.commits import FOREIGN_GLOB, committed
 from snapvault.functions.fixed import SNAPSHOT_COLUMN
 from snapvault.sources.catalog import Catalog, catalog_from_tables
 
@@ -325,13 +326,26 @@ def scan_exported(spark: SparkSession, path: str, snapshot: str | None = None,
     """Read an exported table back; with ``snapshot`` only that partition is read.
 
     Snapshot ids such as ``20240101000000Z`` end in a letter, so partition
-    discovery keeps them as text.  ``merge_schema`` unions the columns of
-    snapshots taken before and after a schema change (it reads every
-    footer, so it is off unless asked for).
+    discovery keeps them as text.  Only committed files are read
+    (``snapvault.commits``): what a write that runs, failed or was killed left
+    there is passed over.  ``merge_schema`` unions the columns of snapshots
+    taken before and after a schema change (it reads every footer, so it is off
+    unless asked for).
     """
-    df = (spark.read.option("basePath", path)
-          .option("mergeSchema", str(bool(merge_schema)).lower())
-          .parquet(path))
+    root = path.rstrip("/")
+    state = committed(spark, root)
+
+    def read(glob: str, *paths: str) -> DataFrame:
+        return (spark.read.option("basePath", root).option("mergeSchema", str(bool(merge_schema)).lower())
+                .option("pathGlobFilter", glob).parquet(*paths))
+
+    if not state.newest:
+        df = read(FOREIGN_GLOB, root)
+    else:
+        df = read(state.glob(), root)
+        if state.unlogged and not state.full:  # snapshots of writers without a log
+            df = df.unionByName(read(FOREIGN_GLOB, *[f"{root}/{SNAPSHOT_COLUMN}={s}" for s in state.unlogged]),
+                                allowMissingColumns=bool(merge_schema))
     if snapshot is not None:
         df = df.where(F.col(SNAPSHOT_COLUMN) == F.lit(snapshot))
     return df
