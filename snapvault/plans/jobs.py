@@ -12,7 +12,9 @@ from __future__ import annotations
 import datetime as _dt
 import math
 import os
+import random
 import threading
+import time
 import traceback
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -22,6 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapvault.commits import CommitConflict, version_of
 from snapvault.functions.fixed import (
     DEFAULT_MAX_CONCURRENCY,
     DEFAULT_TARGET_FILE_MB,
@@ -46,6 +49,7 @@ from snapvault.operators.validation import (
 from snapvault.plans.chunks import plan_chunks, plan_tables, table_sizes
 from snapvault.session import local_frame
 from snapvault.streaming.streams import status_events_from_runs
+from snapvault.sources.tables import scan_exported
 from snapvault.sinks.writers import (
     path_exists, ensure_database,
     register_table,
@@ -280,7 +284,7 @@ def validate_export(spark: SparkSession, plan: ExportPlan, status: DataFrame, cf
     """Count what arrived, set it beside the source counts, store the result.
 
     The validation table keeps history, partitioned by snapshot; this run's
-    partition is replaced as a whole (dynamic overwrite), so re-running the
+    rows are merged into its snapshot by one commit, so re-running the
     validation is idempotent.
     """
     # every table that got to write is counted: a timed-out table shows what
@@ -296,29 +300,42 @@ def validate_export(spark: SparkSession, plan: ExportPlan, status: DataFrame, cf
     # one row per table: catalog metadata, held once for the write and the caller
     reconciled = local_frame(spark, reconciled.collect(), reconciled.schema)
     if write:
-        store_validation(spark, reconciled, cfg, tried=[r["table_name"] for r in status.select("table_name").collect()])
+        names = [r["table_name"] for r in status.select("table_name").collect()]
+        schema_of = {m["table_name"]: m["table_schema"] for m in plan.tables}
+        store_validation(spark, reconciled, cfg, tried=[(schema_of[n], n) for n in names if n in schema_of])
     return reconciled
 
 
-def store_validation(spark: SparkSession, rows: DataFrame, cfg: ExportConfig, tried=()) -> None:
+def store_validation(spark: SparkSession, rows: DataFrame, cfg: ExportConfig, tried=(), attempts: int = 20) -> None:
     """Upsert ``rows`` into this snapshot's partition of the validation table.
 
     A table that an earlier run of the snapshot counted and that is not among
-    the ``tried`` ones keeps its stored count.
+    the ``tried`` ones keeps its stored count.  The partition is committed only
+    if no other run has committed it since it was read; otherwise it is read
+    and merged again, so runs at the same time keep each other's rows.
     """
     updates = rows.select(*[c.split()[0] for c in STORED_SCHEMA.split(", ")])
     location = cfg.validation_location
-    if path_exists(spark, f"{location}/{SNAPSHOT_COLUMN}={cfg.snapshot}"):
-        existing = spark.read.schema(STORED_SCHEMA).parquet(location).where(F.col(SNAPSHOT_COLUMN) == cfg.snapshot)
-    else:
-        existing = local_frame(spark, [], STORED_SCHEMA)
     keys = ["table_schema", "table_name", SNAPSHOT_COLUMN]
-    known = existing.where("exported_row_count is not null").where(~F.col("table_name").isin(*tried) if tried else F.lit(True))
-    updates = updates.join(known.select(*keys), keys, "left_anti").select(*existing.columns)
-    merged = upsert_validation(existing, updates, keys)
-    # one row per table; taken to the driver before the partition just read is replaced
-    merged = local_frame(spark, merged.collect(), merged.schema).coalesce(1)
-    write_incremental(merged, location, cfg.snapshot)
+    names = local_frame(spark, [(s, t) for s, t in tried], "table_schema string, table_name string")
+    for attempt in range(attempts):
+        version = version_of(spark, location, cfg.snapshot)
+        if path_exists(spark, f"{location}/{SNAPSHOT_COLUMN}={cfg.snapshot}"):
+            existing = scan_exported(spark, location, cfg.snapshot).select(*updates.columns)
+        else:
+            existing = local_frame(spark, [], STORED_SCHEMA)
+        known = existing.where("exported_row_count is not null").join(names, ["table_schema", "table_name"], "left_anti")
+        kept = updates.join(known.select(*keys), keys, "left_anti").select(*existing.columns)
+        merged = upsert_validation(existing, kept, keys)
+        # one row per table; taken to the driver before the partition just read is replaced
+        merged = local_frame(spark, merged.collect(), merged.schema).coalesce(1)
+        try:
+            write_incremental(merged, location, cfg.snapshot, expected_version=version)
+            break
+        except CommitConflict:
+            if attempt == attempts - 1:
+                raise
+            time.sleep(random.uniform(0.05, 0.3) * (attempt + 1))
     if cfg.register:
         name = os.path.basename(location.rstrip("/"))
         register_table(spark, cfg.database, name, table_columns(merged, "incremental"), location, "incremental")

@@ -57,9 +57,8 @@ def test_mode_is_checked():
         VA.check_mode("incrementl")
 
 
-def test_count_exported_many_tables_in_batches(spark, tmp_dir, monkeypatch):
+def test_count_exported_many_tables_in_batches(spark, tmp_dir):
     from snapvault.operators import validation as mod
-    monkeypatch.setattr(mod, "UNION_BATCH", 2)
     orders = project_strings(spark.read.parquet(f"{SF}/orders.parquet"))
     paths = {}
     for i in range(5):
@@ -69,9 +68,8 @@ def test_count_exported_many_tables_in_batches(spark, tmp_dir, monkeypatch):
     assert got == {f"t{i}": 1500 for i in range(5)}
 
 
-def test_count_exported_in_batches_reports_empty_and_missing_tables(spark, tmp_dir, monkeypatch):
+def test_count_exported_in_batches_reports_empty_and_missing_tables(spark, tmp_dir):
     from snapvault.operators import validation as mod
-    monkeypatch.setattr(mod, "UNION_BATCH", 2)
     orders = project_strings(spark.read.parquet(f"{SF}/orders.parquet"))
     snap = "20240101000000Z"
     paths = {}
@@ -87,3 +85,57 @@ def test_count_exported_in_batches_reports_empty_and_missing_tables(spark, tmp_d
     full = {r["table_name"]: r["exported_row_count"]
             for r in mod.count_exported(spark, {"t0": paths["t0"], "empty": paths["empty"]}, "full").collect()}
     assert full == {"t0": 1500, "empty": 0}
+
+
+def test_counts_of_few_and_many_tables_have_one_plan(spark, tmp_dir):
+    import re
+    paths = {}
+    for i in range(30):
+        paths[f"t{i:02d}"] = os.path.join(tmp_dir, f"t {i}")  # a name that file metadata spells with %20
+        write_incremental(spark.range(i), paths[f"t{i:02d}"], "20240101000000Z")
+
+    def nodes(some):
+        plan = VA.count_exported(spark, some)._jdf.queryExecution().executedPlan().toString()
+        assert "ReadSchema: struct<>" in plan and plan.count("FileScan parquet") == 1
+        return re.findall(r"[A-Z][A-Za-z]+(?= |\n)", re.sub(r"\[.*?\]", "", plan))[:5]
+
+    few = dict(list(paths.items())[:3])
+    assert nodes(few) == nodes(paths)
+    got = {r["table_name"]: r["exported_row_count"] for r in VA.count_exported(spark, paths, snapshot="20240101000000Z").collect()}
+    assert got == {f"t{i:02d}": i for i in range(30)}
+
+
+def test_latest_keeps_schemas_apart(spark):
+    rows = [("a", "t", 1, 1, "20240101000000Z"), ("a", "t", 2, 2, "20240201000000Z"), ("b", "t", 3, 3, "20240101000000Z")]
+    df = spark.createDataFrame(rows, "table_schema string, table_name string, original_row_count long, exported_row_count long, extraction_timestamp string")
+    got = {(r["table_schema"], r["table_name"]): r["original_row_count"] for r in VA.latest_per_table(df).collect()}
+    assert got == {("a", "t"): 2, ("b", "t"): 3}
+
+
+def test_interleaved_runs_keep_each_others_rows(spark, tmp_dir, monkeypatch):
+    from concurrent.futures import ThreadPoolExecutor
+    from snapvault.plans import jobs
+    from snapvault.sources.tables import scan_exported
+    cfg = jobs.ExportConfig(database="shop", output_root=tmp_dir, snapshot="20240101000000Z")
+
+    def rows(name, n):
+        return spark.createDataFrame([("dbo", name, n, n, cfg.snapshot)], jobs.STORED_SCHEMA)
+
+    # the second run commits after the first one has read the partition and before it writes
+    plain, late = jobs.write_incremental, []
+
+    def write(df, location, snapshot, expected_version):
+        if not late:
+            late.append(1)
+            jobs.store_validation(spark, rows("b", 2), cfg, tried=[("dbo", "b")])
+        return plain(df, location, snapshot, expected_version=expected_version)
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "write_incremental", write)
+        jobs.store_validation(spark, rows("a", 1), cfg, tried=[("dbo", "a")])
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(lambda k: jobs.store_validation(spark, rows(f"t{k}", k), cfg, tried=[("dbo", f"t{k}")]), range(4)))
+    got = {r["table_name"]: r["exported_row_count"] for r in scan_exported(spark, cfg.validation_location).collect()}
+    assert got == {"a": 1, "b": 2, "t0": 0, "t1": 1, "t2": 2, "t3": 3}
+    # a table of the same name in another schema is not taken for a tried one
+    jobs.store_validation(spark, spark.createDataFrame([("hr", "a", 9, None, cfg.snapshot)], jobs.STORED_SCHEMA), cfg, tried=[("hr", "a")])
+    assert scan_exported(spark, cfg.validation_location).where("table_name = 'a'").count() == 2
