@@ -86,3 +86,70 @@ def test_key_ordered_files_hold_contiguous_ranges(spark):
         F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi")).orderBy("lo").collect()
     assert len(ranges) == 4
     assert all(a["hi"] < b["lo"] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_numbers_are_the_same_after_a_retried_task_and_nothing_is_checkpointed(spark, tmp_dir):
+    import os
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    before = set(os.listdir(spark.sparkContext.getCheckpointDir().removeprefix("file:"))) if spark.sparkContext.getCheckpointDir() else set()
+    numbered = row_number_pk(orders, ["o_orderkey"], num_partitions=7)
+    first = {r["o_orderkey"]: r["rn"] for r in numbered.collect()}
+    # a second job over the same frame, through other operators, and a frame built anew
+    again = {r["o_orderkey"]: r["rn"] for r in numbered.where("o_orderkey % 3 = 0").collect()}
+    anew = {r["o_orderkey"]: r["rn"] for r in row_number_pk(orders, ["o_orderkey"], num_partitions=5).collect()}
+    assert first == anew and all(first[k] == v for k, v in again.items())
+    assert sorted(first.values()) == list(range(1, len(first) + 1))
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "ExistingRDD" not in plan  # from the source, not from a copy
+    root = spark.sparkContext.getCheckpointDir()
+    assert {n for n in (os.listdir(root.removeprefix("file:")) if root else [])} - before <= {"scratch"}
+    small = sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(os.path.join(root.removeprefix("file:"), "scratch"))
+                if "splitters" in d or "range-offsets" in d for f in fs)
+    assert small < 200_000
+
+    # tasks that fail once after their rows were numbered: the retry gives the same numbers
+    marks = os.path.join(tmp_dir, "marks")
+    os.makedirs(marks)
+
+    def fail_once(batches):
+        import os as o
+        from pyspark import TaskContext
+        mark = o.path.join(marks, str(TaskContext.get().partitionId()))
+        for b in batches:
+            yield b
+        if not o.path.exists(mark):
+            open(mark, "w").close()
+            raise RuntimeError("lost")
+    got, failures = None, 0
+    for _ in range(20):  # local masters don't retry tasks: run the job until none fails
+        try:
+            got = {r["o_orderkey"]: r["rn"] for r in numbered.mapInArrow(fail_once, numbered.schema).collect()}
+            break
+        except Exception as lost:
+            assert "lost" in str(lost), lost
+            failures += 1
+    assert failures and got == first
+
+
+def test_numbering_awkward_keys(spark):
+    rows = [(None, "a", 1), (None, None, 2), (2, "b", 3), (2, "B", 4), (1, "", 5), (1, None, 6), (-5, "é", 7), (3, "z" * 5000, 8)]
+    df = spark.createDataFrame([(k, s, v, 0) for k, s, v in rows], "k long, s string, v int, rn0 int")
+    for n in (1, 3, 8, 40):
+        got = row_number_pk(df, ["k", "s"], num_partitions=n)
+        want = row_number_pk(df, ["k", "s"], method="window")
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+        assert got.columns == want.columns
+    assert row_number_pk(df.limit(0), ["k"], num_partitions=4).count() == 0
+    same = spark.range(100).selectExpr("1 AS k", "id")  # one key only: split by position
+    got = row_number_pk(same, ["k"], num_partitions=4)
+    assert sorted(r["rn"] for r in got.collect()) == list(range(1, 101))
+    import datetime as dt
+    from decimal import Decimal
+    moments = spark.createDataFrame(
+        [(dt.datetime(2024, 1, 1, 0, 0, 0, k), dt.date(2024, 1, 1 + k % 28), Decimal(k) / 7, bytes([k]), k / 3, k) for k in range(50)],
+        "t timestamp, d date, c decimal(12,4), b binary, f double, v int")
+    for key in (["t"], ["d", "t"], ["c"], ["b"], ["f"]):
+        got = row_number_pk(moments, key, num_partitions=6)
+        want = row_number_pk(moments, key, method="window")
+        assert sorted((r["v"], r["rn"]) for r in got.collect()) == sorted((r["v"], r["rn"]) for r in want.collect())
+        assert got.groupBy(F.spark_partition_id()).count().count() > 2
