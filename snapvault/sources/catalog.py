@@ -106,17 +106,24 @@ def source_type_name(dt: T.DataType) -> str:
     return "varbinary"  # arrays, maps, structs: no relational counterpart
 
 
+#: Stored bytes of a value of these types.
+_WIDTHS = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8,
+    T.FloatType: 4, T.DoubleType: 8, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8,
+    T.DecimalType: 16,
+}
+
+
+def fixed_width(dt: T.DataType) -> int:
+    """Stored bytes of one value of a fixed-width type; 0 for the others."""
+    return next((width for kind, width in _WIDTHS.items() if isinstance(dt, kind)), 0)
+
+
 def value_bytes(field: T.StructField):
     """Stored bytes of one value; NULL takes none.  Used for space estimates."""
     c, dt = F.col(field.name), field.dataType
-    fixed = {
-        T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8,
-        T.FloatType: 4, T.DoubleType: 8, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8,
-        T.DecimalType: 16,
-    }
-    for kind, width in fixed.items():
-        if isinstance(dt, kind):
-            return F.when(c.isNull(), 0).otherwise(width).cast("long")
+    if fixed_width(dt):
+        return F.when(c.isNull(), 0).otherwise(fixed_width(dt)).cast("long")
     if isinstance(dt, T.StringType):
         return F.coalesce(F.octet_length(c), F.lit(0)).cast("long")
     if isinstance(dt, T.BinaryType):
@@ -203,6 +210,7 @@ def catalog_from_tables(
     views: dict[str, str] | None = None,
     profile="exact",
     stored_bytes: dict[str, int] | None = None,
+    measured: dict[str, tuple[int, int]] | None = None,
 ) -> Catalog:
     """Derive a catalog for DataFrames (usually Parquet tables) in one schema.
 
@@ -215,10 +223,13 @@ def catalog_from_tables(
       files take on storage (``stored_bytes``): no column data is read, so
       planning stays cheap at any scale;
     * ``none``: left empty (listings only).
+
+    ``measured`` gives (rows, bytes) of every table where the source has found
+    them itself.
     """
     mode = _profile_mode(profile)
-    if mode == "files" and stored_bytes is None:
-        mode = "exact"  # no file sizes known (e.g. a JDBC source): measure instead
+    if mode == "files" and stored_bytes is None and measured is None:
+        raise ValueError("no stored sizes are known for the profile 'files': use 'exact', which reads all data")
     keys = keys or {}
     views = views or {}
     schema_rows = [(1, schema), (3, "INFORMATION_SCHEMA"), (4, "sys")]
@@ -249,14 +260,15 @@ def catalog_from_tables(
     if mode != "none" and tables:
         exact = mode == "exact"
         names = sorted(tables)
-        tagged = [tagged_rows(tables[n], {"table_name": n}, row_bytes(tables[n]) if exact else None)
-                  for n in names]
-        # one job per batch of tables scans them all in parallel; the result
-        # is one row per table (catalog metadata, bounded by the table
-        # count), so it is materialised once and every view below reuses it
-        counted = grouped_counts_in_batches(spark, tagged, ["table_name"], [(n,) for n in names])
-        measured = {r["table_name"]: (r["rows"], r["bytes"] if exact else int(stored_bytes.get(r["table_name"], 0)))
-                    for r in counted}
+        if measured is None:
+            tagged = [tagged_rows(tables[n], {"table_name": n}, row_bytes(tables[n]) if exact else None)
+                      for n in names]
+            # one job per batch of tables scans them all in parallel; the result
+            # is one row per table (catalog metadata, bounded by the table
+            # count), so it is materialised once and every view below reuses it
+            counted = grouped_counts_in_batches(spark, tagged, ["table_name"], [(n,) for n in names])
+            measured = {r["table_name"]: (r["rows"], r["bytes"] if exact else int(stored_bytes.get(r["table_name"], 0)))
+                        for r in counted}
         for i, name in enumerate(sorted(tables)):
             object_id = 1000 + i
             rows, nbytes = measured[name]

@@ -12,6 +12,8 @@ with partitioned reads.  Both expose the same small surface:
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
 import math
 import re
 from concurrent.futures import ThreadPoolExecutor
@@ -24,7 +26,7 @@ from pyspark.sql import types as T
 
 from snapvault.commits import FOREIGN_GLOB, committed
 from snapvault.functions.fixed import SNAPSHOT_COLUMN
-from snapvault.sources.catalog import Catalog, catalog_from_tables
+from snapvault.sources.catalog import Catalog, catalog_from_tables, fixed_width
 
 
 def whole_bounds(lo, hi) -> tuple:
@@ -34,27 +36,37 @@ def whole_bounds(lo, hi) -> tuple:
     return lo, hi
 
 
-def sql_literal(value) -> str:
-    """A key value as an SQL literal."""
-    if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+def sql_literal(value, dialect: str | None = None) -> str:
+    """A key value as an SQL literal of the server's dialect.
+
+    On SQL Server text is written as ``N'...'``: without the prefix characters
+    outside the code page become question marks, and bounds lose their order.
+    """
+    if isinstance(value, bool):
+        return str(value).upper() if dialect == "generic" else str(int(value))
+    if isinstance(value, (int, float, Decimal)):
         return str(value)
     if isinstance(value, (bytes, bytearray)):
-        return "0x" + bytes(value).hex()
+        return f"X'{bytes(value).hex()}'" if dialect == "generic" else "0x" + bytes(value).hex()
     if isinstance(value, dt.datetime):
-        value = value.isoformat(timespec="milliseconds")
-    return "'" + str(value).replace("'", "''") + "'"
+        # standard SQL has a space and microseconds; SQL Server's older type reads neither
+        standard = dialect == "generic"
+        return f"'{value.isoformat(sep=' ' if standard else 'T', timespec='microseconds' if standard else 'milliseconds')}'"
+    text = "'" + str(value).replace("'", "''") + "'"
+    return "N" + text if dialect == "sqlserver" else text
 
 
-def key_after(columns: list[str], values: list) -> str:
+def key_after(columns: list[str], values: list, dialect: str | None = None) -> str:
     """Rows whose key (``columns``, quoted already) comes after ``values``: compared column by column."""
     terms, equal = [], ""
     for c, v in zip(columns, values):
-        terms.append(f"({equal}{c} > {sql_literal(v)})")
-        equal += f"{c} = {sql_literal(v)} AND "
+        literal = sql_literal(v, dialect)
+        terms.append(f"({equal}{c} > {literal})")
+        equal += f"{c} = {literal} AND "
     return "(" + " OR ".join(terms) + ")"
 
 
-def key_range_predicates(columns: list[str], bounds: list) -> list[str]:
+def key_range_predicates(columns: list[str], bounds: list, dialect: str | None = None) -> list[str]:
     """Predicates that put every row into one range between neighbouring ``bounds`` (in key order).
 
     All key columns are compared, so a leading value that holds much of the
@@ -63,7 +75,7 @@ def key_range_predicates(columns: list[str], bounds: list) -> list[str]:
     if not bounds:
         return []
     whole = " AND ".join(f"{c} IS NOT NULL" for c in columns)
-    after = [key_after(columns, b) for b in bounds]
+    after = [key_after(columns, b, dialect) for b in bounds]
     first = f"NOT {after[0]} OR NOT ({whole})"
     middle = [f"{whole} AND {a} AND NOT {b}" for a, b in zip(after, after[1:])]
     return [first, *middle, f"{whole} AND {after[-1]}"]
@@ -208,8 +220,8 @@ class JdbcSource:
     def _rangeable(self, schema: str | None, name: str, column: str) -> bool:
         """Whether ``column`` is numeric or a date/time (schema probe, no rows read)."""
         fields = {f.name: f.dataType for f in self.table(schema, name).schema.fields}
-        dt = fields.get(column)
-        return isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
+        kind = fields.get(column)
+        return isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                                T.DoubleType, T.DecimalType, T.DateType, T.TimestampType,
                                T.TimestampNTZType))
 
@@ -232,7 +244,65 @@ class JdbcSource:
         last = (f"SELECT {cols}, sv_range, LEAD(sv_range) OVER (ORDER BY {cols}) AS sv_next FROM ({ranges}) r")
         rows = self.query(f"SELECT {cols}, sv_range FROM ({last}) b WHERE sv_next <> sv_range").collect()
         bounds = [list(r)[:-1] for r in sorted(rows, key=lambda r: r[len(pk)])]
-        return key_range_predicates([self.quoted(c) for c in pk], bounds)
+        return key_range_predicates([self.quoted(c) for c in pk], bounds, self.dialect)
+
+    def paged_key_splits(self, schema: str | None, name: str, pk: list[str], n: int) -> list[str]:
+        """``key_splits`` for servers without NTILE: key-set paging with standard SQL.
+
+        Each statement starts after the last bound and returns the key that
+        many rows further on (an index range scan; together one pass over the
+        index).  The driver holds ``n - 1`` keys.
+        """
+        columns = [self.quoted(c) for c in pk]
+        cols, whole = ", ".join(columns), " AND ".join(f"{c} IS NOT NULL" for c in columns)
+        total = int(self.row_count(schema, name))
+        step = max(1, -(-total // max(1, int(n))))
+        bounds: list[list] = []
+        while len(bounds) < n - 1:
+            where = whole + (f" AND {key_after(columns, bounds[-1], self.dialect)}" if bounds else "")
+            row = self.query(f"SELECT {cols} FROM {self.qualified(schema, name)} WHERE {where} ORDER BY {cols} "
+                             f"OFFSET {step - 1} ROWS FETCH NEXT 1 ROWS ONLY").first()
+            if row is None:
+                break
+            bounds.append(list(row))
+        return key_range_predicates(columns, bounds, self.dialect)
+
+    def server_table(self, schema: str | None, name: str) -> DataFrame:
+        """The table through Spark's JDBC catalog, which pushes aggregates down to the server."""
+        options = {"url": self.url, "pushDownAggregate": "true", "fetchsize": str(self.fetchsize), **self.properties}
+        catalog = "sv_jdbc_" + hashlib.sha256(json.dumps(options, sort_keys=True).encode()).hexdigest()[:16]
+        prefix = f"spark.sql.catalog.{catalog}"
+        if self.spark.conf.get(prefix, None) is None:
+            for key, value in options.items():
+                self.spark.conf.set(f"{prefix}.{key}", value)
+            self.spark.conf.set(prefix, "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog")
+        parts = [catalog, *([schema] if schema else []), name]
+        return self.spark.table(".".join("`" + p.replace("`", "``") + "`" for p in parts))
+
+    def profile_plan(self, schema: str | None, name: str) -> DataFrame:
+        """Rows, and values of every column, counted by the server (one row)."""
+        table = self.server_table(schema, name)
+        return table.agg(F.count(F.lit(1)).alias("n"), *[F.count(f"`{c}`").alias(f"c{i}") for i, c in enumerate(table.columns)])
+
+    def row_count(self, schema: str | None, name: str) -> int:
+        """Rows of a table, counted by the server."""
+        return self.server_table(schema, name).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+
+    def profile(self, schema: str | None, name: str) -> tuple[int, int]:
+        """(rows, about how many bytes) of a table, from aggregates that the server computes.
+
+        Fixed-width values count their width; text and binary ones the sum of
+        their lengths.
+        """
+        fields = self.table(schema, name).schema.fields
+        counts = self.profile_plan(schema, name).first()
+        size = sum(counts[f"c{i}"] * fixed_width(f.dataType) for i, f in enumerate(fields))
+        wide = [f.name for f in fields if not fixed_width(f.dataType)]
+        if wide:
+            length = "DATALENGTH" if self.dialect == "sqlserver" else "LENGTH"
+            sums = ", ".join(f"SUM(CAST({length}({self.quoted(c)}) AS BIGINT)) AS s{i}" for i, c in enumerate(wide))
+            size += sum(v or 0 for v in self.query(f"SELECT {sums} FROM {self.qualified(schema, name)}").first())
+        return int(counts["n"]), int(size)
 
     def query(self, sql: str) -> DataFrame:
         return self._reader().option("query", sql).load()
@@ -241,15 +311,18 @@ class JdbcSource:
         """Read a table in ``n_chunks`` parallel JDBC statements when the key allows it.
 
         A key of one numeric or date column splits on its value range (bounds
-        from one MIN/MAX statement; the splits are index range scans).  On SQL
-        Server, text, GUID and composite keys split between whole key tuples.
-        Other keys, and keyless tables, split on ``hash_predicate`` when one is
-        configured (each statement a full scan at the source).  The splits are
-        disjoint and together read the whole table.
+        from one MIN/MAX statement; the splits are index range scans).  Text,
+        GUID and composite keys split between whole key tuples that the server
+        finds.  Keyless tables, and text keys where one is configured, split on
+        ``hash_predicate`` (each statement a full scan at the source).  The
+        splits are disjoint and together read the whole table.
         """
         if n_chunks > 1 and pk and self.dialect == "sqlserver" and (
                 len(pk) > 1 or not self._rangeable(schema, name, pk[0])):
             return self.table(schema, name, predicates=self.key_splits(schema, name, pk, n_chunks))
+        if n_chunks > 1 and pk and self.dialect != "sqlserver" and (
+                len(pk) > 1 or not self.hash_predicate and not self._rangeable(schema, name, pk[0])):
+            return self.table(schema, name, predicates=self.paged_key_splits(schema, name, pk, n_chunks))
         if n_chunks > 1 and pk and self._rangeable(schema, name, pk[0]):
             # the leading key column orders the clustered index: range splits
             # on it are index seeks at the source (composite keys included)
@@ -276,11 +349,19 @@ class JdbcSource:
 
         ``sqlserver``: read from the server's catalog views (needs that
         driver; not exercised by the tests here).  ``generic``: derived from
-        the listed tables like a Parquet source, keys as declared.
+        the listed tables like a Parquet source, keys as declared; with the
+        profile ``files`` (a server has none: its counterpart) rows and sizes
+        are aggregates that the server computes, with ``exact`` Spark reads all
+        rows and measures them.
         """
         if self.dialect == "generic":
             tables = {n: self.table(self.schema, n) for n in (names or self.table_list)}
-            return catalog_from_tables(self.spark, tables, self.keys, self.schema, profile=profile)
+            measured = None
+            if profile == "files":
+                # each statement returns one row: the server does the work, so tables are asked at the same time
+                with ThreadPoolExecutor(max_workers=min(8, max(1, len(tables)))) as pool:
+                    measured = dict(zip(tables, pool.map(lambda n: self.profile(self.schema, n), tables)))
+            return catalog_from_tables(self.spark, tables, self.keys, self.schema, profile=profile, measured=measured)
         q = self.query
         return Catalog(
             sys_schemas=lambda: q("SELECT schema_id, name FROM sys.schemas"),

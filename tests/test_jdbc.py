@@ -78,3 +78,75 @@ def test_hash_split_for_keyless_tables(spark, derby):
     assert df.select(F.sum("o_orderkey")).first()[0] == want.select(F.sum("o_orderkey")).first()[0]
     plain = JdbcSource(spark, URL, PROPS, dialect="generic", schema="APP")
     assert plain.table_for_export("APP", "ORDERS", [], 10).rdd.getNumPartitions() == 1  # no predicate: one statement
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_counts_and_sizes_are_computed_by_the_server(spark, derby, tmp_dir):
+    plan = _plan(derby.profile_plan("APP", "ORDERS"))
+    assert "PushedAggregates: [COUNT(*)" in plan and "PushedGroupByExpressions: []" in plan
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    rows, size = derby.profile("APP", "ORDERS")
+    exact = {r["table_name"]: r for r in derby.catalog(["ORDERS"], profile="exact").space_used.collect()}["ORDERS"]
+    assert rows == orders.count() == int(exact["rows"])
+    assert abs(size / 1024 - int(exact["data"].replace(",", "").split()[0])) <= 1  # ASCII text: characters are bytes
+    # planning asks the server for counts only: no table is read
+    listed = {r["table_name"]: r["rows"] for r in derby.catalog(profile="files").space_used.collect()}
+    assert listed == {"ORDERS": "1500", "REGION": "5"}
+    from snapvault.plans.jobs import plan_export
+    chunks = plan_export(derby, ExportConfig(database="d", output_root=tmp_dir, target_mb=0.02)).tables
+    assert {m["table_name"]: m["rows"] for m in chunks} == {"ORDERS": 1500, "REGION": 5}
+    with pytest.raises(ValueError, match="exact"):
+        from snapvault.sources.catalog import catalog_from_tables
+        catalog_from_tables(spark, {"r": derby.table("APP", "REGION")}, profile="files")
+
+
+def _split_read(source, name, pk, n):
+    """Each statement's rows, by key."""
+    df = source.table_for_export("APP", name, pk, n)
+    parts = df.select(F.spark_partition_id().alias("p"), *[F.col(c) for c in pk]).collect()
+    return df, parts
+
+
+def test_text_and_composite_keys_split_without_a_predicate(spark, derby):
+    words = ["", "a", "A", "é", "ß", "日本", "z'z", "zz", "Ω", "~"]
+    rows = [("hot" if k % 3 else words[k % 10] + str(k), k, f"v{k}") for k in range(600)]  # two thirds share a leading value
+    keyed = spark.createDataFrame(rows, "code string, part int, val string")
+    keyed.write.mode("overwrite").option("createTableColumnTypes", "code VARCHAR(40), val VARCHAR(40)").jdbc(URL, "CODES", properties=PROPS)
+    plain = JdbcSource(spark, URL, PROPS, dialect="generic", schema="APP")
+    for pk in (["code", "part"], ["val"]):
+        df, parts = _split_read(plain, "CODES", pk, 6)
+        assert df.rdd.getNumPartitions() == 6
+        assert sorted(map(tuple, df.collect())) == sorted(rows)
+        sizes = {}
+        for r in parts:
+            sizes[r["p"]] = sizes.get(r["p"], 0) + 1
+        assert len(sizes) == 6 and max(sizes.values()) <= 110  # the hot leading value is split
+    # moments and numbers as keys of several columns
+    moments = spark.sql("SELECT CAST(id % 2 AS INT) AS g, timestampadd(MICROSECOND, CAST(id AS INT), TIMESTAMP'2024-01-01 00:00:00') AS t, "
+                        "CAST(id AS DECIMAL(10, 2)) / 4 AS x FROM range(50)")
+    moments.write.mode("overwrite").jdbc(URL, "MOMENTS", properties=PROPS)
+    for pk in (["g", "t"], ["g", "x"]):
+        df, _ = _split_read(plain, "MOMENTS", pk, 4)
+        assert df.rdd.getNumPartitions() == 4 and df.count() == 50 and df.select("t").distinct().count() == 50
+
+
+def test_rows_with_nulls_in_a_declared_key_are_read_once(spark, derby):
+    rows = [(None if k % 5 == 0 else k % 7, k) for k in range(60)]
+    spark.createDataFrame(rows, "grp int, part int").write.mode("overwrite").jdbc(URL, "HOLES", properties=PROPS)
+    plain = JdbcSource(spark, URL, PROPS, dialect="generic", schema="APP")
+    df = plain.table_for_export("APP", "HOLES", ["grp", "part"], 4)
+    assert sorted(r["part"] for r in df.collect()) == list(range(60)) and df.rdd.getNumPartitions() == 4
+    spark.createDataFrame([], "code string, part int").write.mode("overwrite").option(
+        "createTableColumnTypes", "code VARCHAR(40)").jdbc(URL, "NONE_YET", properties=PROPS)
+    assert plain.table_for_export("APP", "NONE_YET", ["code"], 4).count() == 0
+
+
+def test_text_literals_keep_their_characters_on_sql_server():
+    from snapvault.sources.tables import key_range_predicates, sql_literal
+    assert sql_literal("日本's", "sqlserver") == "N'日本''s'" and sql_literal("x") == "'x'"
+    assert sql_literal(b"\x01\xff", "sqlserver") == "0x01ff" and sql_literal(b"\x01", "generic") == "X'01'"
+    first, last = key_range_predicates(["[code]"], [["é"]], "sqlserver")
+    assert "N'é'" in first and "N'é'" in last
