@@ -9,13 +9,14 @@ in a cell of the grid spanned by those groups.  Candidates of a cell pass the
 Manhattan bound and then the exact bit distance.
 
 Only distinct fingerprints are joined: copies, and near copies that share a
-fingerprint, are one point.  A cell sends no pairs but the edges of a forest
-that connects what it connects (at most one a point), and components grow by
-alternating large-star and small-star steps over written edge tables.
+fingerprint, are one point, whatever their ids.  A cell sends no pairs but the
+edges of a forest that connects what it connects (at most one a point), and
+components grow by alternating large-star and small-star steps over written edge tables.
 
 Cases: null text equals empty text; texts without words have fingerprint zero
-and are linked like any other; repeated rows are documents of their own; a null
-id is carried through and never names a component unless all of it are null;
+and are linked like any other; repeated rows are documents of their own; an id with
+several texts has a row for each, in that text's component; a null id is
+carried through and never names a component unless all of it are null;
 an empty table gives no rows.
 """
 
@@ -241,15 +242,19 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_hash(f"`{text_col}`").alias("text_hash"),
                        utf8(f"`{text_col}`").alias("body"))
     prints = stored(rows.mapInArrow(_fingerprints(shingle), "doc_id long, text_hash long, fp long"), "fingerprints")
-    # one point a fingerprint; its node is the smallest id (a point whose ids are all null stands alone)
-    points = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "points")
-    cells = points.where("node is not null").mapInArrow(_cells(cell_masks(max_bits, groups_equal)),
-                                                        "cell long, fp long, node long")
+    # one point a fingerprint, which is its own node: an id that repeats with other texts joins nothing, and
+    # fingerprints that only null ids have link others all the same
+    points = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
+    cells = points.select("fp", F.col("fp").alias("node")).mapInArrow(_cells(cell_masks(max_bits, groups_equal)),
+                                                                    "cell long, fp long, node long")
     links = (cells.repartition("cell").sortWithinPartitions("cell")
              .mapInArrow(_links(max_bits), "u long, v long").distinct())
     roots = components(links)
-    p = points.join(roots.withColumnRenamed("node", "r_node"), F.col("node") == F.col("r_node"), "left")
-    p = p.select(F.col("fp").alias("p_fp"), F.coalesce("root", "node").alias("component_id"))
+    p = points.join(roots, F.col("fp") == F.col("node"), "left")
+    p = p.select(F.col("fp").alias("p_fp"), "least", F.coalesce("root", "fp").alias("p_root"))
+    # the smallest id that is not null names a component
+    names = p.groupBy("p_root").agg(F.min("least").alias("component_id")).withColumnRenamed("p_root", "n_root")
+    p = p.join(names, F.col("p_root") == F.col("n_root")).select("p_fp", "component_id")
     return (prints.join(p, F.col("fp") == F.col("p_fp"))
             .select(F.col("doc_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     "component_id", "text_hash"))

@@ -81,6 +81,65 @@ def test_simhash_awkward_rows(docs):
     assert got[1]["fingerprint"] == "0" * 16 and got[2]["component_id"] == 1 and got[4]["component_id"] == 3
 
 
+def _fingerprint_bit_by_bit(text, shingle=4, seed=42):
+    import re
+    import xxhash
+    lower = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    grams = [" ".join(words[k:k + shingle]) for k in range(max(1, len(words) - shingle + 1))] if words else []
+    hashes = [xxhash.xxh64(g.encode(), seed=seed).intdigest() for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash_groups_match_all_pairs(spark):
+    rng = random.Random(12)
+    words = ["alpha", "Beta", "é", "d\x0bq", "x" * 40, "\u2003wide"]
+    texts = ["", None, "one", "one two three", "a b c d", " A  b\tC d "]
+    for _ in range(25):
+        base = [rng.choice(words) + str(rng.randint(0, 99)) for _ in range(rng.randint(60, 120))]
+        texts += [" ".join(base), " ".join(base[:-1] + ["changed"]), " ".join(["new"] + base)]
+    rows = [(None if k % 9 == 4 else k % 70, t) for k, t in enumerate(texts)]  # null ids, and ids with two texts
+    fps = [_fingerprint_bit_by_bit(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for i in range(len(rows)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 4:
+                parent[find(i)] = find(j)
+    ids = {}
+    for k, (i, _) in enumerate(rows):
+        ids.setdefault(find(k), []).append(i)
+    want = sorted((str(i), f"{fps[k]:016x}", str(min((x for x in ids[find(k)] if x is not None), default=None)))
+                  for k, (i, _) in enumerate(rows))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r["doc_id"]), r["fingerprint"], str(r["component_id"])) for r in simhash.simhash_groups(df).collect())
+    assert got == want and len({w[2] for w in want}) < len(rows)
+
+
+def test_simhash_of_ids_with_two_texts_and_of_null_ids(spark):
+    rng = random.Random(4)
+    a, b, c = (" ".join(f"w{rng.randint(0, 10 ** 6)}" for _ in range(300)) for _ in range(3))
+    df = spark.createDataFrame([(1, a), (1, b), (2, a), (3, b), (None, c), (None, c + " more"), (9, c + " more words")],
+                               "doc_id long, text string")
+    got = simhash.simhash_groups(df).collect()
+    prints = {}
+    for r in got:
+        prints.setdefault(r["fingerprint"], set()).add(r["component_id"])
+    assert all(len(v) == 1 for v in prints.values())
+    # 2 and 3 are copies of unrelated texts that share an id: two components, both named by it
+    assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] in (2, 3)} == {2: 1, 3: 1}
+    whole = {r["fingerprint"] for r in got if r["doc_id"] == 1}
+    assert len(whole) == 2
+    linked = [(int(x["fingerprint"], 16) ^ int(y["fingerprint"], 16)).bit_count() <= 4 for x in got for y in got
+              if x["doc_id"] is None and y["doc_id"] in (None, 9)]
+    if all(linked):  # the three texts are near: null ids bridge them
+        assert {r["component_id"] for r in got if r["doc_id"] is None} == {9}
+
+
 def test_tokens_equal_the_library():
     from tokenizers import Tokenizer
     path = public_tokenizers.path("byte_bpe_50k.json")
