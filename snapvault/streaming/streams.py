@@ -20,11 +20,13 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapvault.commits import Files, forget_snapshot
 from snapvault.functions.fixed import (
     FAILED_STATES,
     RETENTION_ARCHIVE_DAYS,
     RETENTION_EXPIRE_DAYS,
     RETENTION_INFREQUENT_DAYS,
+    SNAPSHOT_COLUMN,
     SNAPSHOT_FORMAT,
     STATUS_DETAIL_TYPE,
 )
@@ -178,19 +180,34 @@ def snapshot_partitions(spark: SparkSession, table_path: str, table_name: str) -
 
 
 def expire_snapshots(spark: SparkSession, table_path: str, table_name: str, as_of,
-                     dry_run: bool = True) -> DataFrame:
-    """Classify a table's snapshots and delete the expired partitions.
+                     dry_run: bool = True, catalog_table: str | None = None) -> DataFrame:
+    """Classify a table's snapshots and delete the expired ones, from the files and from the catalog.
 
     Returns the tiers (with each partition's path).  With ``dry_run`` (the
     default) nothing is deleted: the caller sees what would go.
+
+    An expired snapshot is marked first (an empty file ``_expired/<snapshot>``
+    below the table), then its catalog partition is dropped (``catalog_table``,
+    as ``database.table``), then its log and files, and the mark last.  A run
+    that dies in between leaves the mark, and the next one goes on from it.
     """
     parts = snapshot_partitions(spark, table_path, table_name)
     tiers = retention_tiers(parts, as_of).join(parts.select("extraction_timestamp", "path"),
                                                "extraction_timestamp")
     if not dry_run:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for row in tiers.where(F.col("tier") == "EXPIRED").select("path").collect():  # partition paths only
-            p = jvm.org.apache.hadoop.fs.Path(row["path"])
-            p.getFileSystem(conf).delete(p, True)
+        # what is returned is what was there before
+        tiers = local_frame(spark, tiers.collect(), tiers.schema)  # one row a snapshot
+        root = table_path.rstrip("/")
+        files = Files(spark, root)
+        marks = f"{root}/_expired"
+        files.make_folder(marks)
+        for row in tiers.where(F.col("tier") == "EXPIRED").select("extraction_timestamp").collect():
+            files.put_if_absent(f"{marks}/{row[0]}", "")
+        for snapshot, is_folder, _ in files.list(marks):
+            if is_folder or snapshot.startswith(".") or snapshot.endswith(".tmp"):
+                continue
+            if catalog_table:
+                spark.sql(f"ALTER TABLE {catalog_table} DROP IF EXISTS PARTITION ({SNAPSHOT_COLUMN} = '{snapshot}')")
+            forget_snapshot(spark, root, snapshot)
+            files.delete(f"{marks}/{snapshot}")
     return tiers

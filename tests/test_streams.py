@@ -114,3 +114,31 @@ def test_expire_snapshots(spark, tmp_dir):
     S.expire_snapshots(spark, path, "region", "2024-02-01", dry_run=False)
     left = {r[0] for r in spark.read.parquet(path).select("extraction_timestamp").distinct().collect()}
     assert left == {"20240101000000Z"}
+
+
+def test_expiry_in_files_and_catalog_resumes_after_a_crash(spark, tmp_dir, monkeypatch):
+    import pytest
+    from snapvault.sinks.writers import ensure_database, register_table, table_columns, write_incremental
+    from snapvault.sources.tables import scan_exported
+    path, db = os.path.join(tmp_dir, "t"), "sv_expiry"
+    df = spark.range(3).selectExpr("id", "'20200101000000Z' AS extraction_timestamp")
+    for snap in ("20200101000000Z", "20210101000000Z", "20240101000000Z"):
+        write_incremental(df.drop("extraction_timestamp"), path, snap)
+    ensure_database(spark, db)
+    register_table(spark, db, "t", table_columns(df, "incremental"), path, "incremental")
+
+    def agree():
+        listed = {r["extraction_timestamp"] for r in S.snapshot_partitions(spark, path, "t").collect()}
+        known = {r["partition"].split("=")[1] for r in spark.sql(f"SHOW PARTITIONS {db}.t").collect()}
+        return listed, known
+    assert agree() == ({"20200101000000Z", "20210101000000Z", "20240101000000Z"},) * 2
+
+    def die(*args):
+        raise KeyboardInterrupt()
+    with monkeypatch.context() as m:  # after the first catalog partition is dropped, before its files are
+        m.setattr(S, "forget_snapshot", die)
+        with pytest.raises(KeyboardInterrupt):
+            S.expire_snapshots(spark, path, "t", "2024-02-01", dry_run=False, catalog_table=f"{db}.t")
+    S.expire_snapshots(spark, path, "t", "2020-02-01", dry_run=False, catalog_table=f"{db}.t")  # nothing new: only resumes
+    assert agree() == ({"20240101000000Z"},) * 2
+    assert scan_exported(spark, path).count() == spark.table(f"{db}.t").count() == 3
