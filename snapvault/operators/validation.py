@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapvault.commits import FULL, PREFIX, Files, committed
 from snapvault.functions.fixed import ROW_NUMBER_COLUMN, SNAPSHOT_COLUMN
 from snapvault.session import local_frame
+from snapvault.sources.catalog import grouped_counts, tagged_rows
+from snapvault.sources.tables import scan_exported
 
 VALIDATION_SCHEMA = (
     "table_name string, original_row_count long, exported_row_count long, extraction_timestamp string"
 )
 MODES = ("full", "incremental")
+#: Nothing was written at the path: no folder, or one without a file to take the schema from.
+NOT_WRITTEN = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def check_mode(mode: str) -> str:
@@ -27,59 +31,38 @@ def count_exported(spark: SparkSession, tables: dict[str, str], mode: str = "inc
                    snapshot: str | None = None) -> DataFrame:
     """``COUNT(*)`` per exported table: per snapshot (incremental) or whole (full).
 
-    ``tables`` maps table name -> export path.  One scan reads the files of all
-    tables with no column at all, so Parquet answers from its footers; rows are
-    grouped by the file they come from (one row per file and task reaches the
-    shuffle), and files are summed by the table, snapshot and committed write
-    that their path names.  The plan is the same for one table and for
-    thousands, and lazy.  A named snapshot lists only its folders; an empty or
-    absent table (or snapshot) still reports 0.
+    ``tables`` maps table name -> export path.  Every table's committed rows are
+    tagged with its name (and snapshot) without reading column data, and one
+    ``groupBy`` over their union counts them all: one map stage with partial
+    aggregation and one small shuffle, lazy and of one kind for any number of
+    tables.  A snapshot filter prunes partitions; an empty or absent table (or
+    snapshot) still reports 0.
     """
     check_mode(mode)
-    per_snapshot = mode == "incremental" and snapshot is None
-    one = snapshot if mode == "incremental" else None
-
-    def locate(item):
-        """What counts as a table: (table, snapshot, folder, committed write) rows, and the folders to list."""
-        name, root = item[0], item[1].rstrip("/")
-        files, state = Files(spark, root), committed(spark, root, one)
-        rows, folders = [], []
-        if mode == "full" and (state.full or not state.newest):
-            write = state.newest[FULL][1] if state.full else None
-            return [(name, snapshot, files.uri(root), write)], [root] if files.exists(root) else []
-        for snap in sorted(set(state.newest) - {FULL} | set(state.unlogged)):
-            folder = f"{root}/{SNAPSHOT_COLUMN}={snap}"
-            if files.exists(folder):
-                rows.append((name, snapshot if mode == "full" else snap, files.uri(folder), state.newest.get(snap, (0, None))[1]))
-                folders.append(folder)
-        return rows, folders
-
-    # listing a table's log and folders is I/O bound: tables are looked up concurrently
+
+    def open_table(item):
+        name, path = item
+        try:
+            return name, scan_exported(spark, path, snapshot if mode == "incremental" else None)
+        except AnalysisException as exc:
+            if exc.getCondition() not in NOT_WRITTEN:
+                raise
+            return name, None
+
+    # opening a table reads its log, its listing and one footer on the driver: I/O
+    # bound, so tables are opened concurrently
     items = sorted(tables.items())
     with ThreadPoolExecutor(max_workers=min(16, max(1, len(items)))) as pool:
-        found = list(pool.map(locate, items))
-    places = local_frame(spark, [r for rows, _ in found for r in rows],
-                         "table_name string, extraction_timestamp string, folder string, write string")
-    folders = [f for _, fs in found for f in fs]
+        opened = list(pool.map(open_table, items))
+    per_snapshot = mode == "incremental" and snapshot is None
     keys = ["table_name", SNAPSHOT_COLUMN]
-    counts = places.select(*keys, F.lit(0).cast("long").alias("n")).limit(0)
-    if folders:
-        files = (spark.read.schema("sv_none string").option("recursiveFileLookup", "true").parquet(*folders)
-                 .groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n")))
-        # a file lies in the folder itself, or in partition folders of a table without a log
-        above = F.array_distinct(F.array(F.regexp_replace("file", "/[^/]*$", ""), F.regexp_replace("file", "(/[^/=]+=[^/]*)*/[^/]*$", "")))
-        files = files.withColumn("file", F.regexp_replace("file", "^file:/+", "file:/")).withColumn("folder", F.explode(above))
-        name = F.regexp_extract("file", "[^/]*$", 0)
-        ours = F.when(F.col("write").isNull(), ~name.startswith(PREFIX)).otherwise(
-            name.startswith(F.concat(F.lit(PREFIX), "write", F.lit("-"))))
-        counts = files.join(places, "folder").where(ours).select(*keys, "n")
-    if not per_snapshot:
-        expected = local_frame(spark, [(name, snapshot, 0) for name, _ in items], "table_name string, extraction_timestamp string, n long")
-    else:  # nothing there at all: 0, so that the row shows MISMATCH
-        expected = local_frame(spark, [(name, snapshot, 0) for (name, _), (rows, _) in zip(items, found) if not rows],
-                               "table_name string, extraction_timestamp string, n long")
-    return (counts.unionByName(expected).groupBy(*keys)
-            .agg(F.sum("n").cast("long").alias("exported_row_count")))
+    tagged = [tagged_rows(df, {"table_name": name, SNAPSHOT_COLUMN: F.col(SNAPSHOT_COLUMN) if per_snapshot else F.lit(snapshot)})
+              for name, df in opened if df is not None]
+    # tables that must report 0: all of them, or (by snapshot) those where nothing readable lies
+    expected = local_frame(spark, [(name, snapshot) for name, df in opened if df is None or not per_snapshot],
+                           "table_name string, extraction_timestamp string")
+    return (grouped_counts(tagged, keys, expected)
+            .select("table_name", SNAPSHOT_COLUMN, F.col("rows").alias("exported_row_count")))
 
 
 def init_validation(stats: DataFrame, snapshot: str) -> DataFrame:

@@ -96,11 +96,11 @@ def test_counts_of_few_and_many_tables_have_one_plan(spark, tmp_dir):
 
     def nodes(some):
         plan = VA.count_exported(spark, some)._jdf.queryExecution().executedPlan().toString()
-        assert "ReadSchema: struct<>" in plan and plan.count("FileScan parquet") == 1
-        return re.findall(r"[A-Z][A-Za-z]+(?= |\n)", re.sub(r"\[.*?\]", "", plan))[:5]
+        assert plan.count("ReadSchema: struct<>") == len(some)  # no column is read
+        return plan.count("Exchange"), plan.count("HashAggregate"), plan.count("Union")
 
     few = dict(list(paths.items())[:3])
-    assert nodes(few) == nodes(paths)
+    assert nodes(few) == nodes(paths) == (1, 2, 1)  # one shuffle, however many tables
     got = {r["table_name"]: r["exported_row_count"] for r in VA.count_exported(spark, paths, snapshot="20240101000000Z").collect()}
     assert got == {f"t{i:02d}": i for i in range(30)}
 
