@@ -4,23 +4,23 @@ Suffixes are kept at content-selected positions only: those whose ``gram``-word
 hash is the least of some window of neighbouring ones, so documents that share
 a passage of ``min_words`` words keep suffixes at the same places in it.
 Suffixes whose first ``gram`` words occur once cannot match and stop there.
-The others are sorted by their words over range partitions, so that a passage
-which many documents share is cut into as many partitions as it needs.
+The others are brought together by the hash of those words and sorted by all
+of them.  A run of suffixes that begin alike and has more than ``run_rows``
+members is cut by document into that many parts, so that no task holds more of
+it, and no keys are sampled on the driver.
 
 Each suffix is compared with its neighbours from other documents, in the order
 of the words to the right and, among suffixes that begin alike, in the order of
 the words to the left; matches are extended left and right word by word.  Where
 its best left and right extensions come from different neighbours, so that they
 may not belong to one passage, a suffix is compared by every window of
-``min_words`` words around it with all that begin alike.  The first and last suffix of each
-partition are compared once more with those of the next.
+``min_words`` words around it with all that begin alike.
 
 A suffix brings ``min_words - 1`` words on either side.  Longer passages follow
 because the next suffix of a passage is nearer than that: a document's matched
-spans are joined.  Where a run of suffixes that begin alike crosses a border of
-partitions, its members may match best in a partition they never met: the
-windows of ``min_words`` words around each of them whose least gram it is are
-grouped by their words, and those that two documents have are spans too.  The
+spans are joined.  Members of a run that was cut may match best in a part they
+never met: the windows of ``min_words`` words around each of them whose least
+gram it is are grouped by their words, and those that two documents have are spans too.  The
 least gram of a window is the same in every document, and always kept, so each
 window is grouped once for a document.
 
@@ -43,11 +43,12 @@ from snapvault.llm.patricia import common_prefix
 
 MIN_WORDS = 50
 GRAM = 16
+RUN_ROWS = 16384  # members of a run compared in one task
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 SELECTED = "doc_id long, text_hash long, hashes array<long>, places array<int>"
-CONTEXT = "hash long, doc_id long, text_hash long, places array<int>, left binary, right binary"
-FOUND = ("doc_id long, text_hash long, places array<int>, before int, after int, match_id long, border boolean, "
-         "hash long, left binary, right binary")
+CONTEXT = "hash long, part int, parts int, doc_id long, text_hash long, places array<int>, left binary, right binary"
+FOUND = ("doc_id long, text_hash long, places array<int>, before int, after int, match_id long, "
+         "left binary, right binary")
 HELD = "window binary, a long, b long, first long, last long"
 OPEN = "window binary, doc_id long, text_hash long, starts array<int>"
 
@@ -119,12 +120,14 @@ def _contexts(min_words: int, gram: int):
             for doc, text, body, places in zip(*(b.column(k).to_pylist() for k in ("doc_id", "text_hash", "body", "places"))):
                 words = body.lower().split()
                 alike: dict = {}
-                for p in sorted(set(places)):
+                parts = {p["place"]: p["parts"] for p in places}
+                me = xxhash.xxh64_intdigest(f"{doc}/{text}")
+                for p in sorted(parts):
                     key = (b" ".join(words[max(0, p - min_words + 1):p]), b" ".join(words[p:p + min_words]))
                     alike.setdefault(key, []).append(p)
                 for (left, right), ps in alike.items():
                     h = xxhash.xxh64_intdigest(b" ".join(words[ps[0]:ps[0] + gram])) - 2**63
-                    rows.append((h, doc, text, ps, left, right))
+                    rows.append((h, me % parts[ps[0]], parts[ps[0]], doc, text, ps, left, right))
                     size += len(left) + len(right)
                 if size > 4 << 20:
                     yield _batch(rows)
@@ -135,10 +138,10 @@ def _contexts(min_words: int, gram: int):
 
 
 def _batch(rows: list) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [[]] * 6
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.binary()]
+    cols = list(zip(*rows)) if rows else [[]] * 8
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                      names=["hash", "doc_id", "text_hash", "places", "left", "right"])
+                                      names=[x.split()[0] for x in CONTEXT.split(", ")])
 
 
 def shared_words(a: bytes, b: bytes) -> int:
@@ -197,7 +200,7 @@ def match_run(run: list, min_words: int) -> list[tuple[int, int, int | None]]:
             words = [(r[4].split(), r[5].split()) for r in run]
             for i, (x, y) in enumerate(words):
                 for k in range(max(0, min_words - len(y)), min(len(x), min_words - 1) + 1):
-                    key = (k, b" ".join(x[len(x) - k:] + y[:min_words - k]))
+                    key = (k, xxhash.xxh128_digest(b" ".join(x[len(x) - k:] + y[:min_words - k])))
                     for j in seen.setdefault(key, []):
                         if who[j] != who[i]:
                             settle(i, j, shared_words(left[i], left[j]), shared_words(right[i], right[j]))
@@ -209,40 +212,39 @@ def match_run(run: list, min_words: int) -> list[tuple[int, int, int | None]]:
 
 def _match(min_words: int):
     names = [x.split()[0] for x in FOUND.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(),
-             pa.binary(), pa.binary()]
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
 
     def batch(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+        cols = zip(*rows) if rows else [[]] * 8
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
-    def settled(group, edge):
-        """A run's matches; all its members with their words where it may go on in another partition."""
+    def settled(group, cut):
+        """A run's matches; all members with their words where the run has other parts."""
         for r, m in zip(group, match_run(group, min_words)):
-            if edge:
-                yield (r[1], r[2], r[3], m[0], m[1], m[2], False, r[0], r[4], r[5])
+            if cut:
+                yield (r[1], r[2], r[3], *m, r[4], r[5])
             elif m[1]:
-                yield (r[1], r[2], r[3], m[0], m[1], m[2], False, None, None, None)
+                yield (r[1], r[2], r[3], *m, None, None)
 
     def run(batches):
-        group: list = []
-        last, out, edge = None, [], True
+        group, at, cut, out, size = [], None, False, [], 0
         for b in batches:
-            for row in zip(*(b.column(k).to_pylist() for k in ("hash", "doc_id", "text_hash", "places", "left", "right"))):
-                if last is None:
-                    out.append((row[1], row[2], row[3], 0, 0, None, True, row[0], row[4], row[5]))
-                if group and row[0] != group[-1][0]:
-                    out.extend(settled(group, edge))
-                    group, edge = [], False
-                    if len(out) > 20_000:
-                        yield batch(out)
-                        out = []
-                group.append(row)
-                last = row
-        if group:
-            out.extend(settled(group, True))
-            out.append((last[1], last[2], last[3], 0, 0, None, True, last[0], last[4], last[5]))
-        for k in range(0, len(out), 20_000):
-            yield batch(out[k:k + 20_000])
+            for h, part, parts, *row in zip(*(b.column(k).to_pylist() for k in (
+                    "hash", "part", "parts", "doc_id", "text_hash", "places", "left", "right"))):
+                if (h, part) != at:
+                    for found in settled(group, cut):
+                        out.append(found)
+                        size += 100 + len(found[6] or b"") + len(found[7] or b"")
+                        if size > 4 << 20:
+                            yield batch(out)
+                            out, size = [], 0
+                    group, at, cut = [], (h, part), parts > 1
+                row = (h, *row)
+                if not group or row != group[-1]:  # rows that repeat id and text stand next to each other
+                    group.append(row)
+        out.extend(settled(group, cut))
+        for k in range(0, len(out), 5000):
+            yield batch(out[k:k + 5000])
 
     return run
 
@@ -336,21 +338,14 @@ def _open_windows(min_words: int, gram: int):
     return run
 
 
-def across_borders(found: DataFrame, min_words: int, gram: int) -> DataFrame:
-    """Further spans of the runs that cross a border of the sorted partitions.
+def across_parts(found: DataFrame, min_words: int, gram: int) -> DataFrame:
+    """Further spans of the runs that were cut into parts.
 
-    A run crosses a border when two partitions end or begin with its hash:
-    there are fewer such hashes than partitions.  Windows that two documents
-    have are counted over all members, those of one batch once, each by the
-    suffix that answers for it; only those that no match covers yet look
-    themselves up.
+    Windows that two documents have are counted over all members, those of one
+    batch once, each by the suffix that answers for it; only those that no
+    match covers yet look themselves up.
     """
-    ends = found.where("border").groupBy("hash").agg(F.min("part").alias("a"), F.max("part").alias("b"))
-    wide = ends.where("a <> b").select(F.col("hash").alias("w_hash"))
-    # fewer rows than partitions: broadcast, so that a run's members stay spread over the partitions that sorted them
-    members = (found.where("not border and hash is not null")
-               .join(F.broadcast(wide), F.col("hash") == F.col("w_hash"), "left_semi")
-               .select("doc_id", "text_hash", "places", "before", "after", "left", "right"))
+    members = found.where("right is not null")
     shared = (members.select(F.xxhash64("doc_id", "text_hash").alias("who"), "doc_id", "left", "right")
               .mapInArrow(_held_windows(min_words, gram), HELD).groupBy("window")
               .agg(F.min("a").alias("a"), F.max("b").alias("b"), F.min("first").alias("match_id"), F.max("last").alias("last_id"))
@@ -363,7 +358,7 @@ def across_borders(found: DataFrame, min_words: int, gram: int) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-                      gram: int = GRAM) -> DataFrame:
+                      gram: int = GRAM, run_rows: int = RUN_ROWS) -> DataFrame:
     """One row per passage that a document shares with another: id, start_word, end_word, n_words, match_id."""
     if gram < 2 or min_words < 2 * gram + 2:
         raise ValueError("min_words must be at least 2 * gram + 2")
@@ -375,26 +370,22 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     each = each.select("doc_id", "text_hash", F.col("s.hashes").alias("h"), F.col("s.places").alias("place"))
     # only beginnings that two documents have can match
     who = F.xxhash64("doc_id", "text_hash")
-    twice = stored(each.groupBy("h").agg(F.min(who).alias("a"), F.max(who).alias("b")).where("a <> b")
-                   .select(F.col("h").alias("t_h")), "shared-beginnings")  # so that Spark can split a hot one in the join
-    places = (each.join(twice, F.col("h") == F.col("t_h"), "left_semi")
+    twice = stored(each.groupBy("h").agg(F.min(who).alias("a"), F.max(who).alias("b"), F.count("*").alias("n")).where("a <> b")
+                   .select(F.col("h").alias("t_h"), F.ceil(F.col("n") / run_rows).cast("int").alias("parts")), "shared-beginnings")  # so that Spark can split a hot one in the join
+    places = (each.join(twice, F.col("h") == F.col("t_h"))
               # a document's positions: no more than its words
               .groupBy(F.col("doc_id").alias("p_id"), F.col("text_hash").alias("p_h"))
-              .agg(F.collect_list("place").alias("places")))
+              .agg(F.collect_list(F.struct("place", "parts")).alias("places")))
     around = stored(rows.join(places, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("text_hash") == F.col("p_h")))
                     .select("doc_id", "text_hash", "body", "places").mapInArrow(_contexts(min_words, gram), CONTEXT),
                     "suffix-contexts", codec="zstd")  # surroundings of neighbouring suffixes overlap
-    keys = ["hash", "right", "left", "doc_id"]
-    found = stored(around.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(_match(min_words), FOUND)
-                   .withColumn("part", F.spark_partition_id()), "suffix-matches", codec="zstd")
-    # two suffixes a partition meet their neighbours across its borders
-    borders = (found.where("border").select("hash", "doc_id", "text_hash", "places", "left", "right")
-               .repartition(1).sortWithinPartitions(*keys).mapInArrow(_match(min_words), FOUND))
-    matched = (found.where("not border").drop("part").unionByName(borders.where("not border"))
-               .where("after > 0"))
+    found = stored(around.repartition("hash", "part")
+                   .sortWithinPartitions("hash", "part", "right", "left", "doc_id", "text_hash")
+                   .mapInArrow(_match(min_words), FOUND), "suffix-matches", codec="zstd")
+    matched = found.where("after > 0")
     spans = matched.select("doc_id", "text_hash", "match_id", F.explode("places").alias("p"), "before", "after").select(
         "doc_id", "text_hash", "match_id", (F.col("p") - F.col("before")).alias("s"), (F.col("p") + F.col("after")).alias("e"))
-    spans = spans.unionByName(across_borders(found, min_words, gram))
+    spans = spans.unionByName(across_parts(found, min_words, gram))
     inside = Window.partitionBy("doc_id", "text_hash").orderBy("s", "e")
     reach = F.max("e").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     joined = (spans.withColumn("new", F.when(F.col("s") <= reach, 0).otherwise(1))
