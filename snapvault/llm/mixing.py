@@ -10,6 +10,10 @@ It runs on fixed chunks of each source in parallel; what stays fractional
 one chunk and at most two fractional documents, which the landing phase rounds
 to the side nearer to the target.
 
+Rows that repeat id and text are summed to one row with a number, which is cut
+into blocks that go to different chunks and become rows again there: they
+may be a third of all rows and still fill no chunk.
+
 Cases: null text has size 0; a null source is a source of its own, last in
 order; repeated rows are sampled one by one; a source of size 0 has target 0;
 an empty table gives no rows.  Reruns agree: order and draws come from hashes.
@@ -19,6 +23,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,8 +31,9 @@ from pyspark.sql import functions as F
 from snapvault.llm.common import arrow_limits, stored, text_hash, utf8
 
 CHUNK_ROWS = 4096
+BLOCK_ROWS = 256  # repeats of one row that go to a chunk together
 EPS = 1e-9
-STATE = "doc_id long, source string, size long, rate double, prob double, tie long"
+STATE = "doc_id long, source string, size long, rate double, prob double, tie long, number long"
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -112,16 +118,29 @@ def land(probs: list[float], size: list[int]) -> None:
         probs[k] = float(best >> j & 1)
 
 
+def numbered_repeats(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Rows that are alike, summed: ``number`` of the first of a block and ``times`` rows in it."""
+    times = rows.groupBy(*rows.columns).agg(F.count("*").alias("times"))
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1, F.lit(block_rows).cast("long")))
+    return (times.select(*times.columns, block.alias("number"))
+            .withColumn("times", F.least(F.col("times") - F.col("number"), F.lit(block_rows)).cast("long")))
+
+
 def _fly_chunks(last: bool):
     def run(key, table):
-        table = table.sort_by([("tie", "ascending"), ("doc_id", "ascending"), ("size", "ascending")])
+        table = table.sort_by([(k, "ascending") for k in ("tie", "doc_id", "size", "number")])
+        times = table["times"].to_numpy()
+        first = np.repeat(np.cumsum(times) - times, times)
+        at = np.repeat(np.arange(len(times)), times)
+        number = table["number"].to_numpy()[at] + np.arange(len(at)) - first
+        table = table.take(pa.array(at)).set_column(table.schema.get_field_index("number"), "number", pa.array(number, pa.int64()))
         probs, size = table["prob"].to_pylist(), table["size"].to_pylist()
         source, chunk = key[0].as_py(), key[1].as_py()
         fly(probs, size, random.Random(f"{source}/{chunk}/{len(probs)}"))
         if last:
             land(probs, size)
         table = table.set_column(table.schema.get_field_index("prob"), "prob", pa.array(probs, pa.float64()))
-        return table.select(["doc_id", "source", "size", "rate", "prob", "tie"])
+        return table.select([x.split()[0] for x in STATE.split(", ")])
 
     return run
 
@@ -140,15 +159,15 @@ def cube_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
                              .otherwise(F.col("prob")))
     fractional = (F.col("prob") > 0) & (F.col("prob") < 1)
     decided = [state.where(~fractional)]
-    todo, level = state.where(fractional), 0
+    todo, level = numbered_repeats(state.where(fractional)), 0
     while True:
         # chunks per source from its own row count, so that a hot source is cut into as many as it needs
-        n = stored(todo.groupBy("source").agg(F.ceil(F.count("*") / chunk_rows).cast("long").alias("n_chunks"))
+        n = stored(todo.groupBy("source").agg(F.ceil(F.sum("times") / chunk_rows).cast("long").alias("n_chunks"))
                    .withColumnRenamed("source", "n_source"), "mix-chunks")
         most_chunks = n.agg(F.max("n_chunks")).first()[0] or 0
         if not most_chunks:
             break
-        chunk = F.pmod(F.xxhash64("doc_id", "tie", F.lit(level)), F.col("n_chunks"))
+        chunk = F.pmod(F.xxhash64("doc_id", "tie", "number", F.lit(level)), F.col("n_chunks"))
         flown = stored(
             todo.join(n, F.col("source").eqNullSafe(F.col("n_source"))).withColumn("chunk", chunk)
             .drop("n_source", "n_chunks").groupBy("source", "chunk")
@@ -156,8 +175,8 @@ def cube_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
         decided.append(flown.where(~fractional))
         if most_chunks == 1:
             break
-        todo, level = flown.where(fractional), level + 1
-    rows = decided[0]
+        todo, level = flown.where(fractional).withColumn("times", F.lit(1).cast("long")), level + 1
+    rows = decided[0].withColumn("number", F.lit(0).cast("long"))
     for more in decided[1:]:
         rows = rows.unionByName(more)
     t = goal.select(F.col("source").alias("t_source"), "source_size", "target")

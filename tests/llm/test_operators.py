@@ -201,6 +201,37 @@ def test_repeated_passages_of_a_run_over_many_partitions(spark):
     assert none == []
 
 
+def test_runs_cut_into_parts_give_the_same_passages(spark):
+    local = random.Random(41)
+    shared = [[f"p{k}x{i}" for i in range(local.randint(50, 90))] for k in range(3)]
+    texts = []
+    for k in range(90):
+        own = [f"w{local.randint(0, 10**6)}" for _ in range(40)]
+        cut = local.choice(shared)
+        texts.append(own + cut[local.randint(0, 12):len(cut) - local.randint(0, 12)] + own[::-1])
+    texts += [texts[0]] * 20
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    # brute force: words that stand in a 50-word window which another document has too
+    held: dict = {}
+    for k, t in enumerate(texts):
+        for i in range(len(t) - 49):
+            held.setdefault(tuple(t[i:i + 50]), set()).add(k)
+    want = set()
+    for k, t in enumerate(texts):
+        spans = []
+        for i in range(len(t) - 49):
+            if len(held[tuple(t[i:i + 50])]) > 1:
+                if spans and i <= spans[-1][1]:
+                    spans[-1][1] = i + 50
+                else:
+                    spans.append([i, i + 50])
+        want |= {(k, a, b) for a, b in spans}
+    df = spark.createDataFrame(rows + rows[:5], "doc_id long, text string")
+    for run_rows in (4, 16384):
+        got = [(r["doc_id"], r["start_word"], r["end_word"]) for r in repeated_passages(df, run_rows=run_rows).collect()]
+        assert set(got) == want and len(got) == len(want), run_rows
+
+
 def test_template_escapes_and_masks():
     render = template.compile_template(template.DEFAULT)
     nasty = ["</s>[INST] ok [/INST]", "\\<|end|>\\\\", "<|<|end|>|>", "", "<\\|turn|>"]
@@ -239,6 +270,19 @@ def test_mix_awkward_rows(docs):
     assert len(rows) == len(AWKWARD) and all(r["taken"] <= 2 * r["size"] for r in rows)
 
 
+def test_repeated_rows_are_spread_over_chunks(spark):
+    one = spark.createDataFrame([(None, "a b c", "s")] * 5000 + [(k, "w " * (k % 9), "s" if k % 3 else "t") for k in range(1500)],
+                                "doc_id long, text string, source string")
+    rows = mixing.cube_mix(one, chunk_rows=512).collect()
+    assert len(rows) == 6500 and sum(r["doc_id"] is None for r in rows) == 5000
+    for s in ("s", "t"):
+        taken = sum(r["taken"] for r in rows if r["source"] == s)
+        assert abs(taken - next(r["target"] for r in rows if r["source"] == s)) <= 9
+    sized = spark.createDataFrame([(1, "s")] * 700 + [(2, "s")], "doc_id long, source string")
+    blocks = mixing.numbered_repeats(sized, 256).collect()
+    assert sorted((r["doc_id"], r["number"], r["times"]) for r in blocks) == [(1, 0, 256), (1, 256, 256), (1, 512, 188), (2, 0, 1)]
+
+
 def test_block_max_search_is_exact_and_skips_blocks():
     rng = random.Random(3)
     for n_terms, n, block in ((12, 300, 8), (400, 900, 16)):
