@@ -43,7 +43,7 @@ from snapvault.llm.patricia import common_prefix
 
 MIN_WORDS = 50
 GRAM = 16
-RUN_ROWS = 16384  # members of a run compared in one task
+RUN_ROWS = 4096  # members of a run compared in one task
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 SELECTED = "doc_id long, text_hash long, hashes array<long>, places array<int>"
 CONTEXT = "hash long, part int, parts int, doc_id long, text_hash long, places array<int>, left binary, right binary"
