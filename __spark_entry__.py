@@ -327,6 +327,22 @@ def q_target_file_size(spark, sf_dir):
     ).select(F.lit("lineitem").alias("table_name"), "rows", "within_limit")
 
 
+def q_target_file_bytes(spark, sf_dir):
+    """Export documents (1 to thousands of words a row) with files of a target size in bytes; check every file but the smallest."""
+    docs = _strings_with_snapshot(_t(spark, sf_dir, "documents"), SNAP_1)
+    path, target = scratch_path(spark, "target-file-bytes"), 64 << 10
+    write_full(docs, path, target_bytes=target)
+    back = spark.read.parquet(path)
+    per_file = (back.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("size"),
+                            F.octet_length("text").alias("text_bytes"))
+                .groupBy("f").agg(F.first("size").alias("size"), F.count("*").alias("rows"), F.sum("text_bytes").alias("b")))
+    # a row longer than the target is a file of its own
+    fits = (F.col("size") <= 2 * target) | (F.col("rows") == 1)
+    return per_file.agg(
+        F.sum("rows").cast("long").alias("rows"), F.sum("b").cast("long").alias("text_bytes"), F.bool_and(fits).alias("none_above"),
+        (F.count_if(F.col("size") < target / 2) <= 1).alias("one_below_at_most"))
+
+
 def q_register_table(spark, sf_dir):
     path = scratch_path(spark, "register-table")
     df = _strings_with_snapshot(_t(spark, sf_dir, "orders"), SNAP_1)
@@ -504,6 +520,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "write_full": q_write_full,
         "write_incremental": q_write_incremental,
         "target_file_size": q_target_file_size,
+        "target_file_bytes": q_target_file_bytes,
         "register_table": q_register_table,
         "init_validation": q_init_validation,
         "upsert_validation": q_upsert_validation,
@@ -762,6 +779,8 @@ FROM pages""",
         "write_incremental": f"{orders_snap(SNAP_1)} UNION ALL {orders_snap(SNAP_2)}",
         "target_file_size": "SELECT 'lineitem' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows, TRUE AS within_limit "
                             "FROM lineitem",
+        "target_file_bytes": "SELECT COUNT(*) AS rows, CAST(SUM(octet_length(encode(text))) AS BIGINT) AS text_bytes, "
+                             "TRUE AS none_above, TRUE AS one_below_at_most FROM documents",
         "register_table": orders_snap(SNAP_1),
         "init_validation": f"SELECT table_name, original_row_count, CAST(NULL AS DOUBLE) AS exported_row_count, "
                            f"'{SNAP_1}' AS extraction_timestamp FROM ({counts})",

@@ -94,6 +94,8 @@ class ExportConfig:
     # data per task when a table is re-partitioned (key order, numbering) or
     # read over JDBC; files stay at target_mb through maxRecordsPerFile
     partition_mb: float = 256.0
+    # cut files that are off target_mb by more than a factor of two anew before the commit
+    fit_files: bool = False
     # where failed tables are reported as status events (read by stream_failures)
     events_path: str | None = None
     machine_arn: str = "snapvault:export"
@@ -255,12 +257,13 @@ def _export_one(source, plan: ExportPlan, cfg: ExportConfig, meta: dict, table:
                 expired: threading.Event) -> tuple:
     df = _prepare_table(source, plan, cfg, meta)
     limit = target_records_per_file(meta["rows_per_chunk"])
+    target = int(cfg.target_mb * (1 << 20)) if cfg.fit_files else None
     if expired.is_set():  # the limit passed between two jobs, when there was none to cancel
         raise TimeoutError(table)
     if cfg.mode == "full":
-        write_full(df, path, limit)
+        write_full(df, path, limit, target)
     else:
-        write_incremental(df, path, cfg.snapshot, limit)
+        write_incremental(df, path, cfg.snapshot, limit, target_bytes=target)
     if cfg.register:
         register_table(source.spark, cfg.database, table, table_columns(df, cfg.mode), path, cfg.mode,
                        ", ".join(meta["primary_key"] or []),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from snapvault import commits
 from snapvault.functions.fixed import ROW_NUMBER_COLUMN, SNAPSHOT_COLUMN, table_properties
+from snapvault.sinks.filesize import fit_files
 
 
 def _writer(df: DataFrame, max_records: int | None):
@@ -22,25 +23,44 @@ def _writer(df: DataFrame, max_records: int | None):
     return w
 
 
-def write_full(df: DataFrame, path: str, max_records_per_file: int | None = None) -> str:
-    """Replace everything at ``path`` with ``df``, once all of it is written."""
-    commits.replace(df.sparkSession, path, lambda stage: _writer(df, max_records_per_file).save(stage), None)
+def _staged(df: DataFrame, max_records: int | None, target_bytes: int | None):
+    """Write ``df`` into a staging folder, then bring its files to the target size if one is named."""
+    def write(stage: str) -> None:
+        _writer(df, max_records).save(stage)
+        if target_bytes:
+            fit_files(df.sparkSession, stage, int(target_bytes))
+
+    return write
+
+
+def write_full(df: DataFrame, path: str, max_records_per_file: int | None = None,
+               target_bytes: int | None = None) -> str:
+    """Replace everything at ``path`` with ``df``, once all of it is written.
+
+    ``target_bytes``: files off that size by more than a factor of two are cut
+    anew before the commit (``snapvault.sinks.filesize``).
+    """
+    commits.replace(df.sparkSession, path, _staged(df, max_records_per_file, target_bytes), None)
     return path
 
 
 def write_incremental(df: DataFrame, path: str, snapshot: str | None = None,
-                      max_records_per_file: int | None = None, expected_version: int | None = None) -> str:
+                      max_records_per_file: int | None = None, expected_version: int | None = None,
+                      target_bytes: int | None = None) -> str:
     """Write ``df`` as snapshot partition(s) under ``path``; other snapshots stay.
 
     Exactly the snapshots present in ``df`` (or the one named, which an empty
     frame replaces too) are replaced, so a retried write does not duplicate
     rows.  ``expected_version`` fails the write (``CommitConflict``) if another
     writer has committed the named snapshot since that version was read.
+    ``target_bytes`` is as in ``write_full`` and needs a named snapshot.
     """
+    if target_bytes and snapshot is None:
+        raise ValueError("target_bytes needs a named snapshot")
     if snapshot is not None:
         one = df.drop(SNAPSHOT_COLUMN)
-        commits.replace(df.sparkSession, path, lambda stage: _writer(one, max_records_per_file).save(stage),
-                        [snapshot], expected_version)
+        commits.replace(df.sparkSession, path, _staged(one, max_records_per_file, target_bytes), [snapshot],
+                        expected_version)
         return path
     if SNAPSHOT_COLUMN not in df.columns:
         raise ValueError(f"incremental writes need a {SNAPSHOT_COLUMN} column")
@@ -67,6 +87,10 @@ def target_records_per_file(rows_per_chunk: int | None) -> int | None:
 
 # ---------------------------------------------------------------- catalog entries
 
+#: Endings of the names that an entry has while it is replaced.
+NEXT, FORMER = "__sv_next", "__sv_former"
+
+
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -114,6 +138,7 @@ def register_table(spark: SparkSession, database: str, table: str, columns: list
     Returns ``created``, ``unchanged`` or ``updated``.  Incremental tables are
     partitioned by the snapshot column.
     """
+    _finish_swap(spark, database, table)
     existing = current_columns(spark, database, table)
     if existing is not None:
         drifted = _normal(existing) != _normal(columns)  # two short lists: no job
@@ -159,9 +184,57 @@ def _create(spark, database, table, columns, location, mode, primary_key, descri
 
 def update_metadata(spark: SparkSession, database: str, table: str, columns, location, mode,
                     primary_key: str = "", description: str | None = None) -> None:
-    """Replace an external table's declared columns (data files are untouched)."""
-    spark.sql(f"DROP TABLE IF EXISTS {_q(database)}.{_q(table)}")
-    _create(spark, database, table, columns, location, mode, primary_key, description)
+    """Change an external table's declared columns, location or mode (data files are untouched).
+
+    Added columns, the commonest drift, and a new location of a full table
+    change the entry in place, so readers find it all the time.  The catalog
+    cannot drop or retype columns in place: there the new entry, with all its
+    partitions, is made beside the old one and takes its name by two renames;
+    one that was killed between them is finished by the next registration.
+    """
+    name = f"{_q(database)}.{_q(table)}"
+    _finish_swap(spark, database, table)
+    now = spark.catalog.listColumns(f"{database}.{table}") if spark.catalog.tableExists(f"{database}.{table}") else None
+    if now is None:
+        _create(spark, database, table, columns, location, mode, primary_key, description)
+        return
+    held = {c.name.lower(): c.dataType.lower() for c in now}
+    same_mode = any(c.isPartition for c in now) == (mode == "incremental")
+    moved = not _same_path(spark, table_location(spark, database, table), location)
+    kept = set(_normal([(c.name, c.dataType) for c in now])) <= set(_normal(columns))
+    if same_mode and kept and not (moved and mode == "incremental"):
+        new = [(n, t) for n, t in columns if n.lower() not in held]
+        if new:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_column_ddl(new)})")
+        if moved:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION {_lit(location)}")
+        props = ", ".join(f"{_lit(k)} = {_lit(v)}" for k, v in table_properties(primary_key).items())
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({props})")
+        if description:
+            spark.sql(f"COMMENT ON TABLE {name} IS {_lit(description)}")
+        spark.sql(f"REFRESH TABLE {name}")
+        if mode == "incremental":
+            refresh_partitions(spark, database, table)
+        return
+    following, former = table + NEXT, table + FORMER
+    _create(spark, database, following, columns, location, mode, primary_key, description)
+    spark.sql(f"ALTER TABLE {name} RENAME TO {_q(database)}.{_q(former)}")
+    _finish_swap(spark, database, table)
+
+
+def _finish_swap(spark: SparkSession, database: str, table: str) -> None:
+    """Bring a replaced entry to its end: the new one takes the free name, otherwise it never counted."""
+    def exists(name: str) -> bool:
+        return spark.catalog.tableExists(f"{database}.{name}")
+
+    following, former = table + NEXT, table + FORMER
+    if exists(following):
+        if exists(former) and not exists(table):
+            spark.sql(f"ALTER TABLE {_q(database)}.{_q(following)} RENAME TO {_q(database)}.{_q(table)}")
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {_q(database)}.{_q(following)}")
+    if exists(former):
+        spark.sql(f"DROP TABLE IF EXISTS {_q(database)}.{_q(former)}")
 
 
 def refresh_partitions(spark: SparkSession, database: str, table: str) -> None:
