@@ -37,7 +37,9 @@ from snapvault.operators.validation import (  # noqa: E402
     columns_frame, count_exported, init_validation, latest_per_table, reconcile_counts,
     schema_drift, upsert_validation,
 )
-from snapvault.plans.chunks import distinct_tables, plan_chunks, table_sizes  # noqa: E402
+from snapvault.plans.chunks import (  # noqa: E402
+    check_ranges, chunk_files, distinct_tables, file_ranges, plan_chunks, plan_tables, table_sizes,
+)
 from snapvault.plans.jobs import ExportConfig, export_tables, plan_export, run_export, validate_export  # noqa: E402
 from snapvault.session import prepare, scratch_path  # noqa: E402
 from snapvault.sinks.writers import (  # noqa: E402
@@ -301,6 +303,20 @@ def q_plan_chunks(spark, sf_dir):
     return _plan(spark, sf_dir)
 
 
+def q_chunk_files(spark, sf_dir):
+    """Export orders with one file for each planned row range, and check plan and files against each other."""
+    cat = _src(spark, sf_dir).catalog(["orders"])
+    sizes, keys = table_sizes(cat.space_used), primary_keys(cat).where("table_name = 'orders'")
+    one = plan_tables(sizes, keys, TARGET_MB).first()  # one row: the table's
+    path = scratch_path(spark, "chunk-files")
+    numbered = row_number_pk(_t(spark, sf_dir, "orders"), ["o_orderkey"])
+    write_full(chunk_files(numbered, one["rows_per_chunk"], one["n_chunks"], 3), path, one["rows_per_chunk"])
+    plan = plan_chunks(sizes, keys, DATABASE, TARGET_MB)
+    return check_ranges(plan, file_ranges(spark.read.parquet(path), ["o_orderkey"])).select(
+        "chunk_index", "start_row", "end_row", "n_rows", F.col("first_key.o_orderkey").alias("first_key"),
+        F.col("last_key.o_orderkey").alias("last_key"), "status")
+
+
 def q_write_full(spark, sf_dir):
     path = scratch_path(spark, "write-full")
     df = _strings_with_snapshot(_t(spark, sf_dir, "orders"), SNAP_1)
@@ -517,6 +533,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "target_path": q_target_path,
         "failure_message": q_failure_message,
         "plan_chunks": q_plan_chunks,
+        "chunk_files": q_chunk_files,
         "write_full": q_write_full,
         "write_incremental": q_write_incremental,
         "target_file_size": q_target_file_size,
@@ -775,6 +792,12 @@ FROM pages""",
         "failure_message": "SELECT c_custkey, 'Failed to extract data for ' || c_name || ' table.' AS message "
                            "FROM customer",
         "plan_chunks": _plan_sql(),
+        "chunk_files": f"""
+SELECT p.chunk_index, p.start_row, p.end_row, COUNT(*) AS n_rows, MIN(o_orderkey) AS first_key,
+       MAX(o_orderkey) AS last_key, 'BOUND' AS status
+FROM ({_plan_sql()}) p JOIN (SELECT o_orderkey, ROW_NUMBER() OVER (ORDER BY o_orderkey) AS rn FROM orders) o
+  ON o.rn BETWEEN p.start_row AND p.end_row
+WHERE p.table_name = 'orders' GROUP BY ALL""",
         "write_full": orders_snap(SNAP_1),
         "write_incremental": f"{orders_snap(SNAP_1)} UNION ALL {orders_snap(SNAP_2)}",
         "target_file_size": "SELECT 'lineitem' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows, TRUE AS within_limit "

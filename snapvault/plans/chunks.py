@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapvault.functions.fixed import DEFAULT_TARGET_FILE_MB
+from snapvault.functions.fixed import DEFAULT_TARGET_FILE_MB, ROW_NUMBER_COLUMN
 from snapvault.functions.values import num_chunks, parse_size_kb, row_size_kb, rows_per_chunk
 
 PLAN_COLUMNS = ["database", "table_schema", "table_name", "rows", "rows_per_chunk",
@@ -88,6 +88,53 @@ def plan_chunks(sizes: DataFrame, keys: DataFrame, database: str,
     )
 
 
+def chunk_files(numbered: DataFrame, per_chunk: int, n_chunks: int, tasks: int,
+                column: str = ROW_NUMBER_COLUMN) -> DataFrame:
+    """A numbered table whose partitions begin and end where planned chunks do.
+
+    Each of about ``tasks`` partitions holds a whole number of chunks in order
+    of their row numbers, so a writer with ``maxRecordsPerFile = per_chunk``
+    makes every chunk a file of its own.  Rows beyond the plan (the source has
+    grown since) go on in the last partition.
+    """
+    each = max(1, -(-int(n_chunks) // max(1, int(tasks))))
+    parts = -(-int(n_chunks) // each)
+    part = F.least(F.floor((F.col(column) - 1) / (int(per_chunk) * each)), F.lit(parts - 1)).cast("int")
+    return (numbered.withColumn("__sv_part", part).repartitionById(parts, F.col("__sv_part"))
+            .sortWithinPartitions(column).drop("__sv_part"))
+
+
+def file_ranges(exported: DataFrame, pk: list[str], column: str = ROW_NUMBER_COLUMN) -> DataFrame:
+    """One row per file of a table that keeps its row numbers: first and last row and key, and its rows.
+
+    ``exported`` comes straight from a reader (``scan_exported``).  Only the
+    key and the row number are read, and summed up by file before the shuffle.
+    """
+    key = F.struct(*[F.col(f"`{c}`") for c in pk])
+    row = F.col(f"`{column}`").cast("long")
+    return exported.groupBy(F.input_file_name().alias("file")).agg(
+        F.min(row).alias("first_row"), F.max(row).alias("last_row"), F.count("*").alias("n_rows"),
+        F.min_by(key, row).alias("first_key"), F.max_by(key, row).alias("last_key"))
+
+
+def check_ranges(chunks: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Planned chunks of one table against its files.
+
+    status: ``BOUND`` (one file holds the range and nothing else), ``SPLIT``
+    (a file begins the range but is not all of it), ``MISSING`` (no file begins
+    it; an empty range is bound without one) or ``UNPLANNED`` (a file that
+    begins elsewhere).
+    """
+    planned = chunks.select("chunk_index", "start_row", "end_row")
+    files = ranges.where("n_rows > 0")
+    status = (F.when(F.col("start_row").isNull(), "UNPLANNED")
+              .when(F.col("first_row").isNull(), F.when(F.col("end_row") < F.col("start_row"), "BOUND").otherwise("MISSING"))
+              .when((F.col("last_row") == F.col("end_row"))
+                    & (F.col("n_rows") == F.col("end_row") - F.col("start_row") + 1), "BOUND").otherwise("SPLIT"))
+    return (planned.join(files, F.col("start_row") == F.col("first_row"), "full")
+            .select("chunk_index", "start_row", "end_row", "file", "n_rows", "first_key", "last_key", status.alias("status")))
+
+
 def distinct_tables(chunks: DataFrame, keys=("database", "table_name")) -> DataFrame:
     """Unique (database, table) pairs of a chunk list or chunk results."""
     return chunks.select(*keys).distinct()

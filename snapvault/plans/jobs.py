@@ -46,7 +46,7 @@ from snapvault.operators.validation import (
     reconcile_counts,
     upsert_validation,
 )
-from snapvault.plans.chunks import plan_chunks, plan_tables, table_sizes
+from snapvault.plans.chunks import chunk_files, plan_chunks, plan_tables, table_sizes
 from snapvault.session import local_frame
 from snapvault.streaming.streams import status_events_from_runs
 from snapvault.sources.tables import scan_exported
@@ -94,6 +94,8 @@ class ExportConfig:
     # data per task when a table is re-partitioned (key order, numbering) or
     # read over JDBC; files stay at target_mb through maxRecordsPerFile
     partition_mb: float = 256.0
+    # every planned row range of a keyed table is one file (needs keep_row_number; one more shuffle)
+    bind_chunks: bool = False
     # cut files that are off target_mb by more than a factor of two anew before the commit
     fit_files: bool = False
     # where failed tables are reported as status events (read by stream_failures)
@@ -109,6 +111,8 @@ class ExportConfig:
 
     def __post_init__(self):
         check_mode(self.mode)
+        if self.bind_chunks and (self.fit_files or not self.keep_row_number):
+            raise ValueError("bind_chunks needs keep_row_number and excludes fit_files")
         if self.snapshot is None:
             self.snapshot = new_snapshot_id()
 
@@ -192,6 +196,8 @@ def _prepare_table(source, plan: ExportPlan, cfg: ExportConfig, meta: dict) -> D
     rv = [name for name, source_type, _ in cols if source_type.lower() in ROWVERSION_TYPES]
     if cfg.keep_row_number and pk:
         df = row_number_pk(df, pk, num_partitions=tasks)
+        if cfg.bind_chunks and meta["rows_per_chunk"]:
+            df = chunk_files(df, meta["rows_per_chunk"], meta["n_chunks"], tasks)
     elif cfg.order_by_key and pk:
         df = key_ordered(df, pk, tasks)
     if cfg.typed:

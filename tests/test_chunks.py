@@ -6,7 +6,7 @@ from conftest import SF
 from snapvault.operators.metadata import primary_keys
 from snapvault.operators.numbering import key_ordered, row_number_pk, scan_chunked
 from snapvault.operators.projections import chunk_bounds, filter_row_range
-from snapvault.plans.chunks import distinct_tables, plan_chunks, table_sizes
+from snapvault.plans.chunks import check_ranges, chunk_files, distinct_tables, file_ranges, plan_chunks, table_sizes
 
 
 def test_plan_chunks_on_fixture(catalog):
@@ -36,6 +36,27 @@ def test_chunks_tile_rows_exactly(spark):
     assert covered == list(range(1, 10008))
 
 
+def test_files_hold_planned_chunks_and_others_are_told(spark, tmp_dir):
+    n, per = 1003, 100
+    rows = spark.range(n).selectExpr("id + 1 AS rn", "id * 7 AS k")
+    plan = spark.createDataFrame([(i, i * per + 1, min((i + 1) * per, n)) for i in range(11)],
+                                 "chunk_index int, start_row long, end_row long")
+    for tasks in (1, 3, 50):
+        path = f"{tmp_dir}/bound{tasks}"
+        chunk_files(rows.repartition(5), per, 11, tasks).write.option("maxRecordsPerFile", per).parquet(path)
+        got = check_ranges(plan, file_ranges(spark.read.parquet(path), ["k"])).collect()
+        assert len(got) == 11 and {r["status"] for r in got} == {"BOUND"}
+        assert all(r["first_key"]["k"] == 7 * (r["start_row"] - 1) for r in got)
+    # files cut elsewhere: the first chunk's file is too long, the second one's rows lie in it, one begins in between
+    path = f"{tmp_dir}/loose"
+    rows.coalesce(1).sortWithinPartitions("rn").write.option("maxRecordsPerFile", 150).parquet(path)
+    loose = [r["status"] for r in check_ranges(plan, file_ranges(spark.read.parquet(path), ["k"])).collect()]
+    assert loose.count("SPLIT") == 4 and loose.count("UNPLANNED") == 3 and loose.count("MISSING") == 7
+    # an empty range needs no file
+    none = spark.createDataFrame([(0, 1, 0)], plan.schema)
+    assert [r["status"] for r in check_ranges(none, file_ranges(rows.limit(0), ["k"])).collect()] == ["BOUND"]
+
+
 def test_row_number_range_equals_window(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     a = row_number_pk(orders, ["o_orderkey"], num_partitions=6)

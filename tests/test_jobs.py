@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from snapvault.operators.projections import add_snapshot, project_strings
+from snapvault.plans.chunks import check_ranges, file_ranges
 from snapvault.plans.jobs import ExportConfig, export_tables, export_views, plan_export, run_export, validate_export
-from snapvault.sources.tables import ParquetSource
+from snapvault.sources.tables import ParquetSource, scan_exported
 
 KEYS = {"orders": ["o_orderkey"], "conversations": ["conv_id", "turn"], "customer": ["c_custkey"]}
 SMALL = ["orders", "lineitem", "conversations", "customer", "region"]
@@ -81,6 +82,19 @@ def test_keep_row_number_and_typed_mode(spark, tmp_dir):
     assert first["rn"] == 1 and first["o_orderkey"] == src.table("dbo", "orders").agg(F.min("o_orderkey")).first()[0]
 
 
+def test_bound_chunks_are_files(spark, tmp_dir):
+    src = _subset(spark)
+    cfg = ExportConfig("shop", tmp_dir, mode="full", target_mb=0.02, tables_to_export=["dbo.orders"], size_estimate="exact",
+                       keep_row_number=True, bind_chunks=True, partition_mb=0.05)
+    res = run_export(src, cfg)
+    assert {r["status"] for r in res.status.collect()} == {"OK"}
+    ranges = file_ranges(scan_exported(spark, cfg.table_path("orders")), ["o_orderkey"])
+    checked = check_ranges(plan_export(src, cfg).chunks.where("table_name = 'orders'"), ranges).collect()
+    assert len(checked) > 2 and {r["status"] for r in checked} == {"BOUND"}
+    with pytest.raises(ValueError):
+        ExportConfig("shop", tmp_dir, bind_chunks=True)
+
+
 def test_register_entries(spark, tmp_dir):
     src = _subset(spark)
     cfg = ExportConfig(database="sv_jobs_db", output_root=tmp_dir, snapshot="20240101000000Z",
