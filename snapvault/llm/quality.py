@@ -28,12 +28,15 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MAX_SYMBOL_PERCENT = 10     # symbols against the line's bytes that are no white space
 MAX_SHOUT_PERCENT = 50      # words that end in !! or ?? against the line's words
-MIN_SEPARATORS = 3          # lone | » · between words
+MIN_SEPARATORS = 3          # lone | » · in a line of any length
+MIN_CELLS = 2               # lone separators of any kind in a line of few words
+MIN_CELL_PERCENT = 25       # those separators against the line's words
 MAX_LOST_PERCENT = 30
 #: Fixed phrases of page furniture, in lower case.
 BOILERPLATE = (b"all rights reserved", b"cookie policy", b"privacy policy", b"terms of use", b"terms of service",
                b"click here", b"enable javascript", b"lorem ipsum", b"skip to content", b"sign up for our newsletter")
 SEPARATORS = (b"|", "»".encode(), "·".encode())
+CELL_SEPARATORS = frozenset((*SEPARATORS, b"/", "•".encode(), "›".encode(), "→".encode()))
 RESULT = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
           "base_failed boolean, n_failed_lines long, n_lost_words long, kept boolean, text_hash long")
 _TO_SYMBOL = bytes(i for i in range(256) if i not in SYMBOLS)
@@ -49,8 +52,12 @@ def line_fails(line: bytes, words: list[bytes]) -> bool:
         loud = sum(w.endswith((b"!!", b"??")) for w in words)
         if 100 * loud > MAX_SHOUT_PERCENT * len(words):
             return True
-    if any(s in line for s in SEPARATORS) and sum(w in SEPARATORS for w in words) >= MIN_SEPARATORS:
-        return True
+    if any(s in line for s in CELL_SEPARATORS):
+        if sum(w in SEPARATORS for w in words) >= MIN_SEPARATORS:
+            return True
+        cells = sum(w in CELL_SEPARATORS for w in words)
+        if cells >= MIN_CELLS and 100 * cells >= MIN_CELL_PERCENT * len(words):
+            return True
     low = line.lower()
     return any(p in low for p in BOILERPLATE)
 

@@ -181,6 +181,8 @@ judged AS (SELECT doc_id, line, len(w) AS n,
       > 10 * list_sum(list_transform(w, lambda x: octet_length(encode(x))))
     OR (100 * len(list_filter(w, lambda x: ends_with(x, '!!') OR ends_with(x, '??'))) > 50 * len(w))
     OR len(list_filter(w, lambda x: x IN ('|', '»', '·'))) >= 3
+    OR (len(list_filter(w, lambda x: x IN ('|', '»', '·', '/', '•', '›', '→'))) >= 2
+        AND 100 * len(list_filter(w, lambda x: x IN ('|', '»', '·', '/', '•', '›', '→'))) >= 25 * len(w))
     OR regexp_matches(line, '(?i)all rights reserved|cookie policy|privacy policy|terms of use|terms of service|click here|enable javascript|lorem ipsum|skip to content|sign up for our newsletter') AS failed
   FROM live),
 per AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup, count(*) FILTER (failed) AS n_failed,
