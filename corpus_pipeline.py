@@ -20,15 +20,15 @@ from snapvault.llm.exact_dedup import exact_dedup
 from snapvault.llm.mixing import cube_mix, mixed_rows
 from snapvault.llm.queries import tokenizer_bytes
 from snapvault.llm.simhash import simhash_groups
-from snapvault.llm.toxicity import THRESHOLD, fit, with_score
+from snapvault.llm.toxicity import THRESHOLD, fit_texts, with_text_score
 from snapvault.llm.unigram import encode
 from snapvault.session import prepare
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator doesn't reject."""
-    model = fit(docs, read_table(spark, sf_dir, "labels"))
-    scored = with_score(docs, model, out_col="__toxicity")
+    model = fit_texts(docs, read_table(spark, sf_dir, "labels"))
+    scored = with_text_score(docs, model, out_col="__toxicity")
     return scored.where(F.col("__toxicity.score") < THRESHOLD).drop("__toxicity")
 
 

@@ -17,7 +17,7 @@ from snapvault.llm.quality import judge_quality
 from snapvault.llm.simhash import simhash_groups
 from snapvault.llm.suffix_dedup import repeated_passages
 from snapvault.llm.template import CONTROLS
-from snapvault.llm.toxicity import THRESHOLD, fit, held_out, with_score
+from snapvault.llm.toxicity import THRESHOLD, fit_texts, held_out, with_text_score
 from snapvault.llm.unigram import round_trip
 from snapvault.llm.warc import arc_to_warc, read_warc, write_arc
 from snapvault.llm.whitening import whiten
@@ -41,11 +41,11 @@ def tokenizer_bytes(name: str = PIECE_FILE) -> bytes:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = read_table(spark, sf_dir, "documents")
-    model = fit(docs, read_table(spark, sf_dir, "labels"))
-    scored = with_score(docs.select("doc_id", "text"), model)
+    model = fit_texts(docs, read_table(spark, sf_dir, "labels"))
+    scored = with_text_score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity.score").alias("score"),
                          (F.col("toxicity.score") >= THRESHOLD).cast("int").alias("predicted"),
-                         F.col("toxicity.evidence").alias("evidence"))
+                         F.col("toxicity.evidence").alias("evidence"), F.col("toxicity.neighbours").alias("neighbours"))
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
