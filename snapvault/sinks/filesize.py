@@ -8,11 +8,14 @@ So small files are joined, large ones split, and files that fit are not read
 again.
 
 A file may hold any number of rows: shares are summed by blocks of row numbers,
-so neither a window nor a task holds more than a block or one new file.
+so no window holds more than a block.  A task sorts about ``TASK_BYTES`` of the
+files and writes all new files of these, however small the target is.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType
@@ -22,6 +25,8 @@ from snapvault.session import local_frame
 
 SLACK = 2.0
 BLOCK_ROWS = 65536
+TASK_BYTES = 32 << 20
+PIECE = "_sv_piece"
 
 
 def off_target(sizes: list[tuple[str, int]], target_bytes: int, slack: float = SLACK) -> list[tuple[str, int]]:
@@ -43,9 +48,9 @@ def row_bytes(df: DataFrame) -> Column:
     return total
 
 
-def cut_by_bytes(spark: SparkSession, folder: str, files: list[tuple[str, int]], target_bytes: int,
-                 block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, int]:
-    """The rows of ``files`` in their order, one partition for each new file, and how many those are."""
+def placed_by_bytes(spark: SparkSession, folder: str, files: list[tuple[str, int]], target_bytes: int,
+                    block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, int]:
+    """The rows of ``files``, each with its new file's number (``PIECE``), and how many those are."""
     total = sum(s for _, s in files)
     pieces = max(1, round(total / target_bytes))
     starts, at = [], 0
@@ -69,24 +74,41 @@ def cut_by_bytes(spark: SparkSession, folder: str, files: list[tuple[str, int]],
     inside = F.col("_sv_before") + F.sum("_sv_bytes").over(in_block) - F.col("_sv_bytes") / 2
     at_byte = F.col("_sv_start") + inside / F.col("_sv_all") * F.col("_sv_size")
     piece = F.least(F.floor(at_byte * pieces / total), F.lit(pieces - 1)).cast("int")
-    placed = rows.join(blocks, ["_sv_file", "_sv_block"]).withColumn("_sv_piece", piece)
-    cut = (placed.repartitionById(pieces, F.col("_sv_piece"))
-           .sortWithinPartitions("_sv_start", "_sv_row"))
-    return cut.select(*[F.col(f"`{c}`") for c in names]), pieces
+    return rows.join(blocks, ["_sv_file", "_sv_block"]).withColumn(PIECE, piece), pieces
+
+
+def _in_order(placed: DataFrame, pieces: int, tasks: int) -> DataFrame:
+    """Rows in their files' order, ``tasks`` partitions of whole new files one after the other."""
+    return (placed.repartitionById(tasks, F.floor(F.col(PIECE).cast("long") * tasks / pieces).cast("int"))
+            .sortWithinPartitions(PIECE, "_sv_start", "_sv_row").drop("_sv_file", "_sv_block", *_HELPERS))
+
+
+_HELPERS = ["_sv_row", "_sv_bytes", "_sv_all", "_sv_before", "_sv_start", "_sv_size"]
+
+
+def cut_by_bytes(spark: SparkSession, folder: str, files: list[tuple[str, int]], target_bytes: int,
+                 block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, int]:
+    """The rows of ``files`` in their order, one partition for each new file, and how many those are."""
+    placed, pieces = placed_by_bytes(spark, folder, files, target_bytes, block_rows)
+    return _in_order(placed, pieces, pieces).drop(PIECE), pieces
+
 
+def fit_files(spark: SparkSession, stage: str, target_bytes: int) -> list[tuple[str, str]]:
+    """Cut the staged files that are off the target anew.
 
-def fit_files(spark: SparkSession, stage: str, target_bytes: int) -> int:
-    """Cut the staged files that are off the target anew; gives how many files were written for them."""
+    Gives the files written for them: (place below ``stage``, name to take).
+    """
     files = Files(spark, stage)
     off = off_target(files.sizes(stage), target_bytes)
     if not off or (len(off) == 1 and off[0][1] < target_bytes * SLACK):
-        return 0
-    cut, pieces = cut_by_bytes(spark, stage, off, target_bytes)
-    aside = f"{stage}/_fit"  # Spark's readers skip it
-    cut.write.parquet(aside)
-    for name, _ in off:
-        files.delete(f"{stage}/{name}")
-    for name, _ in files.sizes(aside):
-        files.move(f"{aside}/{name}", f"{stage}/{name}")
-    files.delete(aside)
-    return pieces
+        return []
+    placed, pieces = placed_by_bytes(spark, stage, off, target_bytes)
+    total = sum(s for _, s in off)
+    tasks = min(pieces, max(math.ceil(total / TASK_BYTES), spark.sparkContext.defaultParallelism))
+    aside = "_fit"  # Spark's readers skip it
+    _in_order(placed, pieces, tasks).write.partitionBy(PIECE).parquet(f"{stage}/{aside}")
+    files.delete_all([f"{stage}/{name}" for name, _ in off])
+    # a task's files have one name, each in its number's folder
+    prefix = f"{PIECE}="
+    return [(f"{aside}/{folder}/{name}", f"part-{folder[len(prefix):].zfill(9)}-{name}")
+            for folder, name in files.inside(f"{stage}/{aside}", f"{prefix}*")]

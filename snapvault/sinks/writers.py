@@ -25,10 +25,9 @@ def _writer(df: DataFrame, max_records: int | None):
 
 def _staged(df: DataFrame, max_records: int | None, target_bytes: int | None):
     """Write ``df`` into a staging folder, then bring its files to the target size if one is named."""
-    def write(stage: str) -> None:
+    def write(stage: str) -> list:
         _writer(df, max_records).save(stage)
-        if target_bytes:
-            fit_files(df.sparkSession, stage, int(target_bytes))
+        return fit_files(df.sparkSession, stage, int(target_bytes)) if target_bytes else []
 
     return write
 

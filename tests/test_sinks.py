@@ -158,3 +158,16 @@ def test_database_and_table_entries(spark, tmp_dir):
     assert W.drop_table_and_data(spark, db, "orders") == "dropped"
     assert not spark.catalog.tableExists(f"{db}.orders") and not os.path.exists(path)
     assert W.drop_table_and_data(spark, db, "orders") == "not_found"
+
+
+def test_small_targets_take_few_tasks(spark, tmp_dir):
+    """Many new files are written by as many tasks as the data asks for, not one each."""
+    path, df = os.path.join(tmp_dir, "t"), spark.range(0, 200_000, 1, 3).selectExpr("id", "sha2(string(id), 256) AS s")
+    W.write_full(df, path, target_bytes=64 << 10)
+    back = spark.read.parquet(path)
+    per_file = back.selectExpr("_metadata.file_name AS f", "_metadata.file_size AS size", "id").groupBy("f").agg({"size": "max", "id": "count"}).collect()
+    assert len(per_file) > 50 and sum(r["count(id)"] for r in per_file) == 200_000 == back.distinct().count()
+    assert sum(r["max(size)"] < 32 << 10 for r in per_file) <= 1 and all(r["max(size)"] <= 128 << 10 for r in per_file)
+    # a task's files have one name behind their number
+    assert len({r["f"].split("-part-", 1)[1].split("-", 2)[2] for r in per_file}) <= spark.sparkContext.defaultParallelism
+    assert back.columns == ["id", "s"]
