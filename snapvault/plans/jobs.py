@@ -49,6 +49,7 @@ from snapvault.operators.validation import (
 from snapvault.plans.chunks import chunk_files, plan_chunks, plan_tables, table_sizes
 from snapvault.session import local_frame
 from snapvault.streaming.streams import status_events_from_runs
+from snapvault.sources.catalog import fixed_width
 from snapvault.sources.tables import scan_exported
 from snapvault.sinks.writers import (
     path_exists, ensure_database,
@@ -188,12 +189,40 @@ def task_partitions(meta: dict, cfg: ExportConfig) -> int:
     return max(1, math.ceil(n_chunks * float(cfg.target_mb) / float(cfg.partition_mb)))
 
 
+#: Bytes that a value takes in a row in memory, what a text takes besides, and what a row and its sort entry do.
+VALUE_BYTES, TEXT_BYTES, ROW_BYTES = 8, 16, 40
+#: A text's bytes in memory for one byte on storage, where files are compressed.
+UNPACKED = 4
+
+
+def sort_partitions(df: DataFrame, meta: dict, cfg: ExportConfig) -> int:
+    """Tasks for a table that is sorted: about ``partition_mb`` of rows in memory each.
+
+    Files hold columns packed (repeated values take next to nothing there), a
+    sort holds rows: every row's fixed part counts in full, and stored bytes as
+    what they unpack to.
+    """
+    texts = sum(not fixed_width(f.dataType) for f in df.schema.fields)
+    width = ROW_BYTES + VALUE_BYTES * len(df.columns) + TEXT_BYTES * texts
+    fixed = int(meta.get("rows") or 0) * width / (float(cfg.partition_mb) * (1 << 20))
+    stored = task_partitions(meta, cfg)
+    return max(stored, math.ceil(fixed + UNPACKED * (stored_mb(meta, cfg) / float(cfg.partition_mb) if texts else 0)))
+
+
+def stored_mb(meta: dict, cfg: ExportConfig) -> float:
+    """About what a table takes on storage: its rows over the rows of ``target_mb``."""
+    rows, per_chunk = int(meta.get("rows") or 0), int(meta.get("rows_per_chunk") or 0)
+    return rows / per_chunk * float(cfg.target_mb) if per_chunk else 0.0
+
+
 def _prepare_table(source, plan: ExportPlan, cfg: ExportConfig, meta: dict) -> DataFrame:
     schema, table, pk = meta["table_schema"], meta["table_name"], list(meta["primary_key"] or [])
     tasks = task_partitions(meta, cfg)
     df = source.table_for_export(schema, table, pk, tasks)
     cols = plan.columns.get((schema, table), [])
     rv = [name for name, source_type, _ in cols if source_type.lower() in ROWVERSION_TYPES]
+    if pk and (cfg.keep_row_number or cfg.order_by_key):
+        tasks = sort_partitions(df, meta, cfg)
     if cfg.keep_row_number and pk:
         df = row_number_pk(df, pk, num_partitions=tasks)
         if cfg.bind_chunks and meta["rows_per_chunk"]:

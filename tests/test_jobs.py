@@ -197,3 +197,15 @@ def test_schema_drift_between_runs_updates_the_entry(spark, tmp_dir):
     both = scan_exported(spark, os.path.join(out, "sv_drift_db", "region"), merge_schema=True)
     per_snap = {r[0]: r[1] for r in both.groupBy("extraction_timestamp").agg(F.count("r_comment")).collect()}
     assert per_snap == {"20240101000000Z": 0, "20240201000000Z": 5}
+
+
+def test_sorted_tables_are_cut_by_rows_in_memory(spark):
+    """Packed columns take little on storage but their full width in a sort."""
+    from snapvault.plans.jobs import sort_partitions, task_partitions
+    cfg = ExportConfig(database="d", output_root="/unused", target_mb=1, partition_mb=256)
+    df = spark.createDataFrame([(1, 2.0, "x")], "a long, b double, s string")
+    meta = {"n_chunks": 10, "rows": 30_000_000, "rows_per_chunk": 3_000_000}  # 10 MB stored
+    assert task_partitions(meta, cfg) == 1
+    assert sort_partitions(df, meta, cfg) >= 30_000_000 * 3 * 8 / (256 << 20)
+    six = {"n_chunks": 60, "rows": 180_000_000, "rows_per_chunk": 3_000_000}
+    assert 5 <= sort_partitions(df, six, cfg) / sort_partitions(df, meta, cfg) <= 6  # rows of a task stay as many
