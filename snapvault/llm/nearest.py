@@ -2,16 +2,21 @@
 
 An example is a whole text: the counts of its words, weighed by plain TF-IDF and
 scaled to unit length.  Examples are put in an order that keeps texts with the
-same commonest word together, and cut into blocks; each term keeps the greatest
-weight it has in each block.  A block's bound for a text is the sum of the text's
-weights times these maxima.  First the blocks of the greatest bounds are scored;
-then those whose bound reaches the k-th best cosine so far.  The others are
-skipped: no example in them can be among the nearest.
-
-Postings of terms that a sixteenth of the examples have lie in rows as long as
-the examples, the others in lists.  Cosines are found in single precision and
-those that may be among the k best are worked out again in double, so the
-neighbours are exact for the stored (single precision) weights.
+same commonest word together, and cut into blocks.  Terms that a sixteenth of the
+examples have are frequent: their postings lie in rows as long as the examples,
+with the greatest weight in each block.  The others' are lists, which are few and
+short beside them and weigh most; they are read whole (block-max MaxScore).
+
+A block's bound for a text is the sum of its weights times the frequent terms'
+maxima there, and the greatest sum that the lists give an example of the block.
+Blocks lie in strips.  Each text's strip of the greatest bound is scored first; then,
+by strip, the blocks whose bound reaches the k-th best cosine so far, for the texts
+that need one there.  The others are skipped: no example in them can be among the
+nearest.
+
+Cosines are found in single precision and those that may be among the k best are
+worked out again in double, so the neighbours are exact for the stored (single
+precision) weights.
 """
 
 from __future__ import annotations
@@ -19,10 +24,12 @@ from __future__ import annotations
 import numpy as np
 
 BLOCK = 64
-TOGETHER = 64          # texts that visit blocks together
+STRIP = 16             # blocks scored at once
+TOGETHER = 128         # texts that visit blocks together
 FREQUENT = 16          # one in so many examples has the term
-STRIP = 4096           # places scored at once
+EXACT = 4096           # cosines worked out at once
 PART = 100_000         # postings derived at once
+SHORT = 128            # lists below this length are read together
 SLACK = 1e-5           # more than single precision errs in a cosine
 
 
@@ -88,33 +95,19 @@ class TextIndex:
         self._row_of[frequent] = np.arange(len(frequent))
         width = self.n_blocks * self.block
         dense = np.zeros((len(frequent), width), np.float32)
-        # the other terms: their postings, and the greatest weight in each block that has one
+        # the other terms' lists: a posting is its place (lower half) and its weight's bits
         size = np.where(self._row_of >= 0, 0, df)
         self._first = np.concatenate([[0], np.cumsum(size)])
-        self._at = np.empty(self._first[-1], self.rows.dtype)
-        self._weight = np.empty(self._first[-1], np.float32)
-        blocks, greatest, held = [np.zeros(0, np.uint16)], [np.zeros(0, np.float32)], np.zeros(len(df), np.int64)
+        self._list = np.empty(self._first[-1], np.int64)
         for i, j, term in self._parts():
             part = slice(self.starts[i], self.starts[j])
             at = self.rows[part]
             weight = ((1 + np.log(self.counts[part])) * self.idf[term] / self.norm[at]).astype(np.float32)
             some = self._row_of[term] >= 0
             dense[self._row_of[term[some]], at[some]] = weight[some]
-            at, weight, term = at[~some], weight[~some], term[~some]
-            to = slice(self._first[i], self._first[j])
-            self._at[to], self._weight[to] = at, weight
-            number = at // self.block
-            new = np.ones(len(term), bool)
-            new[1:] = (term[1:] != term[:-1]) | (number[1:] != number[:-1])
-            start = new.nonzero()[0]
-            if len(start):
-                blocks.append(number[start])
-                greatest.append(np.maximum.reduceat(weight, start))
-                held[i:j] = np.bincount(term[start] - i, minlength=j - i)
+            self._list[self._first[i]:self._first[j]] = weight[~some].view(np.int32).astype(np.int64) << 32 | at[~some]
         self._dense = dense.reshape(len(frequent), self.n_blocks, self.block)
         self._dense_max = self._dense.max(axis=2)
-        self._block, self._block_max = np.concatenate(blocks), np.concatenate(greatest)
-        self._block_first = np.concatenate([[0], np.cumsum(held)])
         self.ready = True
 
     def unit(self, text: np.ndarray, term: np.ndarray, count: np.ndarray, n_texts: int):
@@ -135,24 +128,25 @@ class TextIndex:
         if not self.ready:
             self._prepare()
         text, term, weight = self.unit(text, term, count, n_texts)
-        bound = np.zeros((n_texts, self.n_blocks), np.float32)
         at = np.searchsorted(text, np.arange(n_texts + 1))
-        for i in range(0, n_texts, 4 * TOGETHER):
-            j = min(n_texts, i + 4 * TOGETHER)
-            part = slice(at[i], at[j])
-            bound[i:j] = self._bounds(text[part] - i, term[part], weight[part], j - i)
         if left_out is not None:
             of_text, of_place = left_out[0], left_out[1][self.order]
         out = []
-        # texts whose greatest bounds lie in the same stretch visit like blocks
-        stretch = np.add.reduceat(bound, np.arange(0, self.n_blocks, 16), axis=1).argmax(axis=1) if self.n_blocks else np.zeros(0)
+        # texts whose frequent terms' greatest bounds lie in the same stretch visit like blocks
+        stretch = np.zeros(n_texts if self.n_blocks else 0, np.int64)
+        for i in range(0, len(stretch), 4 * TOGETHER):
+            j = min(n_texts, i + 4 * TOGETHER)
+            part = slice(at[i], at[j])
+            m, used, _ = self._matrix(text[part] - i, term[part], weight[part], j - i)
+            bound = m.astype(np.float32) @ self._dense_max[used]
+            stretch[i:j] = np.add.reduceat(bound, np.arange(0, self.n_blocks, STRIP), axis=1).argmax(axis=1)
         by_block = np.argsort(stretch, kind="stable")
         for i in range(0, len(by_block), TOGETHER):
             group = np.sort(by_block[i:i + TOGETHER])
             entries = spans(at[group], at[group + 1] - at[group])
             q = np.repeat(np.arange(len(group)), at[group + 1] - at[group])
             own = None if left_out is None else (of_text[group], of_place)
-            g, place, cosine = self._visit(q, term[entries], weight[entries], bound[group], k, own)
+            g, place, cosine = self._visit(q, term[entries], weight[entries], len(group), k, own)
             out.append((group[g], self.order[place], place, cosine))
         if not out:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
@@ -169,76 +163,72 @@ class TextIndex:
         m[q[some], np.searchsorted(used, row[some])] = weight[some]
         return m, used, ~some
 
-    def _bounds(self, q, term, weight, n: int) -> np.ndarray:
-        m, used, rest = self._matrix(q, term, weight, n)
-        bound = m.astype(np.float32) @ self._dense_max[used]
-        more = self._listed(q[rest], term[rest], weight[rest], n, self._block_first, self._block, self._block_max, self.n_blocks)
-        bound += more
-        return bound
-
-    @staticmethod
-    def _listed(q, term, weight, n: int, first, at, values, width: int) -> np.ndarray:
+    def _listed(self, q, term, weight, n: int) -> np.ndarray:
         """Sums by text and place over the terms' lists."""
-        out = np.zeros((n, width))
-        start, end = first[term], first[term + 1]
-        of = np.searchsorted(q, np.arange(n + 1))
+        out = np.zeros((n, self.n_blocks * self.block))
+        start, size = self._first[term], self._first[term + 1] - self._first[term]
+        short = size < SHORT
+        some, start, end = start[short], start[~short], (start + size)[~short]
+        together, times = self._list[spans(some, size[short])], np.repeat(weight[short], size[short])
+        texts = np.arange(n + 1)
+        first = np.concatenate([[0], np.cumsum(size[short])])[np.searchsorted(q[short], texts)]
+        of, weight = np.searchsorted(q[~short], texts), weight[~short]
         for j in range(n):
-            part = slice(of[j], of[j + 1])
-            ranges = [slice(x, y) for x, y in zip(start[part].tolist(), end[part].tolist())]
-            if ranges:
-                w = np.repeat(weight[part], end[part] - start[part])
-                w *= np.concatenate([values[r] for r in ranges])
-                out[j] = np.bincount(np.concatenate([at[r] for r in ranges]), w, minlength=width)
+            part, rest = slice(of[j], of[j + 1]), slice(first[j], first[j + 1])
+            lists = [self._list[x:y] for x, y in zip(start[part].tolist(), end[part].tolist())]
+            postings = np.concatenate([*lists, together[rest]])
+            w = np.concatenate([np.repeat(weight[part], end[part] - start[part]), times[rest]])
+            w *= (postings >> 32).astype(np.int32).view(np.float32)
+            out[j] = np.bincount(postings & 0xFFFFFFFF, w, minlength=out.shape[1])
         return out
 
-    def _visit(self, q, term, weight, bound, k: int, own):
-        n = len(bound)
+    def _visit(self, q, term, weight, n: int, k: int, own):
         m, used, rest = self._matrix(q, term, weight, n)
         single = m.astype(np.float32)
-        lists = self._listed(q[rest], term[rest], weight[rest], n, self._first, self._at, self._weight, self.n_blocks * self.block)
-
+        lists = self._listed(q[rest], term[rest], weight[rest], n)
+        bound = single @ self._dense_max[used] + lists.reshape(n, self.n_blocks, self.block).max(axis=2)
         flat = self._dense.reshape(len(self._dense), -1)
+        strips = np.arange(0, self.n_blocks, STRIP)
+        greatest = np.maximum.reduceat(bound, strips, axis=1)
+        start = greatest.argmax(axis=1)
+        best = np.zeros((n, k), np.float32)  # the k best cosines so far
+        found = []
 
-        def score(blocks):
-            """(places, cosines in single precision) of some blocks, a strip at a time."""
+        def score(strip: int, texts: np.ndarray) -> None:
+            """Some texts' cosines in the blocks of a strip that one of them needs."""
+            least = np.maximum(best[texts].min(axis=1) - SLACK, SLACK / 1000)
+            near = bound[texts, strip * STRIP:(strip + 1) * STRIP] >= least[:, None]
+            texts, near, least = texts[near.any(axis=1)], near.any(axis=0), least[near.any(axis=1)]
+            self.visited += int(near.sum())
+            self.skipped += len(near) - int(near.sum())
+            if not len(texts):
+                return
+            blocks = near.nonzero()[0] + strip * STRIP
             places = (blocks[:, None] * self.block + np.arange(self.block)).ravel()
-            cosine = np.empty((n, len(places)), np.float32)
-            some = max(1, STRIP // self.block)
-            for i in range(0, len(blocks), some):
-                part = slice(i * self.block, (i + some) * self.block)
-                rows = self._dense[used[:, None], blocks[i:i + some]].reshape(len(used), -1)
-                cosine[:, part] = single @ rows
-                cosine[:, part] += lists[:, places[part]]
+            cosine = single[texts] @ self._dense[used[:, None], blocks].reshape(len(used), -1)
+            cosine += lists[texts[:, None], places]
             if own is not None:
-                cosine[own[1][np.minimum(places, self.n - 1)][None, :] == own[0][:, None]] = 0
-            return places, cosine
-
-        def exact(g, place):
-            out = lists[g, place]
-            for i in range(0, len(g), STRIP):
-                part = slice(i, i + STRIP)
-                out[part] += np.einsum("ct,tc->c", m[g[part]], flat[used[:, None], place[part]])
-            return out
-
-        first = np.zeros(self.n_blocks, bool)
-        first[bound.argmax(axis=1)] = True
-        parts = [score(first.nonzero()[0])]
-        least = _kth(parts[0][1], k) - SLACK
-        more = ((bound >= least[:, None]) & (bound > 0)).any(axis=0) & ~first
-        if more.any():
-            parts.append(score(more.nonzero()[0]))
-        self.visited += int(first.sum() + more.sum())
-        self.skipped += int(((bound > 0).any(axis=0) & ~first & ~more).sum())
-        # the k-th best of all is among the k best of each part
-        best = [np.partition(c, c.shape[1] - k, axis=1)[:, -k:] if c.shape[1] > k else c for _, c in parts]
-        least = np.maximum(_kth(np.concatenate(best, axis=1), k) - SLACK, SLACK / 1000)
-        found = []
-        for places, cosine in parts:
+                cosine[own[1][np.minimum(places, self.n - 1)][None, :] == own[0][texts][:, None]] = 0
+            best[texts] = np.partition(np.concatenate([best[texts], cosine], axis=1), len(places), axis=1)[:, len(places):]
+            least = np.maximum(best[texts].min(axis=1) - SLACK, SLACK / 1000)
             g, c = (cosine >= least[:, None]).nonzero()
-            found.append((g, places[c], exact(g, places[c])))
+            found.append((texts[g], places[c], cosine[g, c]))
+
+        for strip in np.unique(start):
+            score(strip, (start == strip).nonzero()[0])
+        for strip in np.argsort(-greatest.sum(axis=0), kind="stable"):
+            score(strip, (start != strip).nonzero()[0])
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         g, place, cosine = (np.concatenate(x) for x in zip(*found))
-        best = np.lexsort((place, -cosine, g))
-        g, place, cosine = g[best], place[best], cosine[best]
+        some = cosine >= np.maximum(best.min(axis=1) - SLACK, SLACK / 1000)[g]
+        g, place = g[some], place[some]
+        cosine = lists[g, place]
+        for i in range(0, len(g), EXACT):
+            part = slice(i, i + EXACT)
+            cosine[part] += np.einsum("ct,tc->c", m[g[part]], flat[used[:, None], place[part]])
+        order = np.lexsort((place, -cosine, g))
+        g, place, cosine = g[order], place[order], cosine[order]
         kept = np.arange(len(g)) - np.searchsorted(g, g) < k
         return g[kept], place[kept], cosine[kept]
 
@@ -255,9 +245,3 @@ def _chained(best: np.ndarray, rows: np.ndarray, term: np.ndarray, n_terms: int)
         left[at], place[at] = False, j
         at = int(np.where(left, like[at], -1).argmax())
     return place[cluster]
-
-
-def _kth(cosine: np.ndarray, k: int) -> np.ndarray:
-    """The k-th greatest of each row; 0 where there are fewer."""
-    width = cosine.shape[1]
-    return np.partition(cosine, width - k, axis=1)[:, width - k] if width >= k else np.zeros(len(cosine), cosine.dtype)

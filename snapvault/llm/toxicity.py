@@ -110,7 +110,14 @@ class BlockMaxIndex:
                 at, weights = held[t]
                 at.append(row)
                 weights.append(w)
-        self.postings = {t: self._blocks(np.array(at, np.int64), np.array(w)) for t, (at, w) in held.items()}
+        self.held, self.postings = held, {}
+
+    def _posted(self, term: str):
+        """A term's postings by block, cut when it is first searched."""
+        if term not in self.postings:
+            at, weights = self.held[term]
+            self.postings[term] = self._blocks(np.array(at, np.int64), np.array(weights))
+        return self.postings[term]
 
     def _blocks(self, at: np.ndarray, weights: np.ndarray):
         """(blocks, greatest weight in each, places and weights in each)."""
@@ -128,7 +135,7 @@ class BlockMaxIndex:
 
     def nearest(self, bag: dict, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k greatest cosines above zero, by cosine, then number."""
-        query = [(w, *self.postings[t]) for t, w in self.unit(bag).items()]
+        query = [(w, *self._posted(t)) for t, w in self.unit(bag).items()]
         bound = np.zeros(self.n_blocks)
         for w, blocks, greatest, _ in query:
             bound[blocks] += w * greatest
@@ -215,29 +222,48 @@ _VOTES = ["vote", *[f"vote{f}" for f in range(FOLDS)]]
 
 
 def _searched(n_all: int, prior: float, k: int):
-    """Every word and word beginning of a shard searched in the shard's index: votes in all and without each fold."""
+    """Every word and word beginning of a shard searched in the shard's index: votes in all and without each fold.
+
+    No example but the word itself has its whole term.  So its nearest are itself and those of its longest beginning,
+    their cosines times the length of the word's vector without that term: one search serves all words of a beginning.
+    """
     def search(table: pa.Table) -> pa.Table:
         table = table.sort_by("passage")
         words = table.column("passage").to_pylist()
         ids = table.column("example_id").to_numpy()
         counts = np.stack([table.column(c).to_numpy() for c in _COUNTS], axis=1).astype(np.float64)
-        n, y = counts[:, 0::2], counts[:, 1::2]
         index = BlockMaxIndex([dict.fromkeys(terms_of(w), 1) for w in words], n_all)
-        known = set(words)
-        entries = words + sorted({t for w in words for t in terms_of(w)} - known)
-        out = np.zeros((len(entries), 1 + FOLDS))
-        near_id, near, cosine = [], [], []
-        for j, e in enumerate(entries):
-            rows, cos = index.nearest(dict.fromkeys(terms_of(e), 1), k)
-            weight = NEAR / (NEAR + 1 - cos)
-            of_n, of_y = weight @ n[rows], weight @ y[rows]
-            out[j, 0] = (of_y.sum() + SMOOTH * prior) / (of_n.sum() + SMOOTH)
-            out[j, 1:] = (of_y.sum() - of_y + SMOOTH * prior) / (of_n.sum() - of_n + SMOOTH)
-            near_id.append(int(ids[rows[0]]))
-            near.append(words[rows[0]])
-            cosine.append(float(cos[0]))
-        return pa.table([pa.array(entries), *[pa.array(out[:, j]) for j in range(1 + FOLDS)], pa.array(near_id),
-                         pa.array(near), pa.array(cosine)], names=["entry", *_VOTES, "example_id", "example", "cosine"])
+        alike: dict[str, list[int]] = {}
+        for j, w in enumerate(words):
+            terms = terms_of(w)
+            alike.setdefault(terms[-1] if len(terms) > 1 else "", []).append(j)
+        beginnings = sorted({t for w in words for t in terms_of(w)[1:]})
+        sums = np.empty((len(words) + len(beginnings), counts.shape[1]))
+        near = np.arange(len(sums))
+        cosine = np.ones(len(sums))
+        alone = alike.get("", [])
+        sums[alone] = counts[alone]
+        for at, b in enumerate(beginnings, len(words)):
+            rows, cos = index.nearest(dict.fromkeys(terms_of(b), 1), k)
+            sums[at] = NEAR / (NEAR + 1 - cos) @ counts[rows]
+            near[at], cosine[at] = rows[0], cos[0]
+            some = np.array(alike.get(b, []), np.int64)
+            if len(some):
+                unit = index.unit(dict.fromkeys(terms_of(words[some[0]]), 1))
+                weight = NEAR / (NEAR + 1 - cos * math.sqrt(math.fsum(x * x for t, x in unit.items() if t.endswith("*"))))
+                sums[some] = weight[:k - 1] @ counts[rows[:k - 1]] + counts[some]
+                # words among the nearest themselves
+                own = np.isin(rows, some).nonzero()[0]
+                others = np.where(own[:, None] == np.arange(len(rows)), 0.0, weight)
+                sums[rows[own]] = others @ counts[rows] + counts[rows[own]]
+        n, y = sums[:, 0::2], sums[:, 1::2]
+        votes = [(y.sum(axis=1) + SMOOTH * prior) / (n.sum(axis=1) + SMOOTH)]
+        for f in range(FOLDS):
+            rest = np.arange(FOLDS) != f
+            votes.append((y[:, rest].sum(axis=1) + SMOOTH * prior) / (n[:, rest].sum(axis=1) + SMOOTH))
+        return pa.table([pa.array(words + beginnings), *[pa.array(v) for v in votes], pa.array(ids[near]),
+                         table.column("passage").combine_chunks().take(pa.array(near)), pa.array(cosine)],
+                        names=["entry", *_VOTES, "example_id", "example", "cosine"])
     return search
 
 
@@ -253,6 +279,7 @@ class Passages:
         self.odds = np.log(votes / (1 - votes))[order] if len(votes) else votes
         self.odds = (self.odds - math.log(prior / (1 - prior))).astype(np.float32)
         self.near = [table.column(c).combine_chunks() for c in ("example_id", "example", "cosine")]
+        self.beginnings = pc.ends_with(self.entries, "*").to_numpy(zero_copy_only=False).nonzero()[0]
         self.numbers = None
 
     def number(self, word: str) -> int:
@@ -269,6 +296,21 @@ class Passages:
             return -1
         return at
 
+    def numbers_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct words' own entries, and these or else those of their longest known beginnings; -1 without one."""
+        own = _places(words, self.entries)
+        number = own.copy()
+        starred = self.entries.take(pa.array(self.beginnings))
+        lengths = pc.utf8_length(words).to_numpy(zero_copy_only=False)
+        for b in reversed(BEGINNINGS):
+            rest = ((number < 0) & (lengths >= b)).nonzero()[0]
+            cut = pc.utf8_slice_codeunits(words.take(pa.array(rest)), 0, b)
+            coded = pc.binary_join_element_wise(cut, "*", "").dictionary_encode()
+            at = _places(coded.dictionary, starred)
+            at = np.where(at >= 0, self.beginnings[at] if len(self.beginnings) else -1, -1)
+            number[rest] = at[coded.indices.to_numpy(zero_copy_only=False)] if len(rest) else -1
+        return own, number
+
     def of(self, text: str | None) -> dict[str, int]:
         """The text's passages that resemble an example, and their entries."""
         words = passages(text)
@@ -289,6 +331,15 @@ class Passages:
         return float(np.sort(odds)[-STRONGEST:].sum()), []
 
 
+def _places(values: pa.Array, among: pa.Array) -> np.ndarray:
+    """Distinct values' places in a longer array; -1 where it lacks one.  The table of hashes is the shorter one's."""
+    at = pc.index_in(among, value_set=values)
+    places = np.full(len(values), -1, np.int64)
+    some = pc.is_valid(at).to_numpy(zero_copy_only=False).nonzero()[0]
+    places[at.take(pa.array(some)).to_numpy(zero_copy_only=False)] = some
+    return places
+
+
 def calibrate(votes: list[tuple[float, float]], prior: float, groups: int = 100) -> tuple[list[float], list[float]]:
     """Monotone map from evidence to probability: groups of like evidence, pooled until their rates rise."""
     if not votes:
@@ -440,12 +491,7 @@ class Texts:
         of the strongest passages, and (text, example, cosine) of the neighbours.  ``folds``: leave out what they taught."""
         text, word, count, words = counted_words(texts)
         n = len(texts)
-        lengths = pc.utf8_length(words).to_numpy()
-        tried = [words] + [pc.binary_join_element_wise(pc.utf8_slice_codeunits(words, 0, b), "*", "") for b in reversed(BEGINNINGS)]
-        found = pc.index_in(pa.concat_arrays(tried), value_set=self.known.entries).fill_null(-1).to_numpy().reshape(len(tried), -1)
-        number = found[0]
-        for b, at in zip(reversed(BEGINNINGS), found[1:]):
-            number = np.where((number < 0) & (lengths >= b), at, number)
+        term, number = self.known.numbers_of(words)
         some = (number[word] >= 0).nonzero()[0]
         t, w = text[some], word[some]
         entry = number[w]
@@ -455,8 +501,8 @@ class Texts:
         place[order] = np.arange(len(t)) - np.searchsorted(t, t[order])
         top = place < STRONGEST
         passage = np.where(np.bincount(t, minlength=n) > 0, np.bincount(t[top], odds[top], minlength=n), np.nan)
-        own = (found[0][word] >= 0).nonzero()[0]
-        near = self.index.nearest(text[own], found[0][word[own]], count[own], n, self.k, None if folds is None else (folds, self.fold))
+        own = (term[word] >= 0).nonzero()[0]
+        near = self.index.nearest(text[own], term[word[own]], count[own], n, self.k, None if folds is None else (folds, self.fold))
         weight = NEAR / (NEAR + 1 - near[2])
         of_y, of_n = (np.bincount(near[0], x, minlength=n) for x in (weight * self.label[near[1]], weight))
         vote = np.clip((of_y + SMOOTH * self.prior) / (of_n + SMOOTH), 1e-6, 1 - 1e-6)

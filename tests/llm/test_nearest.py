@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from snapvault.llm import toxicity
@@ -89,3 +90,66 @@ def test_scores_hold_votes_of_the_nearest_whole_texts(spark):
         want = float(np.interp((found[0] if found else 0.0) + times * whole, *knots)) if found or near else bare
         assert abs(got[i]["score"] - want) < 1e-6, i
         assert [(e["passage"]) for e in got[i]["evidence"]] == [w for _, w in (found[1] if found else [])]
+
+
+def test_one_search_serves_all_words_of_a_beginning(monkeypatch):
+    rng = random.Random(8)
+    stems = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 7))) for _ in range(60)]
+    words = sorted({s + e for s in stems for e in ("", "d", "er", "ing", "ings")})
+    counts = {c: [rng.randint(0, 3) + (c[0] == "n") * 3 for _ in words] for c in toxicity._COUNTS}
+    table = pa.table({"passage": words, **counts, "example_id": list(range(len(words)))})
+    searched, nearest = [], toxicity.BlockMaxIndex.nearest
+    monkeypatch.setattr(toxicity.BlockMaxIndex, "nearest", lambda self, bag, k: searched.append(bag) or nearest(self, bag, k))
+    for k in (1, 4, 15):
+        searched.clear()
+        got = {r["entry"]: r for r in toxicity._searched(len(words), 0.1, k)(table).to_pylist()}
+        beginnings = {t for w in words for t in toxicity.terms_of(w)[1:]}
+        assert set(got) == set(words) | beginnings and len(searched) == len(beginnings) < len(words)
+        # against a search for each entry
+        index = toxicity.BlockMaxIndex([dict.fromkeys(toxicity.terms_of(w), 1) for w in words], len(words))
+        n, y = (np.array([counts[f"{c}{f}"] for f in range(toxicity.FOLDS)], float).T for c in "ny")
+        for e, r in got.items():
+            rows, cosine = nearest(index, dict.fromkeys(toxicity.terms_of(e), 1), k)
+            weight = toxicity.NEAR / (toxicity.NEAR + 1 - cosine)
+            for f in (None, *range(toxicity.FOLDS)):
+                rest = [x for x in range(toxicity.FOLDS) if x != f]
+                want = ((weight @ y[rows][:, rest]).sum() + 0.1 * toxicity.SMOOTH) / ((weight @ n[rows][:, rest]).sum() + toxicity.SMOOTH)
+                assert abs(r["vote" if f is None else f"vote{f}"] - want) < 1e-12, (k, e, f)
+            assert r["example"] == words[rows[0]] and r["example_id"] == rows[0] and abs(r["cosine"] - cosine[0]) < 1e-12
+
+
+def test_a_text_skips_the_strips_that_only_others_need(monkeypatch):
+    """Texts of several tongues, searched together: no text is scored in the blocks of the other tongues."""
+    rng = random.Random(9)
+    tongues = [[f"{letter}{j}" for j in range(40)] for letter in "xyz"]
+    examples = [" ".join(rng.choice(tongues[i % 3]) for _ in range(30)) for i in range(1200)]
+    queries = [" ".join(rng.choice(tongues[i % 3]) for _ in range(30)) for i in range(60)]
+    text, word, count, words = toxicity.counted_words(examples)
+    order = np.lexsort((text, word))
+    starts = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(words)))])
+    index = TextIndex(starts, text[order], count[order], len(examples), block=4)
+    number = {x: i for i, x in enumerate(words.to_pylist())}
+    q, w, c, known = toxicity.counted_words(queries)
+    term = np.array([number[x] for x in known.to_pylist()])[w]
+    scored, partition = [], np.partition
+    monkeypatch.setattr(np, "partition", lambda a, *x, **y: scored.append(a.shape) or partition(a, *x, **y))
+    got = index.nearest(q, term, c, len(queries), 10)
+    monkeypatch.undo()
+    every = _brute(examples, queries)
+    for j in range(len(queries)):
+        assert np.allclose(got[2][got[0] == j], np.sort(every[j])[::-1][:10], atol=1e-6)
+    pairs = sum(n * (width - 10 * (width > 10)) for n, width in scored)
+    assert pairs < 0.6 * len(queries) * len(examples)
+
+
+def test_words_take_their_own_entry_or_their_longest_known_beginning():
+    entries = ["abcde", "abcde*", "abc*", "ab", "xyz", "xyz*", "éàü*"]
+    votes = {v: [0.5] * len(entries) for v in toxicity._VOTES}
+    known = toxicity.Passages(pa.table({"entry": entries, **votes, "example_id": list(range(7)), "example": entries, "cosine": [1.0] * 7}), 0.1)
+    words = ["abcde", "abcdef", "abcd", "abx", "ab", "xyz", "xyzzy", "éàüéà", "q", "abcdefg"]
+    own, number = known.numbers_of(pa.array(words))
+    place = {e: j for j, e in enumerate(known.entries.to_pylist())}
+    assert own.tolist() == [place.get(w, -1) for w in words]
+    assert number.tolist() == [known.number(w) for w in words]
+    own, number = known.numbers_of(pa.array([], pa.string()))
+    assert len(own) == len(number) == 0
