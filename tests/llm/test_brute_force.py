@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from snapvault.llm import mixing, quality, simhash, unigram
+from snapvault.llm import mixing, quality, simhash, toxicity, unigram
 
 
 def _best(m, words, longest, body):
@@ -129,3 +129,23 @@ def test_stages_keep_the_rows_they_should(spark, tmp_path):
     mix = {r["doc_id"]: r["copies"] for r in mixing.cube_mix(near).collect()}
     mixed = [r["doc_id"] for r in pipeline.mix_sources(spark, near, "").collect()]
     assert {k: mixed.count(k) for k in mix} == mix
+
+
+def test_pipeline_drops_what_only_whole_texts_tell(spark, tmp_path):
+    """Each word is in one toxic and one harmless pattern, so words alone tell nothing; the nearest whole texts do."""
+    local = random.Random(13)
+    word = [f"{local.choice('bdfgkm')}{local.choice('aeiou')}{k}" for k in range(60)]
+    halves = [local.sample(word, 30), local.sample(word, 30)]
+    patterns = [(h, y) for y, half in enumerate(halves) for h in (half, [w for w in word if w not in half])]
+    texts = [(" ".join(local.sample(patterns[k % 4][0], 25)), patterns[k % 4][1]) for k in range(360)]
+    rows = [(k, t, y) for k, (t, y) in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    labels = docs.where("doc_id < 300").selectExpr("doc_id", "y AS toxic")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    new = docs.where("doc_id >= 300")
+
+    got = sorted(r["doc_id"] for r in pipeline.drop_toxic(spark, docs, str(tmp_path)).where("doc_id >= 300").collect())
+    assert got == [k for k, _, y in rows if k >= 300 and not y]
+    # the former stage, passages alone
+    alone = toxicity.with_score(new, toxicity.fit(docs, labels)).where(F.col("toxicity.score") < toxicity.THRESHOLD)
+    assert sorted(r["doc_id"] for r in alone.collect()) != got
