@@ -187,7 +187,7 @@ class TextIndex:
         single = m.astype(np.float32)
         lists = self._listed(q[rest], term[rest], weight[rest], n)
         bound = single @ self._dense_max[used] + lists.reshape(n, self.n_blocks, self.block).max(axis=2)
-        flat = self._dense.reshape(len(self._dense), -1)
+        flat = self._dense.reshape(len(self._dense), self.n_blocks * self.block)
         strips = np.arange(0, self.n_blocks, STRIP)
         greatest = np.maximum.reduceat(bound, strips, axis=1)
         start = greatest.argmax(axis=1)
@@ -205,7 +205,7 @@ class TextIndex:
                 return
             blocks = near.nonzero()[0] + strip * STRIP
             places = (blocks[:, None] * self.block + np.arange(self.block)).ravel()
-            cosine = single[texts] @ self._dense[used[:, None], blocks].reshape(len(used), -1)
+            cosine = single[texts] @ self._dense[used[:, None], blocks].reshape(len(used), len(places))
             cosine += lists[texts[:, None], places]
             if own is not None:
                 cosine[own[1][np.minimum(places, self.n - 1)][None, :] == own[0][texts][:, None]] = 0

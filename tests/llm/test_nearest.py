@@ -153,3 +153,19 @@ def test_words_take_their_own_entry_or_their_longest_known_beginning():
     assert number.tolist() == [known.number(w) for w in words]
     own, number = known.numbers_of(pa.array([], pa.string()))
     assert len(own) == len(number) == 0
+
+
+def test_texts_without_a_frequent_word_find_their_neighbours():
+    examples = [f"a{i} b{i // 2}" for i in range(40)]
+    text, word, count, words = toxicity.counted_words(examples)
+    order = np.lexsort((text, word))
+    starts = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(words)))])
+    number = {x: i for i, x in enumerate(words.to_pylist())}
+    for n in (40, 3):
+        index = TextIndex(starts, text[order], count[order], len(examples), block=8)
+        queries = [f"b{j}" for j in range(n // 2)] + [""]
+        term = np.array([number[q] for q in queries[:-1]])
+        got = index.nearest(np.arange(n // 2), term, np.ones(n // 2, int), len(queries), 5)
+        every = _brute(examples, queries)
+        for j in range(len(queries)):
+            assert np.allclose(got[2][got[0] == j], np.sort(every[j][every[j] > 1e-9])[::-1][:5], atol=1e-6)
