@@ -12,10 +12,10 @@ BATCH_ROWS = 10000
 BATCH_BYTES = 8 << 20
 
 
-def arrow_limits(spark: SparkSession) -> None:
+def arrow_limits(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
     """Bound the Arrow batches handed to Python by rows and bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

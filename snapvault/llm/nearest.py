@@ -75,7 +75,7 @@ class TextIndex:
             square += np.bincount(self.rows[part], tf_idf * tf_idf, minlength=n)
         self.norm = np.where(square > 0, np.sqrt(square), 1.0)
         self.visited = self.skipped = 0
-        self.ready = False
+        self.ready = self.loaded = False
 
     def _parts(self):
         """(first term, end, each posting's term) of runs of terms with some 100,000 postings: bounds what is derived at once."""
@@ -88,6 +88,9 @@ class TextIndex:
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if not k.startswith("_")} | {"ready": False}
 
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state, loaded=True)
+
     def _prepare(self) -> None:
         df = np.diff(self.starts)
         frequent = (df >= max(2, self.n / FREQUENT)).nonzero()[0]
@@ -108,6 +111,8 @@ class TextIndex:
             self._list[self._first[i]:self._first[j]] = weight[~some].view(np.int32).astype(np.int64) << 32 | at[~some]
         self._dense = dense.reshape(len(frequent), self.n_blocks, self.block)
         self._dense_max = self._dense.max(axis=2)
+        if self.loaded:  # a task's copy only searches
+            self.rows = self.counts = None
         self.ready = True
 
     def unit(self, text: np.ndarray, term: np.ndarray, count: np.ndarray, n_texts: int):

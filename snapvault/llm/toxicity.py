@@ -74,6 +74,8 @@ STRONGEST = 2
 LEAST = 0.1            # part of the whole texts' log odds that counts on any examples
 THRESHOLD = 0.7
 MEMORY = 100_000
+BATCH = 2 << 20        # bytes of texts in a task's batch, beside the indexes it holds
+TOGETHER = 1 << 20     # characters searched at once
 _WORD = re.compile(r"\w+")
 
 
@@ -202,19 +204,22 @@ def examples_of(docs: DataFrame, labels: DataFrame, max_examples: int, max_bytes
 def _counted(batches):
     """Passages of labelled texts: texts and toxic texts by fold, and the texts' ids, summed before the shuffle."""
     for b in batches:
-        n, ids = {}, {}
-        for text, y, i, fold in zip(*(b.column(c).to_pylist() for c in ("text", "label", "example_id", "fold"))):
-            for p in passages(text):
-                if p not in n:
-                    n[p], ids[p] = [0] * (2 * FOLDS), (1 - y, i)
-                n[p][2 * fold] += 1
-                n[p][2 * fold + 1] += y
-                ids[p] = min(ids[p], (1 - y, i))
-        keys = list(n)
-        columns = [pa.array([n[p][j] for p in keys], pa.int64()) for j in range(2 * FOLDS)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.string()), *columns, pa.array([ids[p][0] for p in keys], pa.int64()),
-             pa.array([ids[p][1] for p in keys], pa.int64())], names=["passage", *_COUNTS, "harmless", "example_id"])
+        y, ids, fold = (b.column(c).to_numpy() for c in ("label", "example_id", "fold"))
+        texts = b.column("text").to_pylist()
+        for i, j in by_bytes(texts, TOGETHER):
+            text, word, _, words = counted_words(texts[i:j])
+            text = text + i
+            n = len(words)
+            counts = []
+            for f in range(FOLDS):
+                some = fold[text] == f
+                counts.append(np.bincount(word[some], minlength=n).astype(np.int64))
+                counts.append(np.bincount(word[some], y[text[some]], minlength=n).astype(np.int64))
+            # a toxic text's smallest id, or else a harmless one's
+            order = np.lexsort((ids[text], 1 - y[text], word))
+            first = text[order[np.searchsorted(word[order], np.arange(n))]]
+            yield pa.RecordBatch.from_arrays([words, *map(pa.array, counts), pa.array((1 - y[first]).astype(np.int64)), pa.array(ids[first])],
+                                             names=["passage", *_COUNTS, "harmless", "example_id"])
 
 
 _COUNTS = [f"{c}{f}" for f in range(FOLDS) for c in "ny"]
@@ -359,7 +364,7 @@ def calibrate(votes: list[tuple[float, float]], prior: float, groups: int = 100)
 
 def _drawn(docs: DataFrame, labels: DataFrame, max_examples: int, max_bytes: int) -> tuple[DataFrame, int, float]:
     """The examples, stored; how many; their smoothed toxic rate."""
-    arrow_limits(docs.sparkSession)
+    arrow_limits(docs.sparkSession, BATCH)
     examples = examples_of(docs, labels, max_examples, max_bytes).withColumn("key", F.monotonically_increasing_id())
     examples = stored(examples, "toxicity-examples")
     total = examples.agg(F.count("*"), F.sum("label")).first()
@@ -417,7 +422,7 @@ def counted_words(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.A
 def _bags(batches):
     for b in batches:
         keys, texts = b.column("key").to_numpy(), b.column("text").to_pylist()
-        for i, j in by_bytes(texts):
+        for i, j in by_bytes(texts, TOGETHER):
             text, word, count, words = counted_words(texts[i:j])
             yield pa.RecordBatch.from_arrays([pa.array(keys[i:j][text]), words.take(pa.array(word)), pa.array(count.astype(np.int32))],
                                              names=["key", "term", "n"])
@@ -436,15 +441,12 @@ def _posted(keys: np.ndarray):
         row = np.searchsorted(keys, table.column("key").to_numpy())
         order = np.lexsort((row, term))
         starts = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(coded.dictionary)))])
-        count = np.minimum(table.column("n").to_numpy()[order], _MOST)
-        return pa.table([coded.dictionary, _binary(row[order].astype(np.uint32), starts), _binary(count.astype(np.uint16), starts)],
+        count = table.column("n").to_numpy()[order]
+        return pa.table([coded.dictionary, _binary(row[order].astype(np.uint32), starts), _binary(count.astype(np.uint32), starts)],
                         names=["term", "rows", "counts"])
     return post
 
 
-_MOST = (1 << 16) - 1  # a word's greatest count in a text
-
-
 def _text_index(examples: DataFrame, keys: np.ndarray, entries: pa.Array) -> TextIndex:
     """The examples' block-max index; its terms are numbered as ``entries``."""
     terms = examples.select("key", "text").mapInArrow(_bags, "key long, term string, n int")
@@ -453,8 +455,10 @@ def _text_index(examples: DataFrame, keys: np.ndarray, entries: pa.Array) -> Tex
               .applyInArrow(_posted(keys), "term string, rows binary, counts binary").toArrow())
     at = pc.index_in(entries, value_set=posted.column("term").combine_chunks()).fill_null(-1).to_numpy()
     parts = []
-    for name, kind in (("rows", np.uint32), ("counts", np.uint16)):
-        size, flat = _flat(posted.column(name), kind)
+    for name in ("rows", "counts"):
+        size, flat = _flat(posted.column(name), np.uint32)
+        # half the bytes where no text has a word more often
+        kind = np.uint16 if name == "counts" and flat.max(initial=0) < 1 << 16 else np.uint32
         first = np.concatenate([[0], np.cumsum(size)])
         sizes = np.where(at >= 0, size[at] if len(size) else 0, 0).astype(np.int64)
         out, to = np.empty(int(sizes.sum()), kind), 0
@@ -558,7 +562,7 @@ def fit_texts(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPL
     def votes(batches):
         for x in batches:
             texts, folds, y = x.column("text").to_pylist(), x.column("fold").to_numpy(), x.column("label").to_numpy()
-            for i, j in by_bytes(texts):
+            for i, j in by_bytes(texts, TOGETHER):
                 passage, whole, _, _ = shared.value.evidence(texts[i:j], folds[i:j])
                 yield pa.RecordBatch.from_arrays([pa.array(passage), pa.array(whole), pa.array(y[i:j].astype(np.float64))],
                                                  names=["passage", "whole", "label"])
@@ -601,14 +605,14 @@ def text_scorer(model):
         once = coded.dictionary.to_pylist()
         if not once:
             return judged(shared.value, [])
-        return pa.concat_arrays([judged(shared.value, once[i:j]) for i, j in by_bytes(once)]).take(coded.indices)
+        return pa.concat_arrays([judged(shared.value, once[i:j]) for i, j in by_bytes(once, TOGETHER)]).take(coded.indices)
 
     return judge
 
 
 def with_text_score(docs: DataFrame, model: tuple, text_col: str = "text", out_col: str = "toxicity") -> DataFrame:
     """``docs`` and ``out_col`` (score, evidence, neighbours); no shuffle."""
-    arrow_limits(docs.sparkSession)
+    arrow_limits(docs.sparkSession, BATCH)
     return docs.withColumn(out_col, text_scorer(model)(F.col(f"`{text_col}`")))
 
 

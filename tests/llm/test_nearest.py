@@ -169,3 +169,20 @@ def test_texts_without_a_frequent_word_find_their_neighbours():
         every = _brute(examples, queries)
         for j in range(len(queries)):
             assert np.allclose(got[2][got[0] == j], np.sort(every[j][every[j] > 1e-9])[::-1][:5], atol=1e-6)
+
+
+def test_a_word_counts_as_often_as_a_text_has_it(spark):
+    """A million times the same word: the text's own cosine is 1, and the others' are as brute force has them."""
+    rng = random.Random(10)
+    words = [f"w{j}" for j in range(500)]
+    texts = [" ".join(["na"] * times + rng.sample(words, 400)) for times in (1_000_000, 1, 70_000, 9)] + _texts(rng, 20)
+    free = [i for i in range(100) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(free[j], t, j % 2) for j, t in enumerate(texts)] + [(1000 + j, t, None) for j, t in enumerate(texts[:4])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = fit_texts(docs, docs.where("doc_id < 1000").select("doc_id", "toxic"))
+    got = {r["doc_id"]: r["n"] for r in with_text_score(docs.where("doc_id >= 1000"), model).select("doc_id", F.col("toxicity.neighbours").alias("n")).collect()}
+    every = _brute(texts, texts[:4])
+    for j in range(4):
+        near = got[1000 + j]
+        assert near[0]["example_id"] == free[j] and abs(near[0]["cosine"] - 1) < 1e-6
+        assert np.allclose([n["cosine"] for n in near[:4]], np.sort(every[j])[::-1][:4], atol=1e-6)
