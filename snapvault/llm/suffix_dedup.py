@@ -32,6 +32,8 @@ columns are not read; an empty table gives no rows.
 
 from __future__ import annotations
 
+from itertools import accumulate, pairwise
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -39,7 +41,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapvault.llm.common import arrow_limits, stored, text_hash, utf8
-from snapvault.llm.patricia import common_prefix
 
 MIN_WORDS = 50
 GRAM = 16
@@ -117,18 +118,26 @@ def _contexts(min_words: int, gram: int):
     def run(batches):
         for b in batches:
             rows, size = [], 0
-            for doc, text, body, places in zip(*(b.column(k).to_pylist() for k in ("doc_id", "text_hash", "body", "places"))):
-                words = body.lower().split()
+            place, parts = (x.to_numpy() for x in b.column("places").values.flatten())
+            ends = b.column("places").offsets.to_pylist()
+            for doc, text, body, first, end in zip(*(b.column(k).to_pylist() for k in ("doc_id", "text_hash", "body")), ends, ends[1:]):
+                words = b" ".join(body.lower().split())
+                # where each word starts, and one would after the last
+                starts = np.concatenate([[0], np.flatnonzero(np.frombuffer(words, np.uint8) == 32) + 1, [len(words) + 1]])
+                at, k = np.unique(place[first:end], return_index=True)
+                cuts = (starts[np.clip(at + d, 0, len(starts) - 1)].tolist() for d in (1 - min_words, 0, gram, min_words))
                 alike: dict = {}
-                parts = {p["place"]: p["parts"] for p in places}
                 me = xxhash.xxh64_intdigest(f"{doc}/{text}")
-                for p in sorted(parts):
-                    key = (b" ".join(words[max(0, p - min_words + 1):p]), b" ".join(words[p:p + min_words]))
-                    alike.setdefault(key, []).append(p)
-                for (left, right), ps in alike.items():
-                    h = xxhash.xxh64_intdigest(b" ".join(words[ps[0]:ps[0] + gram])) - 2**63
-                    rows.append((h, me % parts[ps[0]], parts[ps[0]], doc, text, ps, left, right))
-                    size += len(left) + len(right)
+                for p, n, before, here, begun, after in zip(at.tolist(), parts[first:end][k].tolist(), *cuts):
+                    left, right = words[before:max(before, here - 1)], words[here:after - 1]
+                    row = alike.get((left, right))
+                    if row is None:
+                        h = xxhash.xxh64_intdigest(words[here:begun - 1]) - 2**63
+                        alike[left, right] = (h, me % n, n, doc, text, [p], left, right)
+                        size += len(left) + len(right)
+                    else:
+                        row[5].append(p)
+                rows.extend(alike.values())
                 if size > 4 << 20:
                     yield _batch(rows)
                     rows, size = [], 0
@@ -146,7 +155,12 @@ def _batch(rows: list) -> pa.RecordBatch:
 
 def shared_words(a: bytes, b: bytes) -> int:
     """Whole words that both begin with."""
-    n = common_prefix(a, 0, b, 0)
+    if a == b:
+        return a.count(b" ") + 1 if a else 0
+    n = min(len(a), len(b))
+    differ = int.from_bytes(a[:n], "little") ^ int.from_bytes(b[:n], "little")
+    if differ:  # its lowest bit lies in the first byte that differs
+        n = ((differ & -differ).bit_length() - 1) // 8
     if not n:
         return 0
     return a.count(b" ", 0, n) + ((n == len(a) or a[n] == 32) and (n == len(b) or b[n] == 32))
@@ -170,81 +184,112 @@ def _neighbours(order: list[int], who: list) -> list[tuple[int, int]]:
     return pairs
 
 
-def match_run(run: list, min_words: int) -> list[tuple[int, int, int | None]]:
+def _around(left: bytes, right: bytes, min_words: int) -> list[tuple[int, bytes]]:
+    """Every window of ``min_words`` words around a suffix: how many of them are to the left, and their hash."""
+    before = left.count(b" ") + 1 if left else 0
+    text = left + b" " + right if left else right
+    starts = [0, *accumulate(len(w) + 1 for w in text.split(b" "))]
+    most = min(before, min_words - 1)
+    return [(k, xxhash.xxh128_digest(text[starts[before - k]:starts[before - k + min_words] - 1]))
+            for k in range(max(0, min_words - (len(starts) - 1 - before)), most + 1)]
+
+
+def match_run(who: list, left: list[bytes], right: list[bytes], min_words: int) -> list[tuple[int, int, int | None]]:
     """(words before, words after, smallest matching id) for each suffix of a run; (0, 0, None) without a match.
 
-    ``run``: rows (hash, doc_id, text_hash, places, left, right) that begin
-    alike, in the order of ``right``.
+    ``who``: (doc_id, text_hash) of suffixes that begin alike, in the order of
+    ``right``, then ``left``.
     """
-    n = len(run)
-    who = [(r[1], r[2]) for r in run]
-    right, left = [r[5] for r in run], [r[4][::-1] for r in run]
+    n = len(who)
     before, after, match = [0] * n, [0] * n, [None] * n
     best_before, best_after = [0] * n, [0] * n
-    hit = [False] * n
-
-    def settle(i, j, extend_l, extend_r):
+    back = [x[::-1] for x in left]
+    settled = set()
+
+    def settle(i, j):
+        """A pair's match; what it adds is the same whenever and however often it is met."""
+        pair = min(i, j) * n + max(i, j)
+        if pair in settled:
+            return
+        settled.add(pair)
+        extend_l, extend_r = shared_words(back[i], back[j]), shared_words(right[i], right[j])
         for x, y in ((i, j), (j, i)):
-            best_before[x], best_after[x] = max(best_before[x], extend_l), max(best_after[x], extend_r)
+            if extend_l > best_before[x]:
+                best_before[x] = extend_l
+            if extend_r > best_after[x]:
+                best_after[x] = extend_r
             if extend_l + extend_r >= min_words:
-                before[x], after[x], hit[x] = max(before[x], extend_l), max(after[x], extend_r), True
+                before[x], after[x] = max(before[x], extend_l), max(after[x], extend_r)
                 other = who[y][0]
                 match[x] = other if match[x] is None else match[x] if other is None else min(match[x], other)
 
-    if len(set(who)) > 1:
-        for order in (list(range(n)), sorted(range(n), key=lambda i: left[i])):
+    if n == 2:
+        if who[0] != who[1]:
+            settle(0, 1)
+    elif len(set(who)) > 1:
+        for order in (list(range(n)), sorted(range(n), key=back.__getitem__)):
             for i, j in _neighbours(order, who):
-                settle(i, j, shared_words(left[i], left[j]), shared_words(right[i], right[j]))
+                settle(i, j)
         if any((x > y or z > w) and x + z >= min_words for x, y, z, w in zip(best_before, before, best_after, after)):
             seen: dict = {}
-            words = [(r[4].split(), r[5].split()) for r in run]
-            for i, (x, y) in enumerate(words):
-                for k in range(max(0, min_words - len(y)), min(len(x), min_words - 1) + 1):
-                    key = (k, xxhash.xxh128_digest(b" ".join(x[len(x) - k:] + y[:min_words - k])))
-                    for j in seen.setdefault(key, []):
+            keys: list = []
+            for i in range(n):
+                if not i or right[i] != right[i - 1] or left[i] != left[i - 1]:  # copies stand next to each other
+                    keys = _around(left[i], right[i], min_words)
+                for key in keys:
+                    met = seen.setdefault(key, [])
+                    for j in met:
                         if who[j] != who[i]:
-                            settle(i, j, shared_words(left[i], left[j]), shared_words(right[i], right[j]))
+                            settle(i, j)
                             break
-                    if len(seen[key]) < 2 and all(who[j] != who[i] for j in seen[key]):
-                        seen[key].append(i)  # two documents are enough to find another one
-    return [(before[i], after[i], match[i]) if hit[i] else (0, 0, None) for i in range(n)]
+                    if len(met) < 2 and all(who[j] != who[i] for j in met):
+                        met.append(i)  # two documents are enough to find another one
+    return list(zip(before, after, match))
 
 
 def _match(min_words: int):
     names = [x.split()[0] for x in FOUND.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-
-    def batch(rows):
-        cols = zip(*rows) if rows else [[]] * 8
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
-    def settled(group, cut):
-        """A run's matches; all members with their words where the run has other parts."""
-        for r, m in zip(group, match_run(group, min_words)):
-            if cut:
-                yield (r[1], r[2], r[3], *m, r[4], r[5])
-            elif m[1]:
-                yield (r[1], r[2], r[3], *m, None, None)
+    def matched(runs: pa.RecordBatch):
+        """Whole runs' matches; all members with their words where a run has other parts."""
+        hashes, parts = runs.column("hash").to_numpy(), runs.column("part").to_numpy()
+        starts = np.flatnonzero((hashes[1:] != hashes[:-1]) | (parts[1:] != parts[:-1])) + 1
+        cut = (runs.column("parts").to_numpy() > 1).tolist()
+        who = list(zip(*(runs.column(k).to_pylist() for k in ("doc_id", "text_hash"))))
+        left, right = runs.column("left").to_pylist(), runs.column("right").to_pylist()
+        rows, found = [], []
+        for first, end in pairwise([0, *starts.tolist(), len(who)]):
+            # rows that repeat id and text stand next to each other
+            run = [i for i in range(first, end) if i == first or who[i] != who[i - 1] or right[i] != right[i - 1] or left[i] != left[i - 1]]
+            for i, m in zip(run, match_run(*([x[i] for i in run] for x in (who, left, right)), min_words)):
+                if cut[i] or m[1]:
+                    rows.append(i)
+                    found.append(m)
+        for k in range(0, len(rows), 5000):
+            at = pa.array(rows[k:k + 5000], pa.int64())
+            before, after, match = zip(*found[k:k + 5000])
+            words = [pa.array([x[i] if cut[i] else None for i in rows[k:k + 5000]], pa.binary()) for x in (left, right)]
+            yield pa.RecordBatch.from_arrays(
+                [*(runs.column(c).take(at) for c in ("doc_id", "text_hash", "places")), pa.array(before, pa.int32()),
+                 pa.array(after, pa.int32()), pa.array(match, pa.int64()), *words], names=names)
 
     def run(batches):
-        group, at, cut, out, size = [], None, False, [], 0
+        held, at = [], None  # the rows so far of a run that may go on
         for b in batches:
-            for h, part, parts, *row in zip(*(b.column(k).to_pylist() for k in (
-                    "hash", "part", "parts", "doc_id", "text_hash", "places", "left", "right"))):
-                if (h, part) != at:
-                    for found in settled(group, cut):
-                        out.append(found)
-                        size += 100 + len(found[6] or b"") + len(found[7] or b"")
-                        if size > 4 << 20:
-                            yield batch(out)
-                            out, size = [], 0
-                    group, at, cut = [], (h, part), parts > 1
-                row = (h, *row)
-                if not group or row != group[-1]:  # rows that repeat id and text stand next to each other
-                    group.append(row)
-        out.extend(settled(group, cut))
-        for k in range(0, len(out), 5000):
-            yield batch(out[k:k + 5000])
+            if not b.num_rows:
+                continue
+            hashes, parts = b.column("hash").to_numpy(), b.column("part").to_numpy()
+            if held and (hashes[0], parts[0]) != at:
+                yield from matched(pa.concat_batches(held))
+                held = []
+            last = b.num_rows - int(np.count_nonzero((hashes == hashes[-1]) & (parts == parts[-1])))  # where its last run starts
+            if last:
+                yield from matched(pa.concat_batches([*held, b.slice(0, last)]))
+                held = []
+            held.append(b.slice(last))
+            at = hashes[-1], parts[-1]
+        if held:
+            yield from matched(pa.concat_batches(held))
 
     return run
 

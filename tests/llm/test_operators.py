@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from snapvault.llm import bpe, mixing, simhash, template, unigram, warc
+from snapvault.llm import bpe, mixing, simhash, suffix_dedup, template, unigram, warc
 from snapvault.llm.common import keep_rows
 from snapvault.llm.exact_dedup import exact_dedup
 from snapvault.llm.patricia import Patricia
@@ -201,6 +201,40 @@ def test_repeated_passages_of_a_run_over_many_partitions(spark):
     assert none == []
 
 
+def test_copies_in_a_run_cost_no_windows_and_no_pair_twice(monkeypatch):
+    local = random.Random(43)
+
+    def words(n):
+        return [b"w%d" % local.randint(0, 10**6) for _ in range(n)]
+
+    gram, before, after = words(16), [words(30) for _ in range(3)], [words(24) for _ in range(3)]
+    # copies, and suffixes whose best words to the left and to the right come from different ones
+    around = [(0, 0)] * 60 + [(1, 1), (1, 2), (2, 1)]
+    rows = sorted((b" ".join(gram + after[y]), b" ".join(before[x]), k) for k, (x, y) in enumerate(around))
+    n = len(rows)
+    run = suffix_dedup._batch([(7, 0, 1, k, k, [30], left, right) for right, left, k in rows])
+    calls = {"shared_words": 0, "xxh128_digest": 0}
+
+    def counted(owner, name):
+        f = getattr(owner, name)
+
+        def call(*args):
+            calls[name] += 1
+            return f(*args)
+
+        monkeypatch.setattr(owner, name, call)
+
+    counted(suffix_dedup, "shared_words")
+    counted(suffix_dedup.xxhash, "xxh128_digest")
+    for size in (n, 7):  # a run in one batch, and over several
+        calls.update(shared_words=0, xxh128_digest=0)
+        found = [r for b in suffix_dedup._match(50)(iter([run.slice(k, size) for k in range(0, n, size)])) for r in b.to_pylist()]
+        assert {(r["doc_id"], r["before"], r["after"], r["match_id"]) for r in found} == {(k, 30, 40, int(k == 0)) for k in range(60)}
+        assert len(found) == 60 and all(r["places"] == [30] and r["left"] is None for r in found)
+        assert 0 < calls["xxh128_digest"] <= 4 * 50  # those of each of four surroundings
+        assert calls["shared_words"] <= 4 * n + 20  # two for a pair: its neighbour and the first copy
+
+
 def test_runs_cut_into_parts_give_the_same_passages(spark):
     local = random.Random(41)
     shared = [[f"p{k}x{i}" for i in range(local.randint(50, 90))] for k in range(3)]
