@@ -10,6 +10,7 @@ from snapvault.session import scratch_path
 #: Rows and bytes of one Arrow batch: a few MB of text, so that very long texts stay within memory.
 BATCH_ROWS = 10000
 BATCH_BYTES = 8 << 20
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def arrow_limits(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
@@ -23,14 +24,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+def stored(df: DataFrame, label: str, codec: str | None = None, free: bool = False) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back: cuts lineage, survives lost executors.
 
     ``codec``: the files' compression, where the session's own is not wanted.
+    ``free``: the shuffles behind ``df`` go when it is written, not when the
+    driver happens to collect its garbage.
     """
     path = scratch_path(df.sparkSession, label)
     writer = df.write if codec is None else df.write.option("compression", codec)
-    writer.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_FREE, None)
+    if free:
+        conf.set(_FREE, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        if free:
+            conf.unset(_FREE) if before is None else conf.set(_FREE, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -416,17 +416,17 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # only beginnings that two documents have can match
     who = F.xxhash64("doc_id", "text_hash")
     twice = stored(each.groupBy("h").agg(F.min(who).alias("a"), F.max(who).alias("b"), F.count("*").alias("n")).where("a <> b")
-                   .select(F.col("h").alias("t_h"), F.ceil(F.col("n") / run_rows).cast("int").alias("parts")), "shared-beginnings")  # so that Spark can split a hot one in the join
+                   .select(F.col("h").alias("t_h"), F.ceil(F.col("n") / run_rows).cast("int").alias("parts")), "shared-beginnings", free=True)  # so that Spark can split a hot one in the join
     places = (each.join(twice, F.col("h") == F.col("t_h"))
               # a document's positions: no more than its words
               .groupBy(F.col("doc_id").alias("p_id"), F.col("text_hash").alias("p_h"))
               .agg(F.collect_list(F.struct("place", "parts")).alias("places")))
     around = stored(rows.join(places, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("text_hash") == F.col("p_h")))
                     .select("doc_id", "text_hash", "body", "places").mapInArrow(_contexts(min_words, gram), CONTEXT),
-                    "suffix-contexts", codec="zstd")  # surroundings of neighbouring suffixes overlap
+                    "suffix-contexts", codec="zstd", free=True)  # surroundings of neighbouring suffixes overlap
     found = stored(around.repartition("hash", "part")
                    .sortWithinPartitions("hash", "part", "right", "left", "doc_id", "text_hash")
-                   .mapInArrow(_match(min_words), FOUND), "suffix-matches", codec="zstd")
+                   .mapInArrow(_match(min_words), FOUND), "suffix-matches", codec="zstd", free=True)
     matched = found.where("after > 0")
     spans = matched.select("doc_id", "text_hash", "match_id", F.explode("places").alias("p"), "before", "after").select(
         "doc_id", "text_hash", "match_id", (F.col("p") - F.col("before")).alias("s"), (F.col("p") + F.col("after")).alias("e"))

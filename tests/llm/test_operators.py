@@ -1,12 +1,15 @@
 """Each operator against brute force or an exact round trip, on small and awkward tables."""
 
+import glob
+import os
 import random
+import time
 
 import numpy as np
 import public_tokenizers
 import pytest
 
-from snapvault.llm import bpe, mixing, simhash, suffix_dedup, template, unigram, warc
+from snapvault.llm import bpe, common, mixing, simhash, suffix_dedup, template, unigram, warc
 from snapvault.llm.common import keep_rows
 from snapvault.llm.exact_dedup import exact_dedup
 from snapvault.llm.patricia import Patricia
@@ -235,6 +238,25 @@ def test_copies_in_a_run_cost_no_windows_and_no_pair_twice(monkeypatch):
         assert calls["shared_words"] <= 4 * n + 20  # two for a pair: its neighbour and the first copy
 
 
+def test_stored_rows_can_free_the_shuffles_behind_them(spark):
+    root = os.environ.get("SPARK_LOCAL_DIRS") or spark.sparkContext.getConf().get("spark.local.dir", "/tmp")
+
+    def files():
+        return set(glob.glob(f"{root}/blockmgr-*/*/shuffle_*.data"))
+
+    key, before = common._FREE, files()
+    held = spark.conf.get(key, None)
+    df = spark.range(20000).selectExpr("id % 7 AS k", "uuid() AS u").repartition(5, "u").groupBy("k").agg({"u": "count"})
+    got = common.stored(df, "test-free", free=True)
+    assert sorted(r[0] for r in got.collect()) == list(range(7)) and sum(r[1] for r in got.collect()) == 20000
+    assert spark.conf.get(key, None) == held
+    for _ in range(100):  # removed beside the driver's next work
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before
+
+
 def test_runs_cut_into_parts_give_the_same_passages(spark):
     local = random.Random(41)
     shared = [[f"p{k}x{i}" for i in range(local.randint(50, 90))] for k in range(3)]
